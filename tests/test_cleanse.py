@@ -1,0 +1,112 @@
+"""Cleansing rules on small edge frames (FIXTURES.md section 3)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from vigil.operators import cleanse, conform, drop_missing, keep_valid_codes, parse_visit_date, quality, trim_fields
+from vigil.operators.cleanse import reject_reason
+from vigil.schema import VISIT_CLEANSED, VISIT_RAW
+
+ROW = dict(patient_id="P-1", hospital="H", county="C", visit_date="2024-01-05", disease="Malaria",
+           diagnosis_code="B50", event_time_utc="2024-01-05T10:00:00+00:00")
+
+
+def raw(spark, *rows):
+    return spark.createDataFrame([{**ROW, **r} for r in rows], VISIT_RAW)
+
+
+def test_trim_removes_only_spaces(spark):
+    df = raw(spark, {"county": "\t a \n"}, {"county": " a "}, {"county": "   "})
+    got = [r.county for r in trim_fields(df).collect()]
+    assert got == ["\t a \n", "a", ""]
+
+
+def test_trim_skips_absent_and_non_text_columns(spark):
+    df = spark.createDataFrame([(" x ", dt.date(2024, 1, 5))], "county string, visit_date date")
+    out = trim_fields(df)
+    assert out.schema["visit_date"].dataType.typeName() == "date"
+    assert out.first().county == "x"
+
+
+def test_empty_string_survives_required_rule(spark):
+    df = trim_fields(raw(spark, {"patient_id": "   "}, {"patient_id": None}))
+    got = drop_missing(df).collect()
+    assert [r.patient_id for r in got] == [""]
+
+
+def test_required_rule_any_null(spark):
+    rows = [{"disease": None}, {"diagnosis_code": None}, {"visit_date": None}, {"hospital": None}]
+    assert drop_missing(raw(spark, *rows)).count() == 1  # only the null hospital row stays
+
+
+def test_strict_dates(spark):
+    rows = [{"visit_date": v} for v in ["2024-1-5", "bad", "2024-02-30", "2024-01-05T10:00:00", None, "2024-01-05"]]
+    got = parse_visit_date(raw(spark, *rows)).collect()
+    assert [r.visit_date for r in got] == [dt.date(2024, 1, 5)]
+
+
+def test_padded_date_parses_after_trim(spark):
+    got = cleanse(raw(spark, {"visit_date": " 2024-01-06 "})).collect()
+    assert got[0].visit_date == dt.date(2024, 1, 6)
+
+
+def test_codes_case_sensitive_and_null_dropped(spark):
+    rows = [{"diagnosis_code": c} for c in ["b50", None, "B05", "A90", " A00  "]]
+    kept = [r.diagnosis_code for r in keep_valid_codes(trim_fields(raw(spark, *rows))).collect()]
+    assert kept == ["A90", "A00"]
+
+
+def test_codes_from_a_table(spark):
+    codes = spark.createDataFrame([("A90",), ("B05",)], "code string")
+    rows = [{"diagnosis_code": c} for c in ["A90", "B05", "B50"]]
+    kept = sorted(r.diagnosis_code for r in keep_valid_codes(raw(spark, *rows), codes).collect())
+    assert kept == ["A90", "B05"]
+
+
+def test_missing_column_skips_rule_and_conform_adds_null(spark):
+    df = raw(spark, {"diagnosis_code": "zzz"}).drop("diagnosis_code")
+    out = cleanse(df)
+    assert out.columns == [f.name for f in VISIT_CLEANSED.fields]
+    rows = out.collect()
+    assert len(rows) == 1 and rows[0].diagnosis_code is None
+
+
+def test_conform_orders_and_keeps_unknown_frames(spark):
+    df = spark.createDataFrame([("x", "y")], "disease string, patient_id string")
+    assert conform(df).columns[:2] == ["patient_id", "hospital"]
+    other = spark.createDataFrame([(1,)], "a int")
+    assert conform(other).columns == ["a"]
+
+
+def test_reject_reason_agrees_with_cleanse(spark):
+    from vigil.sources.fixture import load_raw_visits
+
+    raw_df = load_raw_visits(spark, "/root/testdata/sf0.001")
+    flagged = raw_df.withColumn("reason", reject_reason(raw_df))
+    assert flagged.filter("reason IS NULL").count() == cleanse(raw_df).count() == 554
+
+
+def test_quality_counts_first_failing_rule(spark):
+    from vigil.sources.fixture import load_raw_visits
+
+    raw_df = load_raw_visits(spark, "/root/testdata/sf0.01")
+    q = quality(raw_df, by=F.lit("all")).first()
+    assert (q.rows_before, q.rows_after, q.rows_removed) == (9854, 5484, 4370)
+    assert (q.missing_required, q.bad_date, q.invalid_code) == (1472, 983, 1915)
+    per_county = {r.source: (r.rows_before, r.rows_after, r.rows_removed)
+                  for r in quality(raw_df, by=F.trim("county")).collect()}
+    assert per_county["Eldoret"] == (1988, 1130, 858)
+    assert per_county["Mombasa"] == (1814, 969, 845)
+
+
+def test_observed_quality_in_the_writing_pass(spark, tmp):
+    from vigil.operators import observe_quality
+    from vigil.sources.fixture import load_raw_visits
+
+    observed, obs = observe_quality(load_raw_visits(spark, "/root/testdata/sf0.001"))
+    cleanse(observed).write.format("noop").mode("overwrite").save()
+    m = obs.get
+    assert (m["rows_before"], m["rows_after"]) == (981, 554)

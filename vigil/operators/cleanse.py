@@ -32,23 +32,26 @@ def _string_columns(df: DataFrame) -> set[str]:
 
 def trim_fields(df: DataFrame, columns: Iterable[str] = TRIM_COLUMNS) -> DataFrame:
     """Trim the space character off the listed text columns that exist."""
+    names = [f.name for f in df.schema.fields]
     targets = set(columns) & _string_columns(df)
     if not targets:
         return df
-    return df.select(*[space_trim(F.col(c)).alias(c) if c in targets else F.col(c) for c in df.columns])
+    return df.select(*[space_trim(F.col(c)).alias(c) if c in targets else F.col(c) for c in names])
 
 
 def drop_missing(df: DataFrame, required: Iterable[str] = REQUIRED_COLUMNS) -> DataFrame:
     """Drop rows with a null in any required column that exists; '' survives."""
-    present = [c for c in required if c in df.columns]
+    cols = set(df.columns)
+    present = [c for c in required if c in cols]
     return df.dropna(how="any", subset=present) if present else df
 
 
 def parse_visit_date(df: DataFrame, column: str = "visit_date") -> DataFrame:
     """Parse the date strictly and drop rows where it did not parse."""
-    if column not in df.columns:
+    types = {f.name: f.dataType for f in df.schema.fields}
+    if column not in types:
         return df
-    if not isinstance(df.schema[column].dataType, DateType):
+    if not isinstance(types[column], DateType):
         df = df.withColumn(column, strict_date(F.col(column)))
     return df.filter(F.col(column).isNotNull())
 
@@ -76,10 +79,13 @@ def conform(df: DataFrame, schema: StructType = VISIT_CLEANSED) -> DataFrame:
 
     A frame that shares no column with the schema is returned unchanged.
     """
-    if not any(f.name in df.columns for f in schema.fields):
+    present = set(df.columns)
+    if not any(f.name in present for f in schema.fields):
+        return df
+    if [f.name for f in schema.fields] == df.columns:
         return df
     return df.select(*[
-        F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name)
+        F.col(f.name) if f.name in present else F.lit(None).cast(f.dataType).alias(f.name)
         for f in schema.fields
     ])
 
@@ -102,13 +108,14 @@ def reject_reason(df: DataFrame, codes: Iterable[str] = VALID_CODES) -> Column:
 
     Evaluated on the raw columns; agrees row for row with ``cleanse``.
     """
-    cols = set(df.columns)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = set(types)
     checks: list[tuple[Column, str]] = []
     required = [c for c in REQUIRED_COLUMNS if c in cols]
     if required:
         checks.append((reduce(lambda a, b: a | b, [F.col(c).isNull() for c in required]), MISSING_REQUIRED))
     if "visit_date" in cols:
-        if isinstance(df.schema["visit_date"].dataType, DateType):
+        if isinstance(types["visit_date"], DateType):
             parsed = F.col("visit_date")
         else:
             parsed = strict_date(space_trim(F.col("visit_date")))

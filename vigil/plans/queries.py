@@ -30,7 +30,7 @@ from vigil.session import work_dir
 from vigil.sinks.files import encode_json, write_csv, write_curated, write_lines, write_report_csv
 from vigil.sources.catalog import register_table, scan_table
 from vigil.sources.files import read_cleansed_csv, read_csv, read_curated, read_jsonl
-from vigil.sources.fixture import raw_visits, visit_messages
+from vigil.sources.fixture import raw_visits, read_events, visit_messages
 from vigil.sources.messages import valid_messages
 from vigil.sources.topic import read_message_files
 from vigil.streaming.ingest import run_to_end, stream_curate, stream_raw
@@ -42,7 +42,7 @@ REPORT_DATE = _dt.date(2024, 1, 31)
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return read_events(spark, sf_dir)
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,9 @@ RUNTIME_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "vigil") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "vigil", extra: dict[str, str] | None = None
+) -> SparkSession:
     """A local session for tests and benchmarks (no UI, UTC, AQE on)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -32,8 +34,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # HotSpot does not JIT methods over 8000 bytecode bytes; fall back
+        # from whole-stage codegen before a fused stage gets that large.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
-    for k, v in RUNTIME_CONF.items():
+    for k, v in {**RUNTIME_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -9,10 +9,11 @@ filter only: it scales with ``events`` and never shuffles.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
 
-from vigil.functions import iso_instant_text, json_text
+from vigil.functions import json_text
 from vigil.schema import VISIT_RAW
 
 # --- fixed values of the fixture ------------------------------------------
@@ -35,71 +36,65 @@ BROKEN_MESSAGES = {11: "truncated", 23: "number", 37: "blank", 41: "array", 47:
 # ---------------------------------------------------------------------------
 
 
-def _pick(index: Column, values) -> Column:
-    out = None
-    for i, v in enumerate(values):
-        out = (F.when if out is None else out.when)(index == i, F.lit(v))
-    return out
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("'", "''") + "'"
 
 
-def _by_event_type(pos: int) -> Column:
-    et = F.col("event_type")
-    out = None
-    for k, v in DISEASES.items():
-        out = (F.when if out is None else out.when)(et == k, F.lit(v[pos]))
-    return out
+def _lookup(keys_values, key_sql: str) -> str:
+    """``try_element_at`` on a literal map: null for a key outside the map (like a CASE)."""
+    pairs = ", ".join(f"{k if isinstance(k, int) else _sql_text(k)}, {v}" for k, v in keys_values)
+    return f"try_element_at(map({pairs}), {key_sql})"
+
+
+_COUNTY = _lookup([(i, _sql_text(c)) for i, c in enumerate(COUNTIES)], "user_id % 5")
+_SUFFIX = _lookup([(i, _sql_text(h)) for i, h in enumerate(HOSPITAL_SUFFIXES)], "user_id % 4")
+_DISEASE = _lookup(
+    [(k, f"named_struct('name', {_sql_text(d)}, 'code', {_sql_text(c)})") for k, (d, c) in DISEASES.items()],
+    "event_type",
+)
 
 
 def raw_visits(events: DataFrame, keep_event_id: bool = False) -> DataFrame:
-    """Raw visits (all text, canonical column order) from ``events``."""
-    m = F.col("event_id") % 20
-    county = _pick(F.col("user_id") % 5, COUNTIES)
-    disease = _by_event_type(0)
-    code = _by_event_type(1)
-    d = F.col("ts").cast("date").cast("string")
-
-    base = events.select(
+    """Raw visits (all text, canonical column order) from ``events``.
+
+    Lookups are literal maps and each derived value is computed once, which
+    keeps the generated code small enough for the JIT even after Catalyst
+    inlines it into the cleansing filters.
+    """
+    base = events.selectExpr(
         "event_id",
-        county.alias("_county"),
-        disease.alias("_disease"),
-        code.alias("_code"),
-        _pick(F.col("user_id") % 4, HOSPITAL_SUFFIXES).alias("_suffix"),
-        d.alias("_d"),
-        m.alias("_m"),
-        iso_instant_text(F.col("ts")).alias("event_time_utc"),
+        "event_id % 20 AS _m",
+        f"{_COUNTY} AS _county",
+        f"{_DISEASE} AS _dc",
+        f"{_SUFFIX} AS _suffix",
+        "CAST(CAST(ts AS DATE) AS STRING) AS _d",
+        "concat(date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00') AS event_time_utc",
     ).filter(
-        ~(
-            (F.col("_county") == ONSET_COUNTY)
-            & (F.col("_disease") == ONSET_DISEASE)
-            & (F.col("_d") < ONSET_DATE)
-            & (F.col("event_id") % 10 != 1)
-        )
+        f"NOT (_county = {_sql_text(ONSET_COUNTY)} AND _dc.name = {_sql_text(ONSET_DISEASE)} "
+        f"AND _d < {_sql_text(ONSET_DATE)} AND event_id % 10 <> 1)"
     )
-    m = F.col("_m")
-    c = F.col("_county")
     cols = [
-        F.when(m == 0, F.lit(None).cast("string"))
-        .when(m == 5, F.lit(""))
-        .otherwise(F.concat(F.upper(F.substring(c, 1, 3)), F.lit("-"), F.lpad(F.col("event_id").cast("string"), 10, "0")))
-        .alias("patient_id"),
-        F.concat(c, F.col("_suffix")).alias("hospital"),
-        F.when(m == 8, F.concat(F.lit("  "), c, F.lit(" "))).otherwise(c).alias("county"),
-        F.when(m == 2, F.lit("not-a-date"))
-        .when(m == 4, F.lit(None).cast("string"))
-        .when(m == 7, F.concat(F.lit(" "), F.col("_d"), F.lit(" ")))
-        .when(m == 9, F.lit("2024-1-5"))
-        .otherwise(F.col("_d"))
-        .alias("visit_date"),
-        F.when(m == 3, F.lit(None).cast("string")).otherwise(F.col("_disease")).alias("disease"),
-        F.when(m == 1, F.concat(F.lit(" "), F.col("_code"), F.lit("  ")))
-        .when(m == 6, F.lower(F.col("_code")))
-        .otherwise(F.col("_code"))
-        .alias("diagnosis_code"),
-        F.col("event_time_utc"),
+        "CASE _m WHEN 0 THEN NULL WHEN 5 THEN '' "
+        "ELSE concat(upper(substring(_county, 1, 3)), '-', lpad(CAST(event_id AS STRING), 10, '0')) END AS patient_id",
+        "concat(_county, _suffix) AS hospital",
+        "CASE _m WHEN 8 THEN concat('  ', _county, ' ') ELSE _county END AS county",
+        "CASE _m WHEN 2 THEN 'not-a-date' WHEN 4 THEN NULL WHEN 7 THEN concat(' ', _d, ' ') "
+        "WHEN 9 THEN '2024-1-5' ELSE _d END AS visit_date",
+        "CASE _m WHEN 3 THEN NULL ELSE _dc.name END AS disease",
+        "CASE _m WHEN 1 THEN concat(' ', _dc.code, '  ') WHEN 6 THEN lower(_dc.code) ELSE _dc.code END "
+        "AS diagnosis_code",
+        "event_time_utc",
     ]
-    if keep_event_id:
-        cols = [F.col("event_id")] + cols
-    return base.select(*cols)
+    return base.selectExpr(*(["event_id"] if keep_event_id else []), *cols)
+
+
+_BROKEN_SQL = {
+    "truncated": "substring(_valid, 1, length(_valid) - 1)",
+    "number": "CAST(event_id AS STRING)",
+    "blank": "''",
+    "array": "concat('[', _valid, ']')",
+    "null": "'null'",
+}
 
 
 def visit_messages(events: DataFrame) -> DataFrame:
@@ -111,24 +106,31 @@ def visit_messages(events: DataFrame) -> DataFrame:
     """
     raw = raw_visits(events, keep_event_id=True)
     valid = json_text(*[F.col(f.name) for f in VISIT_RAW.fields])
-    k = F.col("event_id") % 50
-    broken = (
-        F.when(k == 11, F.expr("substring(_valid, 1, length(_valid) - 1)"))
-        .when(k == 23, F.col("event_id").cast("string"))
-        .when(k == 37, F.lit(""))
-        .when(k == 41, F.concat(F.lit("["), F.col("_valid"), F.lit("]")))
-        .when(k == 47, F.lit("null"))
-    )
+    whens = " ".join(f"WHEN {k} THEN {_BROKEN_SQL[kind]}" for k, kind in BROKEN_MESSAGES.items())
     return (
         raw.select("event_id", valid.alias("_valid"))
-        .select(F.explode(F.array(F.col("_valid"), broken)).alias("value"))
-        .filter(F.col("value").isNotNull())
+        .selectExpr(f"explode(array(_valid, CASE event_id % 50 {whens} END)) AS value")
+        .filter("value IS NOT NULL")
     )
 
 
+# The events columns the fixture reads (an explicit read schema: no footer
+# inference on the driver, and only these columns are decoded).
+EVENTS_READ = StructType([
+    StructField("event_id", LongType()),
+    StructField("ts", TimestampNTZType()),
+    StructField("user_id", LongType()),
+    StructField("event_type", StringType()),
+])
+
+
+def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(EVENTS_READ).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+
+
 def load_raw_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_visits(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return raw_visits(read_events(spark, sf_dir))
 
 
 def load_visit_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return visit_messages(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return visit_messages(read_events(spark, sf_dir))
