@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from vigil.operators import cleanse, conform, drop_missing, keep_valid_codes, parse_visit_date, quality, trim_fields
-from vigil.operators.cleanse import reject_reason
+from vigil.operators.rules import reject_reason
 from vigil.schema import VISIT_CLEANSED, VISIT_RAW
 
 ROW = dict(patient_id="P-1", hospital="H", county="C", visit_date="2024-01-05", disease="Malaria",

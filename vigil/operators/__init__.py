@@ -1,6 +1,6 @@
 """DataFrame -> DataFrame operators: cleansing rules, curation and the outbreak report."""
 
-from vigil.operators.cleanse import (
+from vigil.operators.rules import (
     cleanse,
     conform,
     drop_missing,
@@ -12,7 +12,7 @@ from vigil.operators.cleanse import (
     reject_reason,
     trim_fields,
 )
-from vigil.operators.curate import curate
+from vigil.operators.curation import curate
 from vigil.operators.report import daily_counts, growth_filter, lag_rolling_cases, outbreaks, rolling_cases
 
 __all__ = [

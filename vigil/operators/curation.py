@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType
 
 from vigil.functions import strict_date, utc_instant
-from vigil.operators.cleanse import conform
+from vigil.operators.rules import conform
 from vigil.schema import VISIT
 
 

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from vigil.config import LakeConfig
-from vigil.operators.cleanse import cleanse, observe_quality
+from vigil.operators.rules import cleanse, observe_quality
 from vigil.operators.report import outbreaks
 from vigil.sinks.files import write_csv, write_curated, write_report_csv
 from vigil.sources.catalog import refresh_table, register_table, scan_table

@@ -48,8 +48,9 @@ def local_session(
 def work_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    When it is unset (local runs only) a folder is created once and set as
-    the checkpoint directory, so ``DataFrame.checkpoint`` works too.
+    When it is unset a local folder is created once and set as the
+    checkpoint directory, but only for a ``local[...]`` master: on a cluster
+    an unset setting is an error, never a machine-local folder.
     """
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir", None)
@@ -59,6 +60,8 @@ def work_root(spark: SparkSession) -> str:
     if current:
         # setCheckpointDir appends a random child folder; share its parent.
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     root = tempfile.mkdtemp(prefix="vigil-checkpoint-")
     spark.sparkContext.setCheckpointDir(root)
     return root

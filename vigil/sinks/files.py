@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions import json_text
-from vigil.operators.curate import curate
+from vigil.operators.curation import curate
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", keep_padding: bool = False) -> str:

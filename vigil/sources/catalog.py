@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from vigil.config import DEFAULT_DATABASE, DEFAULT_TABLE
-from vigil.operators.cleanse import conform
+from vigil.operators.rules import conform
 from vigil.schema import VISIT, ddl
 
 

@@ -13,7 +13,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from vigil.functions import suffix_glob
-from vigil.operators.cleanse import conform
+from vigil.operators.rules import conform
 from vigil.schema import VISIT, VISIT_CLEANSED, VISIT_RAW
 from vigil.sources.messages import parse_messages
 

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from vigil.config import LakeConfig
-from vigil.operators.cleanse import cleanse, observe_quality_stream
-from vigil.operators.curate import curate
+from vigil.operators.rules import cleanse, observe_quality_stream
+from vigil.operators.curation import curate
 from vigil.sources.messages import parse_messages
 
 QUALITY_METRICS = "cleanse_quality"
