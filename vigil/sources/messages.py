@@ -36,16 +36,18 @@ def flag_messages(df: DataFrame, value: str = "value") -> DataFrame:
 def parse_messages(df: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Valid messages as raw visit columns (all text), invalid ones dropped.
 
-    One ``from_json`` per row; the corrupt-record slot and the brace check
-    decide validity in the same projection.
+    Each message is parsed once: ``inline`` expands the parsed struct in a
+    Generate node, which a filter on its output cannot be pushed below, so
+    ``from_json`` is not copied into the filter. The cheap brace check does
+    go below it and spares the parse of non-object messages.
     """
     parsed = df.select(
         *[F.col(k) for k in keep],
         looks_like_json_object(F.col(value)).alias("_object"),
-        F.from_json(F.col(value), VISIT_MESSAGE, _PARSE_OPTIONS).alias("_m"),
+        F.inline(F.array(F.from_json(F.col(value), VISIT_MESSAGE, _PARSE_OPTIONS))),
     )
-    ok = F.col("_object") & F.col(f"_m.{CORRUPT_COLUMN}").isNull()
-    return parsed.filter(ok).select(*[F.col(k) for k in keep], *[F.col(f"_m.{f.name}").alias(f.name) for f in VISIT_RAW])
+    ok = F.col("_object") & F.col(CORRUPT_COLUMN).isNull()
+    return parsed.filter(ok).select(*[F.col(k) for k in keep], *[F.col(f.name) for f in VISIT_RAW])
 
 
 def message_quality(df: DataFrame, value: str = "value") -> DataFrame:
