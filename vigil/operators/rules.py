@@ -95,12 +95,32 @@ def cleanse(
     codes: Iterable[str] | DataFrame = VALID_CODES,
     schema: StructType = VISIT_CLEANSED,
 ) -> DataFrame:
-    """All rules in order, ending with ``conform``."""
-    df = trim_fields(df)
-    df = drop_missing(df)
-    df = parse_visit_date(df)
-    df = keep_valid_codes(df, codes)
-    return conform(df, schema)
+    """All rules in order, ending with ``conform``.
+
+    Built as one projection (trim, parse, conform) and one filter (required
+    fields, parsed date, valid code) - the plan the rule-by-rule chain
+    optimises to, without analysing six intermediate frames.
+    """
+    if isinstance(codes, DataFrame):
+        return conform(keep_valid_codes(parse_visit_date(drop_missing(trim_fields(df))), codes), schema)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    text = {n for n, t in types.items() if isinstance(t, StringType)}
+    trim_set = set(TRIM_COLUMNS) & text
+
+    def value(name: str) -> Column:
+        c = space_trim(F.col(name)) if name in trim_set else F.col(name)
+        if name == "visit_date" and not isinstance(types[name], DateType):
+            c = strict_date(c)
+        return c
+
+    out = [value(n).alias(n) for n in types]
+    checks = [F.col(c).isNotNull() for c in REQUIRED_COLUMNS if c in types]
+    if "diagnosis_code" in types:
+        checks.append(F.col("diagnosis_code").isin(list(codes)))
+    projected = df.select(*out)
+    if checks:
+        projected = projected.filter(reduce(lambda a, b: a & b, checks))
+    return conform(projected, schema)
 
 
 def reject_reason(df: DataFrame, codes: Iterable[str] = VALID_CODES) -> Column:
