@@ -41,3 +41,35 @@ def test_direct_load_keeps_empty_ids_and_feeds_the_table(spark, tmp):
     assert res.rows_after == 5484
     name = register_table(spark, cfg.curated_path, cfg.database, cfg.table)
     assert scan_table(spark, name).filter("patient_id = ''").count() > 0
+
+
+def test_quality_per_file(spark, tmp):
+    from pyspark.sql import functions as F
+
+    from vigil.operators import quality
+    from vigil.sources import read_csv
+
+    write_csv(load_raw_visits(spark, SF).repartition(3, "county"), f"{tmp}/raw", keep_padding=True)
+    per_file = quality(read_csv(spark, f"{tmp}/raw")).collect()
+    assert len(per_file) == 3 and all(r.source.endswith(".csv") for r in per_file)
+    assert sum(r.rows_before for r in per_file) == 9854
+    total = quality(read_csv(spark, f"{tmp}/raw"), by=F.lit("all")).first()
+    assert sum(r.rows_after for r in per_file) == total.rows_after
+
+
+def test_command_line_jobs(spark, tmp, monkeypatch, capsys):
+    import json
+
+    from vigil.__main__ import main
+
+    monkeypatch.setenv("LAKE_ROOT", tmp)
+    monkeypatch.setenv("LAKE_DATABASE", "ph_cli")
+    write_csv(load_raw_visits(spark, SF), f"{tmp}/raw", keep_padding=True)
+    assert main(["cleanse-csv"]) == 0
+    counts = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert counts["rows_before"] == 9854
+    assert main(["curate"]) == 0
+    assert main(["register"]) == 0
+    assert main(["report", "--report-date", "2024-02-01"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out.endswith("reports/report_date=20240201")

@@ -50,9 +50,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session()
     out: object
     if args.command == "cleanse-csv":
-        out = asdict(cleanse_csv_zone(spark, cfg.raw_path, cfg.cleansed_path))
+        out = asdict(cleanse_csv_zone(spark, cfg.raw_path, cfg.cleansed_path, codes=cfg.valid_codes))
     elif args.command == "cleanse-jsonl":
-        out = asdict(cleanse_jsonl_zone(spark, cfg.raw_path, cfg.cleansed_path))
+        out = asdict(cleanse_jsonl_zone(spark, cfg.raw_path, cfg.cleansed_path, codes=cfg.valid_codes))
     elif args.command == "curate":
         out = curate_zone(spark, cfg.cleansed_path, cfg.curated_path)
     elif args.command == "register":
@@ -67,7 +67,8 @@ def main(argv: list[str] | None = None) -> int:
         if args.command == "stream-raw":
             query = stream_raw(topic, cfg.raw_path, ckpt, trigger, name="vigil-stream-raw")
         else:
-            query = stream_curate(topic, cfg.curated_path, ckpt, trigger, name="vigil-stream-curate")
+            query = stream_curate(topic, cfg.curated_path, ckpt, trigger, name="vigil-stream-curate",
+                                  codes=cfg.valid_codes)
         query.awaitTermination()
         out = query.lastProgress
     print(json.dumps(out, default=str))

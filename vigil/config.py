@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from decimal import Decimal
 
 # --- fixed values (must not change: they define the results) ---------------
@@ -72,7 +72,6 @@ class LakeConfig:
     growth_factor: Decimal = GROWTH_FACTOR
     database: str = DEFAULT_DATABASE
     table: str = DEFAULT_TABLE
-    extra: Mapping[str, str] = field(default_factory=dict)
 
     def zone_path(self, zone: str) -> str:
         """A zone given as a full URI or absolute path is used as is."""
@@ -111,4 +110,6 @@ class LakeConfig:
             batch_size=int(env.get("BATCH_SIZE", d.batch_size)),
             flush_seconds=int(env.get("FLUSH_SECONDS", d.flush_seconds)),
             flush_by_time=_flag(env.get("FLUSH_BY_TIME", "true")),
+            database=env.get("LAKE_DATABASE", d.database),
+            table=env.get("LAKE_TABLE", d.table),
         )

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.config import LakeConfig
+from vigil.config import VALID_CODES, LakeConfig
 from vigil.operators.rules import cleanse, observe_quality
 from vigil.operators.report import outbreaks
 from vigil.sinks.files import write_csv, write_curated, write_report_csv
@@ -35,25 +35,25 @@ class LoadResult:
     invalid_code: int
 
 
-def _cleanse_and_write(raw: DataFrame, out: str, write) -> LoadResult:
-    observed, obs = observe_quality(raw)
-    write(cleanse(observed), out)
+def _cleanse_and_write(raw: DataFrame, out: str, write, codes=VALID_CODES) -> LoadResult:
+    observed, obs = observe_quality(raw, codes=codes)
+    write(cleanse(observed, codes), out)
     m = obs.get
     return LoadResult(out, m["rows_before"], m["rows_after"], m["rows_removed"],
                       m["missing_required"], m["bad_date"], m["invalid_code"])
 
 
-def cleanse_csv_zone(spark: SparkSession, raw_path: str, cleansed_path: str) -> LoadResult:
+def cleanse_csv_zone(spark: SparkSession, raw_path: str, cleansed_path: str, codes=VALID_CODES) -> LoadResult:
     """Flat ``*.csv`` (any case) in the raw zone -> cleansed CSV."""
     raw = require_rows(read_csv(spark, raw_path, suffixes=("csv",), recursive=False), raw_path)
-    return _cleanse_and_write(raw, cleansed_path, write_csv)
+    return _cleanse_and_write(raw, cleansed_path, write_csv, codes)
 
 
 def cleanse_jsonl_zone(spark: SparkSession, raw_path: str, cleansed_path: str,
-                       suffixes=("jsonl",)) -> LoadResult:
+                       suffixes=("jsonl",), codes=VALID_CODES) -> LoadResult:
     """Every ``*.jsonl`` below the raw zone -> cleansed CSV."""
     raw = require_rows(read_jsonl(spark, raw_path, suffixes=suffixes, recursive=True), raw_path)
-    return _cleanse_and_write(raw, cleansed_path, write_csv)
+    return _cleanse_and_write(raw, cleansed_path, write_csv, codes)
 
 
 def curate_zone(spark: SparkSession, cleansed_path: str, curated_path: str, table: str | None = None) -> str:
@@ -65,13 +65,14 @@ def curate_zone(spark: SparkSession, cleansed_path: str, curated_path: str, tabl
     return curated_path
 
 
-def load_direct(raw: DataFrame, curated_path: str) -> LoadResult:
+def load_direct(raw: DataFrame, curated_path: str, codes=VALID_CODES) -> LoadResult:
     """Raw visits -> cleansed -> curated Parquet in one pass."""
-    return _cleanse_and_write(raw, curated_path, write_curated)
+    return _cleanse_and_write(raw, curated_path, write_curated, codes)
 
 
 def daily_report(spark: SparkSession, cfg: LakeConfig, out_base: str,
                  report_date: _dt.date | None = None) -> str:
     """Outbreak report over the whole table, written as a dated CSV folder."""
     register_table(spark, cfg.curated_path, cfg.database, cfg.table)
-    return write_report_csv(outbreaks(scan_table(spark, cfg.table_name)), out_base, report_date)
+    report = outbreaks(scan_table(spark, cfg.table_name), cfg.window_rows, cfg.growth_factor)
+    return write_report_csv(report, out_base, report_date)

@@ -21,6 +21,8 @@ def topic_options(cfg: LakeConfig, starting_offsets: str = "latest") -> dict[str
         "kafka.bootstrap.servers": cfg.bootstrap,
         "subscribe": cfg.topic,
         "startingOffsets": starting_offsets,
+        # Offsets are tracked in the checkpoint; the group id only names the consumers.
+        "groupIdPrefix": cfg.group_id,
         "maxOffsetsPerTrigger": str(cfg.batch_size),
         "failOnDataLoss": "false",
     }

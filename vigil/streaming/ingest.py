@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from vigil.config import LakeConfig
+from vigil.config import VALID_CODES, LakeConfig
 from vigil.operators.rules import cleanse, observe_quality_stream
 from vigil.operators.curation import curate
 from vigil.sources.messages import parse_messages
@@ -65,14 +65,14 @@ def stream_raw(messages: DataFrame, raw_path: str, checkpoint: str, trigger: Tri
     return trigger.apply(writer).start()
 
 
-def curated_stream(messages: DataFrame) -> DataFrame:
+def curated_stream(messages: DataFrame, codes=VALID_CODES) -> DataFrame:
     """Messages -> valid JSON objects -> cleansed -> curated, with quality metrics observed."""
-    visits = observe_quality_stream(parse_messages(messages), QUALITY_METRICS)
-    return curate(cleanse(visits))
+    visits = observe_quality_stream(parse_messages(messages), QUALITY_METRICS, codes)
+    return curate(cleanse(visits, codes))
 
 
 def stream_curate(messages: DataFrame, curated_path: str, checkpoint: str, trigger: Trigger = DRAIN,
-                  name: str | None = None) -> StreamingQuery:
+                  name: str | None = None, codes=VALID_CODES) -> StreamingQuery:
     """Append curated visits to Parquet partitioned by ``visit_date``.
 
     Per micro-batch the before / after / removed counts are in
@@ -80,7 +80,7 @@ def stream_curate(messages: DataFrame, curated_path: str, checkpoint: str, trigg
     message count in ``numInputRows``.
     """
     writer = (
-        curated_stream(messages)
+        curated_stream(messages, codes)
         .writeStream.format("parquet")
         .option("path", curated_path)
         .option("checkpointLocation", checkpoint)
