@@ -126,3 +126,20 @@ def test_date_shape_guard_never_changes_a_parse(spark):
     ).collect()
     assert all(r.guarded == r.plain for r in got)
     assert sum(r.plain is not None for r in got) == 8
+
+
+def test_code_table_is_broadcast_only_when_small(spark, monkeypatch):
+    import vigil.operators.rules as rules
+
+    codes = spark.createDataFrame([("A90",), ("B05",), ("B50",)], "code string")
+    df = raw(spark, {"diagnosis_code": "A90"}, {"diagnosis_code": "J10"})
+    plan = rules.keep_valid_codes(df, codes)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan or "Broadcast" in plan
+    monkeypatch.setattr(rules, "BROADCAST_CODES_MAX_ROWS", 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = rules.keep_valid_codes(df, codes)
+        assert "Broadcast" not in big._jdf.queryExecution().executedPlan().toString()
+        assert [r.diagnosis_code for r in big.collect()] == ["A90"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

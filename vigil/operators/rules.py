@@ -56,21 +56,27 @@ def parse_visit_date(df: DataFrame, column: str = "visit_date") -> DataFrame:
     return df.filter(F.col(column).isNotNull())
 
 
+# Largest code table that is broadcast to every task; beyond it, a shuffle join.
+BROADCAST_CODES_MAX_ROWS = 100_000
+
+
 def keep_valid_codes(
     df: DataFrame, codes: Iterable[str] | DataFrame = VALID_CODES, column: str = "diagnosis_code"
 ) -> DataFrame:
     """Keep rows whose code is in the valid set (case-sensitive, null dropped).
 
     A list becomes an ``InSet`` predicate inside the scan stage. A code table
-    becomes a left-semi join; Spark broadcasts it only when its measured size
-    is under ``spark.sql.autoBroadcastJoinThreshold``, and otherwise shuffles.
+    becomes a left-semi join: broadcast when a bounded count (it reads at
+    most ``BROADCAST_CODES_MAX_ROWS + 1`` rows) shows it is small, otherwise
+    a shuffle join on the code.
     """
     if column not in df.columns:
         return df
     if isinstance(codes, DataFrame):
         code_col = codes.columns[0]
         table = codes.select(F.col(code_col).alias(column)).dropna().distinct()
-        return df.join(table, on=column, how="left_semi")
+        small = table.limit(BROADCAST_CODES_MAX_ROWS + 1).count() <= BROADCAST_CODES_MAX_ROWS
+        return df.join(F.broadcast(table) if small else table, on=column, how="left_semi")
     return df.filter(F.col(column).isin(list(codes)))
 
 

@@ -58,7 +58,8 @@ def cleanse_jsonl_zone(spark: SparkSession, raw_path: str, cleansed_path: str,
 
 def curate_zone(spark: SparkSession, cleansed_path: str, curated_path: str, table: str | None = None) -> str:
     """Cleansed CSV -> curated Parquet; refresh the external table if one is named."""
-    cleansed = require_rows(read_cleansed_csv(spark, cleansed_path, suffixes=("csv",)), cleansed_path)
+    # Every file of the zone, as before (Spark skips _SUCCESS and hidden files).
+    cleansed = require_rows(read_cleansed_csv(spark, cleansed_path, suffixes=None), cleansed_path)
     write_curated(cleansed, curated_path)
     if table:
         refresh_table(spark, table)
