@@ -23,7 +23,8 @@ def test_topic_options_flush_by_size_and_time():
     assert opts["maxOffsetsPerTrigger"] == opts["minOffsetsPerTrigger"] == "500"
     assert opts["maxTriggerDelay"] == "10s"
     size_only = topic_options(LakeConfig(flush_by_time=False))
-    assert "maxTriggerDelay" not in size_only and size_only["maxOffsetsPerTrigger"] == "500"
+    assert size_only["minOffsetsPerTrigger"] == size_only["maxOffsetsPerTrigger"] == "500"
+    assert size_only["maxTriggerDelay"] == "3650d"
 
 
 def test_trigger_from_config():

@@ -61,7 +61,8 @@ def main(argv: list[str] | None = None) -> int:
         day = dt.date.fromisoformat(args.report_date) if args.report_date else None
         out = daily_report(spark, cfg, args.report_dir or cfg.zone_path("reports"), day)
     else:
-        trigger = Trigger(available_now=True) if args.drain else Trigger.from_config(cfg)
+        # The topic options carry the size / time flush rule; drain = final flush.
+        trigger = Trigger(available_now=True) if args.drain else Trigger()
         ckpt = f"{work_root(spark)}/vigil-streams/{args.command}"
         topic = read_topic(spark, cfg)
         if args.command == "stream-raw":

@@ -15,22 +15,29 @@ from pyspark.sql import functions as F
 from vigil.config import LakeConfig
 
 
+# Stand-in for "never flush by time": only a full batch (or the final drain) triggers.
+NO_TIME_FLUSH_DELAY = "3650d"
+
+
 def topic_options(cfg: LakeConfig, starting_offsets: str = "latest") -> dict[str, str]:
-    """Kafka source options: start at latest, flush at ``batch_size`` or after ``flush_seconds``."""
-    opts = {
+    """Kafka source options implementing the flush rule.
+
+    A micro-batch runs when ``batch_size`` messages are waiting, or, with
+    time flushing on, once ``flush_seconds`` have passed since the last one
+    with fewer waiting; it never takes more than ``batch_size``. Use the
+    default trigger with these options (or ``availableNow`` to drain).
+    """
+    return {
         "kafka.bootstrap.servers": cfg.bootstrap,
         "subscribe": cfg.topic,
         "startingOffsets": starting_offsets,
         # Offsets are tracked in the checkpoint; the group id only names the consumers.
         "groupIdPrefix": cfg.group_id,
+        "minOffsetsPerTrigger": str(cfg.batch_size),
         "maxOffsetsPerTrigger": str(cfg.batch_size),
+        "maxTriggerDelay": f"{cfg.flush_seconds}s" if cfg.flush_by_time else NO_TIME_FLUSH_DELAY,
         "failOnDataLoss": "false",
     }
-    if cfg.flush_by_time:
-        # Wait for a full batch, but no longer than flush_seconds.
-        opts["minOffsetsPerTrigger"] = str(cfg.batch_size)
-        opts["maxTriggerDelay"] = f"{cfg.flush_seconds}s"
-    return opts
 
 
 def read_topic(spark: SparkSession, cfg: LakeConfig, starting_offsets: str = "latest") -> DataFrame:

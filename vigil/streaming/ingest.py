@@ -43,7 +43,10 @@ class Trigger:
 
     @classmethod
     def from_config(cls, cfg: LakeConfig) -> Trigger:
-        """Time-based flush when enabled; otherwise a batch as soon as data is there."""
+        """For sources without offset bounds (files): a batch every ``flush_seconds``
+        when time flushing is on, otherwise as soon as data is there. The topic
+        source implements the flush rule itself (``topic_options``) and runs on
+        the default trigger."""
         return cls(processing_time=f"{cfg.flush_seconds} seconds") if cfg.flush_by_time else cls()
 
 
