@@ -45,6 +45,13 @@ def local_session(
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return None
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -52,18 +59,21 @@ def work_root(spark: SparkSession) -> str:
     checkpoint directory, but only for a ``local[...]`` master: on a cluster
     an unset setting is an error, never a machine-local folder.
     """
-    conf = spark.sparkContext.getConf()
-    root = conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         # setCheckpointDir appends a random child folder; share its parent.
         return current.rstrip("/").rsplit("/", 1)[0]
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     root = tempfile.mkdtemp(prefix="vigil-checkpoint-")
-    spark.sparkContext.setCheckpointDir(root)
+    if sc is not None:
+        sc.setCheckpointDir(root)
+    else:
+        spark.conf.set("spark.checkpoint.dir", root)
     return root
 
 
