@@ -29,10 +29,13 @@ def test_csv_lane_counts_and_report(spark, tmp):
 
 def test_json_lane_matches_the_fixture_counts(spark, tmp):
     cfg = LakeConfig(lake_root=tmp)
-    write_lines(load_visit_messages(spark, SF), f"{cfg.raw_path}/2024")
-    res = cleanse_jsonl_zone(spark, cfg.raw_path, cfg.cleansed_path, suffixes=None)
+    write_lines(load_visit_messages(spark, SF).repartition(2), f"{cfg.raw_path}/2024")
+    res = cleanse_jsonl_zone(spark, cfg.raw_path, cfg.cleansed_path, suffixes=None,
+                             quality_path=f"{tmp}/quality")
     assert (res.rows_before, res.rows_after) == (9854, 5484)
     assert (res.missing_required, res.bad_date, res.invalid_code) == (1472, 983, 1915)
+    per_file = spark.read.option("header", True).option("inferSchema", True).csv(f"{tmp}/quality").collect()
+    assert len(per_file) == 2 and sum(r.rows_after for r in per_file) == 5484
 
 
 def test_direct_load_keeps_empty_ids_and_feeds_the_table(spark, tmp):

@@ -118,3 +118,14 @@ def test_curated_scan_prunes_partitions(spark, tmp):
     assert "PartitionFilters: [isnotnull(visit_date" in plan
     assert "PushedFilters: [IsNotNull(county), EqualTo(county,Kisumu)]" in plan
     assert df.count() > 0
+
+
+def test_jsonl_sink_round_trip(spark, tmp):
+    from vigil.sinks import write_jsonl
+    from vigil.sources.fixture import load_raw_visits
+    from tests_helpers import same_rows
+
+    raw = load_raw_visits(spark, "/root/testdata/sf0.001")
+    write_jsonl(raw, f"{tmp}/j")
+    back = read_jsonl(spark, f"{tmp}/j", suffixes=("json",))
+    assert same_rows(back, raw)

@@ -44,15 +44,18 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--report-dir", default=None, help="report base folder (default <lake>/reports)")
     p.add_argument("--report-date", default=None, help="YYYY-MM-DD (default: today, UTC)")
     p.add_argument("--drain", action="store_true", help="streams: process what is there and stop")
+    p.add_argument("--quality-dir", default=None, help="cleanse jobs: also write per-file counts here")
     args = p.parse_args(argv)
 
     cfg = LakeConfig.from_env()
     spark = _session()
     out: object
     if args.command == "cleanse-csv":
-        out = asdict(cleanse_csv_zone(spark, cfg.raw_path, cfg.cleansed_path, codes=cfg.valid_codes))
+        out = asdict(cleanse_csv_zone(spark, cfg.raw_path, cfg.cleansed_path, codes=cfg.valid_codes,
+                                       quality_path=args.quality_dir))
     elif args.command == "cleanse-jsonl":
-        out = asdict(cleanse_jsonl_zone(spark, cfg.raw_path, cfg.cleansed_path, codes=cfg.valid_codes))
+        out = asdict(cleanse_jsonl_zone(spark, cfg.raw_path, cfg.cleansed_path, codes=cfg.valid_codes,
+                                         quality_path=args.quality_dir))
     elif args.command == "curate":
         out = curate_zone(spark, cfg.cleansed_path, cfg.curated_path)
     elif args.command == "register":

@@ -4,7 +4,6 @@ All built-in Spark functions: they stay inside whole-stage codegen.
 """
 
 from vigil.functions.columns import (
-    iso_instant_text,
     json_text,
     looks_like_json_object,
     space_trim,
@@ -14,7 +13,6 @@ from vigil.functions.columns import (
 )
 
 __all__ = [
-    "iso_instant_text",
     "json_text",
     "looks_like_json_object",
     "space_trim",

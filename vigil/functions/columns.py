@@ -36,11 +36,6 @@ def utc_instant(c: Column) -> Column:
     return F.try_to_timestamp(c)
 
 
-def iso_instant_text(ts: Column) -> Column:
-    """A UTC wall-clock timestamp rendered as ISO-8601 text with a +00:00 offset."""
-    return F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
-
-
 def json_text(*cols: Column | str) -> Column:
     """One JSON object per row, null fields written as ``null``."""
     return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from vigil.config import VALID_CODES, LakeConfig
-from vigil.operators.rules import cleanse, observe_quality
+from vigil.operators.rules import cleanse, observe_quality, quality
 from vigil.operators.report import outbreaks
 from vigil.sinks.files import write_csv, write_curated, write_report_csv
 from vigil.sources.catalog import refresh_table, register_table, scan_table
@@ -35,25 +35,31 @@ class LoadResult:
     invalid_code: int
 
 
-def _cleanse_and_write(raw: DataFrame, out: str, write, codes=VALID_CODES) -> LoadResult:
+def _cleanse_and_write(raw: DataFrame, out: str, write, codes=VALID_CODES, quality_path: str | None = None,
+                       source=None) -> LoadResult:
     observed, obs = observe_quality(raw, codes=codes)
     write(cleanse(observed, codes), out)
+    if quality_path:
+        # Per-file before / after / removed: a second pass over the raw zone,
+        # pruned to the four rule columns, aggregated map-side, written by Spark.
+        write_csv(quality(raw, by=source, codes=codes), quality_path)
     m = obs.get
     return LoadResult(out, m["rows_before"], m["rows_after"], m["rows_removed"],
                       m["missing_required"], m["bad_date"], m["invalid_code"])
 
 
-def cleanse_csv_zone(spark: SparkSession, raw_path: str, cleansed_path: str, codes=VALID_CODES) -> LoadResult:
+def cleanse_csv_zone(spark: SparkSession, raw_path: str, cleansed_path: str, codes=VALID_CODES,
+                     quality_path: str | None = None) -> LoadResult:
     """Flat ``*.csv`` (any case) in the raw zone -> cleansed CSV."""
     raw = require_rows(read_csv(spark, raw_path, suffixes=("csv",), recursive=False), raw_path)
-    return _cleanse_and_write(raw, cleansed_path, write_csv, codes)
+    return _cleanse_and_write(raw, cleansed_path, write_csv, codes, quality_path)
 
 
 def cleanse_jsonl_zone(spark: SparkSession, raw_path: str, cleansed_path: str,
-                       suffixes=("jsonl",), codes=VALID_CODES) -> LoadResult:
+                       suffixes=("jsonl",), codes=VALID_CODES, quality_path: str | None = None) -> LoadResult:
     """Every ``*.jsonl`` below the raw zone -> cleansed CSV."""
-    raw = require_rows(read_jsonl(spark, raw_path, suffixes=suffixes, recursive=True), raw_path)
-    return _cleanse_and_write(raw, cleansed_path, write_csv, codes)
+    raw = require_rows(read_jsonl(spark, raw_path, suffixes=suffixes, recursive=True, keep_source=True), raw_path)
+    return _cleanse_and_write(raw, cleansed_path, write_csv, codes, quality_path, source="source")
 
 
 def curate_zone(spark: SparkSession, cleansed_path: str, curated_path: str, table: str | None = None) -> str:

@@ -4,45 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
 
+from vigil.config import PREFERRED_COLUMNS
+
 CORRUPT_COLUMN = "_corrupt_record"
 
+
+def _visit(date_type, time_type) -> StructType:
+    """The visit columns in their fixed order, text except the two typed ones."""
+    typed = {"visit_date": date_type, "event_time_utc": time_type}
+    return StructType([StructField(c, typed.get(c, StringType())) for c in PREFERRED_COLUMNS])
+
+
 # Raw visit as it arrives in CSV files or JSON messages: all text, canonical
 # order; the one optional column (event_time_utc) is last, so 6-column CSV
 # files read positionally next to 7-column ones get null there.
-VISIT_RAW = StructType([
-    StructField("patient_id", StringType()),
-    StructField("hospital", StringType()),
-    StructField("county", StringType()),
-    StructField("visit_date", StringType()),
-    StructField("disease", StringType()),
-    StructField("diagnosis_code", StringType()),
-    StructField("event_time_utc", StringType()),
-])
+VISIT_RAW = _visit(StringType(), StringType())
 
 # Raw JSON message parse target: the raw visit plus the corrupt-record slot.
 VISIT_MESSAGE = StructType(VISIT_RAW.fields + [StructField(CORRUPT_COLUMN, StringType())])
 
 # Cleansed visit: dates parsed, the event time still the text it arrived as.
-VISIT_CLEANSED = StructType([
-    StructField("patient_id", StringType()),
-    StructField("hospital", StringType()),
-    StructField("county", StringType()),
-    StructField("visit_date", DateType()),
-    StructField("disease", StringType()),
-    StructField("diagnosis_code", StringType()),
-    StructField("event_time_utc", StringType()),
-])
+VISIT_CLEANSED = _visit(DateType(), StringType())
 
 # Curated visit (the external table): event time as an instant.
-VISIT = StructType([
-    StructField("patient_id", StringType()),
-    StructField("hospital", StringType()),
-    StructField("county", StringType()),
-    StructField("visit_date", DateType()),
-    StructField("disease", StringType()),
-    StructField("diagnosis_code", StringType()),
-    StructField("event_time_utc", TimestampType()),
-])
+VISIT = _visit(DateType(), TimestampType())
 
 REPORT = StructType([
     StructField("county", StringType()),

@@ -28,11 +28,6 @@ def valid_messages(df: DataFrame, value: str = "value") -> DataFrame:
     return df.filter(is_valid_message(df, value))
 
 
-def flag_messages(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``valid`` (boolean) without dropping anything, for counting drops."""
-    return df.withColumn("valid", is_valid_message(df, value))
-
-
 def parse_messages(df: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Valid messages as raw visit columns (all text), invalid ones dropped.
 
