@@ -42,3 +42,17 @@ def test_stream_reports_quality_per_batch(spark, tmp):
     totals = [p["observedMetrics"][QUALITY_METRICS] for p in batches]
     assert sum(int(m["rows_after"]) for m in totals) == 554
     assert sum(int(m["rows_before"]) for m in totals) == 981
+
+
+def test_stream_writes_at_most_files_per_date_per_batch(spark, tmp):
+    import glob
+
+    landing, raw, cur, q = _lanes(spark, tmp)
+    batches = len([p for p in q.recentProgress if p["numInputRows"] > 0])
+    for day_dir in glob.glob(f"{cur}/visit_date=*"):
+        assert len(glob.glob(f"{day_dir}/*.parquet")) <= batches
+    salted = f"{tmp}/salted"
+    run_to_end(stream_curate(read_message_files(spark, raw, 1), salted, f"{tmp}/ck/salted", files_per_date=3))
+    assert same_rows(read_curated(spark, salted), read_curated(spark, cur))
+    for day_dir in glob.glob(f"{salted}/visit_date=*"):
+        assert len(glob.glob(f"{day_dir}/*.parquet")) <= 3 * batches

@@ -13,6 +13,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vigil.config import VALID_CODES, LakeConfig
@@ -68,14 +69,28 @@ def stream_raw(messages: DataFrame, raw_path: str, checkpoint: str, trigger: Tri
     return trigger.apply(writer).start()
 
 
-def curated_stream(messages: DataFrame, codes=VALID_CODES) -> DataFrame:
-    """Messages -> valid JSON objects -> cleansed -> curated, with quality metrics observed."""
+def curated_stream(messages: DataFrame, codes=VALID_CODES, files_per_date: int | None = 1) -> DataFrame:
+    """Messages -> valid JSON objects -> cleansed -> curated, with quality metrics observed.
+
+    With ``files_per_date`` set, each micro-batch is hash-partitioned by
+    ``visit_date`` (plus a deterministic row hash modulo ``files_per_date``)
+    before the sink, so a batch writes at most that many files per date
+    instead of one per input task and date. Micro-batches get no AQE, so a
+    date holding a large share of a big batch is spread by raising
+    ``files_per_date``; retried tasks recompute the same partitions.
+    """
     visits = observe_quality_stream(parse_messages(messages), QUALITY_METRICS, codes)
-    return curate(cleanse(visits, codes))
+    curated = curate(cleanse(visits, codes))
+    if not files_per_date:
+        return curated
+    if files_per_date == 1:
+        return curated.repartition("visit_date")
+    salt = F.pmod(F.xxhash64(*curated.columns), F.lit(files_per_date))
+    return curated.repartition(F.col("visit_date"), salt)
 
 
 def stream_curate(messages: DataFrame, curated_path: str, checkpoint: str, trigger: Trigger = DRAIN,
-                  name: str | None = None, codes=VALID_CODES) -> StreamingQuery:
+                  name: str | None = None, codes=VALID_CODES, files_per_date: int | None = 1) -> StreamingQuery:
     """Append curated visits to Parquet partitioned by ``visit_date``.
 
     Per micro-batch the before / after / removed counts are in
@@ -83,7 +98,7 @@ def stream_curate(messages: DataFrame, curated_path: str, checkpoint: str, trigg
     message count in ``numInputRows``.
     """
     writer = (
-        curated_stream(messages, codes)
+        curated_stream(messages, codes, files_per_date)
         .writeStream.format("parquet")
         .option("path", curated_path)
         .option("checkpointLocation", checkpoint)
