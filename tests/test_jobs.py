@@ -76,3 +76,28 @@ def test_command_line_jobs(spark, tmp, monkeypatch, capsys):
     assert main(["report", "--report-date", "2024-02-01"]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out.endswith("reports/report_date=20240201")
+
+
+def test_command_line_stream_from_raw_and_catalog(spark, tmp, monkeypatch, capsys):
+    import json
+
+    from vigil.__main__ import main
+    from vigil.sources import read_curated
+
+    monkeypatch.setenv("LAKE_ROOT", tmp)
+    monkeypatch.setenv("LAKE_DATABASE", "ph_cli_stream")
+    write_lines(load_visit_messages(spark, "/root/testdata/sf0.001"), f"{tmp}/raw")
+    assert main(["stream-curate", "--from-raw", "--drain"]) == 0
+    assert read_curated(spark, f"{tmp}/curated").count() == 554
+    assert main(["register"]) == 0
+    assert main(["catalog"]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert "spark_catalog" in out["catalogs"] and "ph_cli_stream" in out["databases"]
+    assert out["tables"] == ["patient_visits"]
+    # A later batch over the stream output shows up after a refresh.
+    from vigil.sources import refresh_table, scan_table
+
+    write_lines(load_visit_messages(spark, "/root/testdata/sf0.001"), f"{tmp}/raw", mode="append")
+    assert main(["stream-curate", "--from-raw", "--drain"]) == 0
+    refresh_table(spark, "ph_cli_stream.patient_visits")
+    assert scan_table(spark, "ph_cli_stream.patient_visits").count() == 2 * 554

@@ -6,7 +6,8 @@
     python -m vigil register        # external table over the curated zone
     python -m vigil report          # outbreak report -> dated CSV folder
     python -m vigil stream-raw      # topic -> raw zone (one line per message)
-    python -m vigil stream-curate   # topic -> curated Parquet, cleansed on the way
+    python -m vigil stream-curate   # topic (or --from-raw: the raw zone) -> curated Parquet
+    python -m vigil catalog         # catalogs, databases and the lake's tables
 
 Zones, topic and flush settings come from the environment (see
 ``LakeConfig.from_env``). The session is the one the cluster provides.
@@ -25,8 +26,8 @@ from pyspark.sql import SparkSession
 from vigil.config import LakeConfig
 from vigil.plans.batch import cleanse_csv_zone, cleanse_jsonl_zone, curate_zone, daily_report
 from vigil.session import RUNTIME_CONF, work_root
-from vigil.sources.catalog import register_table
-from vigil.sources.topic import read_topic
+from vigil.sources.catalog import create_schema, list_catalogs, list_databases, register_table
+from vigil.sources.topic import read_message_files, read_topic
 from vigil.streaming.ingest import Trigger, stream_curate, stream_raw
 
 
@@ -40,11 +41,13 @@ def _session() -> SparkSession:
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="vigil")
     p.add_argument("command", choices=["cleanse-csv", "cleanse-jsonl", "curate", "register", "report",
-                                       "stream-raw", "stream-curate"])
+                                       "stream-raw", "stream-curate", "catalog"])
     p.add_argument("--report-dir", default=None, help="report base folder (default <lake>/reports)")
     p.add_argument("--report-date", default=None, help="YYYY-MM-DD (default: today, UTC)")
     p.add_argument("--drain", action="store_true", help="streams: process what is there and stop")
     p.add_argument("--quality-dir", default=None, help="cleanse jobs: also write per-file counts here")
+    p.add_argument("--from-raw", action="store_true",
+                   help="stream-curate: follow the raw zone written by stream-raw instead of the topic")
     args = p.parse_args(argv)
 
     cfg = LakeConfig.from_env()
@@ -63,15 +66,27 @@ def main(argv: list[str] | None = None) -> int:
     elif args.command == "report":
         day = dt.date.fromisoformat(args.report_date) if args.report_date else None
         out = daily_report(spark, cfg, args.report_dir or cfg.zone_path("reports"), day)
+    elif args.command == "catalog":
+        create_schema(spark, cfg.database)
+        out = {
+            "catalogs": list_catalogs(spark),
+            "databases": list_databases(spark),
+            "tables": [t.name for t in spark.catalog.listTables(cfg.database)],
+        }
     else:
-        # The topic options carry the size / time flush rule; drain = final flush.
-        trigger = Trigger(available_now=True) if args.drain else Trigger()
         ckpt = f"{work_root(spark)}/vigil-streams/{args.command}"
-        topic = read_topic(spark, cfg)
+        if args.command == "stream-curate" and args.from_raw:
+            # Files have no offset bounds: flush by time through the trigger.
+            source = read_message_files(spark, cfg.raw_path)
+            trigger = Trigger(available_now=True) if args.drain else Trigger.from_config(cfg)
+        else:
+            # The topic options carry the size / time flush rule; drain = final flush.
+            source = read_topic(spark, cfg)
+            trigger = Trigger(available_now=True) if args.drain else Trigger()
         if args.command == "stream-raw":
-            query = stream_raw(topic, cfg.raw_path, ckpt, trigger, name="vigil-stream-raw")
+            query = stream_raw(source, cfg.raw_path, ckpt, trigger, name="vigil-stream-raw")
         else:
-            query = stream_curate(topic, cfg.curated_path, ckpt, trigger, name="vigil-stream-curate",
+            query = stream_curate(source, cfg.curated_path, ckpt, trigger, name="vigil-stream-curate",
                                   codes=cfg.valid_codes)
         query.awaitTermination()
         out = query.lastProgress

@@ -54,8 +54,15 @@ def register_table(
 
 
 def refresh_table(spark: SparkSession, name: str) -> None:
-    """Pick up new partitions and files written since the last read."""
-    spark.catalog.recoverPartitions(name)
+    """Pick up new partitions and files written since the last read.
+
+    Over batch output the catalog tracks partitions, so new dates are added
+    with ``recoverPartitions``. Over a stream sink's output Spark reads the
+    sink's commit log instead and keeps no partitions in the catalog; a
+    refresh is all it needs.
+    """
+    if any(c.isPartition for c in spark.catalog.listColumns(name.replace("`", ""))):
+        spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
 
 
