@@ -106,3 +106,49 @@ def test_report_equals_brute_force(spark, visits):
     # Ordered by date, county, disease with nulls last.
     keys = [(r[2], r[0] is None, r[0] or "", r[1]) for r in got]
     assert keys == sorted(keys)
+
+
+def _brute_valid(line: str) -> bool:
+    import json
+
+    try:
+        return isinstance(json.loads(line), dict)
+    except ValueError:
+        return False
+
+
+TEXT = st.text(alphabet=st.characters(min_codepoint=32, max_codepoint=0x2FF, exclude_characters='"\\'), max_size=8)
+FIELDS = st.sampled_from(["patient_id", "county", "visit_date", "disease", "diagnosis_code", "other"])
+VALUES = st.one_of(TEXT, st.integers(-5, 5), st.none(), st.booleans(), st.lists(st.integers(0, 3), max_size=2))
+
+
+@st.composite
+def messages(draw):
+    import json
+
+    obj = json.dumps(draw(st.dictionaries(FIELDS, VALUES, max_size=4)))
+    kind = draw(st.sampled_from(["plain", "padded", "truncated", "garbage", "scalar", "array", "blank"]))
+    if kind == "padded":
+        return draw(st.sampled_from([" ", "\t", "\n ", ""])) + obj + draw(st.sampled_from([" ", "\r", ""]))
+    if kind == "truncated":
+        return obj[: draw(st.integers(0, max(0, len(obj) - 1)))]
+    if kind == "garbage":
+        return obj + draw(st.sampled_from([" x", ",", " ]", "{"]))
+    if kind == "scalar":
+        return draw(st.sampled_from(["123", "null", "true", '"text"', "1.5"]))
+    if kind == "array":
+        return f"[{obj}]"
+    if kind == "blank":
+        return ""
+    return obj
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(lines=st.lists(messages(), min_size=1, max_size=30))
+def test_message_validity_equals_a_strict_json_check(spark, lines):
+    from vigil.sources.messages import parse_messages, valid_messages
+
+    df = spark.createDataFrame([(v,) for v in lines], "value string")
+    got = Counter(r.value for r in valid_messages(df).collect())
+    assert got == Counter(v for v in lines if _brute_valid(v))
+    assert parse_messages(df).count() == sum(got.values())
