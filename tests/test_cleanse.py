@@ -103,13 +103,27 @@ def test_quality_counts_first_failing_rule(spark):
 
 
 def test_observed_quality_in_the_writing_pass(spark, tmp):
-    from vigil.operators import observe_quality
+    from tests_helpers import same_rows
+
+    from vigil.operators import cleanse_observed
     from vigil.sources.fixture import load_raw_visits
 
-    observed, obs = observe_quality(load_raw_visits(spark, "/root/testdata/sf0.001"))
-    cleanse(observed).write.format("noop").mode("overwrite").save()
+    raw_df = load_raw_visits(spark, "/root/testdata/sf0.01")
+    cleansed, obs = cleanse_observed(raw_df)
+    cleansed.write.format("noop").mode("overwrite").save()
     m = obs.get
-    assert (m["rows_before"], m["rows_after"]) == (981, 554)
+    assert (m["rows_before"], m["rows_after"], m["rows_removed"]) == (9854, 5484, 4370)
+    assert (m["missing_required"], m["bad_date"], m["invalid_code"]) == (1472, 983, 1915)
+    assert same_rows(cleansed, cleanse(raw_df))
+
+
+def test_observed_cleanse_parses_each_date_once(spark):
+    from vigil.operators import cleanse_observed
+    from vigil.sources.fixture import load_raw_visits
+
+    cleansed, _ = cleanse_observed(load_raw_visits(spark, "/root/testdata/sf0.001"))
+    plan = cleansed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("gettimestamp(") == 1
 
 
 def test_date_shape_guard_never_changes_a_parse(spark):

@@ -5,8 +5,8 @@ from vigil.operators.rules import (
     conform,
     drop_missing,
     keep_valid_codes,
-    observe_quality,
-    observe_quality_stream,
+    cleanse_observed,
+    cleanse_observed_stream,
     parse_visit_date,
     quality,
     reject_reason,
@@ -24,8 +24,8 @@ __all__ = [
     "growth_filter",
     "keep_valid_codes",
     "lag_rolling_cases",
-    "observe_quality",
-    "observe_quality_stream",
+    "cleanse_observed",
+    "cleanse_observed_stream",
     "outbreaks",
     "parse_visit_date",
     "quality",

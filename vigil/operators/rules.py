@@ -96,6 +96,33 @@ def conform(df: DataFrame, schema: StructType = VISIT_CLEANSED) -> DataFrame:
     ])
 
 
+_DATE_MISSING = "_visit_date_missing"
+
+
+def _prepared(df: DataFrame) -> tuple[DataFrame, dict]:
+    """Trimmed and parsed columns, each computed once; plus, when the date is
+    text, a flag telling a missing date from one that did not parse."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    trim_set = set(TRIM_COLUMNS) & {n for n, t in types.items() if isinstance(t, StringType)}
+
+    def value(name: str) -> Column:
+        c = space_trim(F.col(name)) if name in trim_set else F.col(name)
+        if name == "visit_date" and not isinstance(types[name], DateType):
+            c = strict_date(c)
+        return c
+
+    extra = [F.col("visit_date").isNull().alias(_DATE_MISSING)] if "visit_date" in types else []
+    return df.select(*[value(n).alias(n) for n in types], *extra), types
+
+
+def _keep(types: dict, codes: Iterable[str]) -> Column | None:
+    """The cleanse predicate over prepared columns (required, parsed date, code)."""
+    checks = [F.col(c).isNotNull() for c in REQUIRED_COLUMNS if c in types]
+    if "diagnosis_code" in types:
+        checks.append(F.col("diagnosis_code").isin(list(codes)))
+    return reduce(lambda a, b: a & b, checks) if checks else None
+
+
 def cleanse(
     df: DataFrame,
     codes: Iterable[str] | DataFrame = VALID_CODES,
@@ -109,24 +136,54 @@ def cleanse(
     """
     if isinstance(codes, DataFrame):
         return conform(keep_valid_codes(parse_visit_date(drop_missing(trim_fields(df))), codes), schema)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    text = {n for n, t in types.items() if isinstance(t, StringType)}
-    trim_set = set(TRIM_COLUMNS) & text
+    prepared, types = _prepared(df)
+    keep = _keep(types, codes)
+    return conform(prepared.filter(keep) if keep is not None else prepared, schema)
 
-    def value(name: str) -> Column:
-        c = space_trim(F.col(name)) if name in trim_set else F.col(name)
-        if name == "visit_date" and not isinstance(types[name], DateType):
-            c = strict_date(c)
-        return c
 
-    out = [value(n).alias(n) for n in types]
-    checks = [F.col(c).isNotNull() for c in REQUIRED_COLUMNS if c in types]
+def _prepared_reason(types: dict, codes: Iterable[str]) -> Column:
+    """``reject_reason`` over prepared columns: null checks and a lookup, no parsing."""
+    checks: list[tuple[Column, str]] = []
+    missing = [F.col(c).isNull() for c in REQUIRED_COLUMNS if c in types and c != "visit_date"]
+    if "visit_date" in types:
+        missing.append(F.col(_DATE_MISSING))
+    if missing:
+        checks.append((reduce(lambda a, b: a | b, missing), MISSING_REQUIRED))
+    if "visit_date" in types:
+        checks.append((F.col("visit_date").isNull(), BAD_DATE))
     if "diagnosis_code" in types:
-        checks.append(F.col("diagnosis_code").isin(list(codes)))
-    projected = df.select(*out)
-    if checks:
-        projected = projected.filter(reduce(lambda a, b: a & b, checks))
-    return conform(projected, schema)
+        checks.append((~F.coalesce(F.col("diagnosis_code").isin(list(codes)), F.lit(False)), INVALID_CODE))
+    return _first_failing(checks)
+
+
+def _cleanse_observed(df: DataFrame, observe, codes: Iterable[str], schema: StructType) -> DataFrame:
+    prepared, types = _prepared(df)
+    observed = observe(prepared, quality_columns(_prepared_reason(types, codes)))
+    keep = _keep(types, codes)
+    return conform(observed.filter(keep) if keep is not None else observed, schema)
+
+
+def cleanse_observed(
+    df: DataFrame, codes: Iterable[str] = VALID_CODES, schema: StructType = VISIT_CLEANSED,
+    name: str = "cleanse_quality",
+) -> tuple[DataFrame, Observation]:
+    """``cleanse`` plus before / after / removed counts from the same pass.
+
+    Trim and date parse run once per row in a projection; the observed
+    metrics and the filter above it only test nulls and codes (the filter
+    cannot be pushed below the metrics node). Run any action on the returned
+    frame (a write) and read ``observation.get``.
+    """
+    obs = Observation(name)
+    return _cleanse_observed(df, lambda d, m: d.observe(obs, *m), codes, schema), obs
+
+
+def cleanse_observed_stream(
+    df: DataFrame, codes: Iterable[str] = VALID_CODES, schema: StructType = VISIT_CLEANSED,
+    name: str = "cleanse_quality",
+) -> DataFrame:
+    """Streaming form: the counts appear under ``observedMetrics[name]`` per micro-batch."""
+    return _cleanse_observed(df, lambda d, m: d.observe(name, *m), codes, schema)
 
 
 def reject_reason(df: DataFrame, codes: Iterable[str] = VALID_CODES) -> Column:
@@ -149,6 +206,10 @@ def reject_reason(df: DataFrame, codes: Iterable[str] = VALID_CODES) -> Column:
     if "diagnosis_code" in cols:
         valid = space_trim(F.col("diagnosis_code")).isin(list(codes))
         checks.append((~F.coalesce(valid, F.lit(False)), INVALID_CODE))
+    return _first_failing(checks)
+
+
+def _first_failing(checks: list[tuple[Column, str]]) -> Column:
     if not checks:
         return F.lit(None).cast("string")
     cond, label = checks[0]
@@ -183,19 +244,3 @@ def quality(
     reason = reject_reason(df, codes)
     key = F.col("_metadata.file_path") if by is None else (F.col(by) if isinstance(by, str) else by)
     return df.groupBy(key.alias("source")).agg(*quality_columns(reason))
-
-
-def observe_quality(df: DataFrame, name: str = "cleanse_quality", codes: Iterable[str] = VALID_CODES):
-    """Attach before / after counts to ``df`` as observed metrics.
-
-    Returns ``(observed_df, observation)``; cleanse ``observed_df`` and run
-    any action (a write): the counts arrive with it, with no second scan. On a
-    stream use ``observe_quality_stream`` and read ``lastProgress``.
-    """
-    obs = Observation(name)
-    return df.observe(obs, *quality_columns(reject_reason(df, codes))), obs
-
-
-def observe_quality_stream(df: DataFrame, name: str = "cleanse_quality", codes: Iterable[str] = VALID_CODES):
-    """Streaming form: metrics appear under ``observedMetrics[name]`` per micro-batch."""
-    return df.observe(name, *quality_columns(reject_reason(df, codes)))

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from vigil.config import VALID_CODES, LakeConfig
-from vigil.operators.rules import cleanse, observe_quality, quality
+from vigil.operators.rules import cleanse_observed, quality
 from vigil.operators.report import outbreaks
 from vigil.sinks.files import write_csv, write_curated, write_report_csv
 from vigil.sources.catalog import refresh_table, register_table, scan_table
@@ -37,8 +37,8 @@ class LoadResult:
 
 def _cleanse_and_write(raw: DataFrame, out: str, write, codes=VALID_CODES, quality_path: str | None = None,
                        source=None) -> LoadResult:
-    observed, obs = observe_quality(raw, codes=codes)
-    write(cleanse(observed, codes), out)
+    cleansed, obs = cleanse_observed(raw, codes)
+    write(cleansed, out)
     if quality_path:
         # Per-file before / after / removed: a second pass over the raw zone,
         # pruned to the four rule columns, aggregated map-side, written by Spark.

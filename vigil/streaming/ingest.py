@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vigil.config import VALID_CODES, LakeConfig
-from vigil.operators.rules import cleanse, observe_quality_stream
+from vigil.operators.rules import cleanse_observed_stream
 from vigil.operators.curation import curate
 from vigil.sources.messages import parse_messages
 
@@ -79,8 +79,7 @@ def curated_stream(messages: DataFrame, codes=VALID_CODES, files_per_date: int |
     date holding a large share of a big batch is spread by raising
     ``files_per_date``; retried tasks recompute the same partitions.
     """
-    visits = observe_quality_stream(parse_messages(messages), QUALITY_METRICS, codes)
-    curated = curate(cleanse(visits, codes))
+    curated = curate(cleanse_observed_stream(parse_messages(messages), codes, name=QUALITY_METRICS))
     if not files_per_date:
         return curated
     if files_per_date == 1:
