@@ -56,3 +56,20 @@ def test_stream_writes_at_most_files_per_date_per_batch(spark, tmp):
     assert same_rows(read_curated(spark, salted), read_curated(spark, cur))
     for day_dir in glob.glob(f"{salted}/visit_date=*"):
         assert len(glob.glob(f"{day_dir}/*.parquet")) <= 3 * batches
+
+
+def test_events_per_flush_and_time_trigger(spark, tmp):
+    from vigil.streaming import Trigger
+
+    landing, raw = f"{tmp}/landing", f"{tmp}/raw"
+    messages = load_visit_messages(spark, SF)
+    write_lines(messages.repartition(2), landing)
+    # Long-running query flushing on a timer, as with FLUSH_BY_TIME; stopped once caught up.
+    q = stream_raw(read_message_files(spark, landing, 1), raw, f"{tmp}/ck/raw", Trigger(processing_time="1 second"))
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    per_flush = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"] > 0]
+    assert len(per_flush) == 2 and sum(per_flush) == messages.count()
+    assert spark.read.text(raw).count() == messages.count()
