@@ -129,3 +129,9 @@ def test_jsonl_sink_round_trip(spark, tmp):
     write_jsonl(raw, f"{tmp}/j")
     back = read_jsonl(spark, f"{tmp}/j", suffixes=("json",))
     assert same_rows(back, raw)
+
+
+def test_csv_quoting_options(spark, tmp):
+    put(f"{tmp}/q.csv", f'{HEADER}\n"P-1","Mama ""Lucy"" Clinic","C, West",2024-01-05,Malaria,B50\n')
+    row = read_csv(spark, tmp, options={"escape": '"'}).first()
+    assert (row.hospital, row.county, row.disease) == ('Mama "Lucy" Clinic', "C, West", "Malaria")

@@ -63,16 +63,19 @@ def read_csv(
     suffixes: Sequence[str] | None = ("csv",),
     recursive: bool = False,
     by_header: bool = False,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """CSV with a header row.
 
     With a schema, columns are matched by *position* (the canonical order
     puts the one optional column last, so 6- and 7-column files mix). With
     ``by_header=True`` the header names are used instead (all text) and the
-    frame is conformed to ``schema``; one header order per read.
+    frame is conformed to ``schema``; one header order per read. ``options``
+    go to the CSV reader, e.g. ``{"escape": '"'}`` for files that double
+    quotes inside quoted fields (RFC 4180) rather than Spark's backslash.
     """
     reader, paths = _zone(spark, path, suffixes, recursive)
-    reader = reader.option("header", "true")
+    reader = reader.option("header", "true").options(**(options or {}))
     if by_header:
         return conform(_load(str(path), lambda: reader.csv(paths)), schema)
     return _load(str(path), lambda: reader.schema(schema).csv(paths))
