@@ -49,9 +49,9 @@ def _cleanse_and_write(raw: DataFrame, out: str, write, codes=VALID_CODES, quali
 
 
 def cleanse_csv_zone(spark: SparkSession, raw_path: str, cleansed_path: str, codes=VALID_CODES,
-                     quality_path: str | None = None) -> LoadResult:
+                     quality_path: str | None = None, csv_options: dict[str, str] | None = None) -> LoadResult:
     """Flat ``*.csv`` (any case) in the raw zone -> cleansed CSV."""
-    raw = require_rows(read_csv(spark, raw_path, suffixes=("csv",), recursive=False), raw_path)
+    raw = require_rows(read_csv(spark, raw_path, suffixes=("csv",), recursive=False, options=csv_options), raw_path)
     return _cleanse_and_write(raw, cleansed_path, write_csv, codes, quality_path)
 
 
