@@ -152,3 +152,36 @@ def test_message_validity_equals_a_strict_json_check(spark, lines):
     got = Counter(r.value for r in valid_messages(df).collect())
     assert got == Counter(v for v in lines if _brute_valid(v))
     assert parse_messages(df).count() == sum(got.values())
+
+
+def brute_reason(r):
+    pid, _, _, date, disease, code, _ = [_space_trim(v) for v in r[:6]] + [r[6]]
+    if None in (pid, disease, code, date):
+        return "missing_required"
+    if _strict_date(date) is None:
+        return "bad_date"
+    if code not in VALID_CODES:
+        return "invalid_code"
+    return None
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=ROWS)
+def test_quality_counts_equal_brute_force(spark, rows):
+    from pyspark.sql import functions as F
+
+    from vigil.operators import cleanse_observed, quality
+
+    df = spark.createDataFrame(rows, VISIT_RAW)
+    reasons = Counter(brute_reason(r) for r in rows)
+    want = {
+        "rows_before": len(rows), "rows_after": reasons[None], "rows_removed": len(rows) - reasons[None],
+        "missing_required": reasons["missing_required"], "bad_date": reasons["bad_date"],
+        "invalid_code": reasons["invalid_code"],
+    }
+    q = quality(df, by=F.lit("all")).collect()
+    if rows:
+        assert {k: q[0][k] for k in want} == want
+    cleansed, obs = cleanse_observed(df)
+    cleansed.write.format("noop").mode("overwrite").save()
+    assert {k: obs.get[k] for k in want} == want
