@@ -73,3 +73,13 @@ def test_events_per_flush_and_time_trigger(spark, tmp):
     per_flush = [p["numInputRows"] for p in q.recentProgress if p["numInputRows"] > 0]
     assert len(per_flush) == 2 and sum(per_flush) == messages.count()
     assert spark.read.text(raw).count() == messages.count()
+
+
+def test_report_over_stream_output_equals_batch(spark, tmp):
+    from vigil.operators import outbreaks
+
+    _, _, cur, _ = _lanes(spark, tmp)
+    batch = outbreaks(cleanse(parse_messages(load_visit_messages(spark, SF))))
+    streamed = outbreaks(read_curated(spark, cur))
+    assert streamed.count() == 31
+    assert same_rows(streamed, batch)
