@@ -83,3 +83,12 @@ def test_report_over_stream_output_equals_batch(spark, tmp):
     streamed = outbreaks(read_curated(spark, cur))
     assert streamed.count() == 31
     assert same_rows(streamed, batch)
+
+
+def test_stream_write_tasks_in_plan(spark, tmp):
+    from vigil.streaming.ingest import STREAM_WRITE_TASKS, curated_stream
+
+    # A fixed task count, whatever spark.sql.shuffle.partitions says (streams have no AQE).
+    df = curated_stream(spark.readStream.schema("value string").text(tmp))
+    plan = df._jdf.queryExecution().logical().toString()
+    assert f"RepartitionByExpression ['visit_date], {STREAM_WRITE_TASKS}" in plan

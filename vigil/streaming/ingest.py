@@ -69,27 +69,36 @@ def stream_raw(messages: DataFrame, raw_path: str, checkpoint: str, trigger: Tri
     return trigger.apply(writer).start()
 
 
-def curated_stream(messages: DataFrame, codes=VALID_CODES, files_per_date: int | None = 1) -> DataFrame:
+# Tasks that write one micro-batch. Streams run without AQE, so the session's
+# shuffle partition count (thousands on a cluster) would otherwise schedule
+# that many mostly empty tasks per batch.
+STREAM_WRITE_TASKS = 32
+
+
+def curated_stream(messages: DataFrame, codes=VALID_CODES, files_per_date: int | None = 1,
+                   write_tasks: int = STREAM_WRITE_TASKS) -> DataFrame:
     """Messages -> valid JSON objects -> cleansed -> curated, with quality metrics observed.
 
-    With ``files_per_date`` set, each micro-batch is hash-partitioned by
-    ``visit_date`` (plus a deterministic row hash modulo ``files_per_date``)
-    before the sink, so a batch writes at most that many files per date
-    instead of one per input task and date. Micro-batches get no AQE, so a
-    date holding a large share of a big batch is spread by raising
+    With ``files_per_date`` set, each micro-batch is hash-partitioned into
+    ``write_tasks`` tasks by ``visit_date`` (plus a deterministic row hash
+    modulo ``files_per_date``) before the sink: all rows of a date (and salt)
+    meet in one task, so a batch writes at most ``files_per_date`` files per
+    date instead of one per input task and date. Micro-batches get no AQE, so
+    a date holding a large share of a big batch is spread by raising
     ``files_per_date``; retried tasks recompute the same partitions.
     """
     curated = curate(cleanse_observed_stream(parse_messages(messages), codes, name=QUALITY_METRICS))
     if not files_per_date:
         return curated
     if files_per_date == 1:
-        return curated.repartition("visit_date")
+        return curated.repartition(write_tasks, "visit_date")
     salt = F.pmod(F.xxhash64(*curated.columns), F.lit(files_per_date))
-    return curated.repartition(F.col("visit_date"), salt)
+    return curated.repartition(write_tasks, F.col("visit_date"), salt)
 
 
 def stream_curate(messages: DataFrame, curated_path: str, checkpoint: str, trigger: Trigger = DRAIN,
-                  name: str | None = None, codes=VALID_CODES, files_per_date: int | None = 1) -> StreamingQuery:
+                  name: str | None = None, codes=VALID_CODES, files_per_date: int | None = 1,
+                  write_tasks: int = STREAM_WRITE_TASKS) -> StreamingQuery:
     """Append curated visits to Parquet partitioned by ``visit_date``.
 
     Per micro-batch the before / after / removed counts are in
@@ -97,7 +106,7 @@ def stream_curate(messages: DataFrame, curated_path: str, checkpoint: str, trigg
     message count in ``numInputRows``.
     """
     writer = (
-        curated_stream(messages, codes, files_per_date)
+        curated_stream(messages, codes, files_per_date, write_tasks)
         .writeStream.format("parquet")
         .option("path", curated_path)
         .option("checkpointLocation", checkpoint)
