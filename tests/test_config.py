@@ -15,6 +15,7 @@ def test_from_env_maps_zones_topic_and_flush():
     assert cfg.curated_path == "/abs/cur"
     assert (cfg.topic, cfg.batch_size, cfg.flush_seconds, cfg.flush_by_time) == ("t", 250, 5, False)
     assert cfg.table_name == "public_health.patient_visits"
+    assert LakeConfig.from_env({"MAX_FILES_PER_TRIGGER": "7"}).max_files_per_trigger == 7
 
 
 def test_topic_options_flush_by_size_and_time():

@@ -77,7 +77,7 @@ def main(argv: list[str] | None = None) -> int:
         ckpt = f"{work_root(spark)}/vigil-streams/{args.command}"
         if args.command == "stream-curate" and args.from_raw:
             # Files have no offset bounds: flush by time through the trigger.
-            source = read_message_files(spark, cfg.raw_path)
+            source = read_message_files(spark, cfg.raw_path, cfg.max_files_per_trigger)
             trigger = Trigger(available_now=True) if args.drain else Trigger.from_config(cfg)
         else:
             # The topic options carry the size / time flush rule; drain = final flush.

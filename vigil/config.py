@@ -67,6 +67,8 @@ class LakeConfig:
     batch_size: int = DEFAULT_BATCH_SIZE
     flush_seconds: int = DEFAULT_FLUSH_SECONDS
     flush_by_time: bool = True
+    # Files taken per micro-batch when a stream follows a folder (not a fixed value).
+    max_files_per_trigger: int = 1000
     valid_codes: tuple[str, ...] = VALID_CODES
     window_rows: int = WINDOW_PRECEDING_ROWS
     growth_factor: Decimal = GROWTH_FACTOR
@@ -110,6 +112,7 @@ class LakeConfig:
             batch_size=int(env.get("BATCH_SIZE", d.batch_size)),
             flush_seconds=int(env.get("FLUSH_SECONDS", d.flush_seconds)),
             flush_by_time=_flag(env.get("FLUSH_BY_TIME", "true")),
+            max_files_per_trigger=int(env.get("MAX_FILES_PER_TRIGGER", d.max_files_per_trigger)),
             database=env.get("LAKE_DATABASE", d.database),
             table=env.get("LAKE_TABLE", d.table),
         )
