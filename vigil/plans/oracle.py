@@ -164,6 +164,7 @@ def oracle_sql() -> dict[str, str]:
         "publish_json": f"{msgs} SELECT v AS value FROM msg_valid",
         "curate_parquet": f"{base} SELECT {_CURATED_COLS} FROM cleansed",
         "report_csv": f"{report} SELECT * FROM report {_REPORT_ORDER}",
+        "table_outbreak_report": f"{report} SELECT * FROM report {_REPORT_ORDER}",
         "external_table_scan": (
             f"{base} SELECT {_CURATED_COLS} FROM cleansed "
             "ORDER BY patient_id, event_time_utc, hospital NULLS FIRST LIMIT 10"

@@ -162,6 +162,12 @@ def external_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, table).orderBy("patient_id", "event_time_utc", "hospital").limit(10)
 
 
+def table_outbreak_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report as the report job runs it: over the external table of the curated zone."""
+    table = _curated_table(spark, sf_dir, "table_outbreak_report")
+    return outbreaks(scan_table(spark, table))
+
+
 def catalog_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The registered table as the catalog sees it, with its size."""
     table = _curated_table(spark, sf_dir, "catalog_listing")
@@ -224,6 +230,7 @@ QUERIES: dict[str, Query] = {
     "curate_parquet": curate_parquet,
     "report_csv": report_csv,
     "external_table_scan": external_table_scan,
+    "table_outbreak_report": table_outbreak_report,
     "catalog_listing": catalog_listing,
     "stream_raw_sink": stream_raw_sink,
     "stream_curate": stream_curate_q,
