@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.config import DEFAULT_DATABASE
 from vigil.operators import (
     cleanse,
     daily_counts,
@@ -26,9 +27,9 @@ from vigil.operators import (
     trim_fields,
 )
 from vigil.schema import REPORT
-from vigil.session import work_dir
+from vigil.session import work_dir, work_root
 from vigil.sinks.files import encode_json, write_csv, write_curated, write_lines, write_report_csv
-from vigil.sources.catalog import register_table, scan_table
+from vigil.sources.catalog import create_schema, register_table, scan_table
 from vigil.sources.files import read_cleansed_csv, read_csv, read_curated, read_jsonl
 from vigil.sources.fixture import raw_visits, read_events, visit_messages
 from vigil.sources.messages import valid_messages
@@ -153,6 +154,9 @@ def report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _curated_table(spark: SparkSession, sf_dir: str, name: str) -> str:
     path = f"{work_dir(spark, name)}/curated"
     write_curated(_cleansed(spark, sf_dir), path)
+    # The database folder goes under the shared work root, not the process's
+    # working directory (the default warehouse).
+    create_schema(spark, DEFAULT_DATABASE, f"{work_root(spark)}/vigil-warehouse/{DEFAULT_DATABASE}.db")
     return register_table(spark, path, replace=True)
 
 
