@@ -101,3 +101,20 @@ def test_command_line_stream_from_raw_and_catalog(spark, tmp, monkeypatch, capsy
     assert main(["stream-curate", "--from-raw", "--drain"]) == 0
     refresh_table(spark, "ph_cli_stream.patient_visits")
     assert scan_table(spark, "ph_cli_stream.patient_visits").count() == 2 * 554
+
+
+def test_batch_json_cleanse_of_a_stream_raw_zone(spark, tmp):
+    import os
+
+    from vigil.sources import read_message_files
+    from vigil.streaming import run_to_end, stream_raw
+
+    cfg = LakeConfig(lake_root=tmp)
+    write_lines(load_visit_messages(spark, "/root/testdata/sf0.001"), f"{tmp}/landing")
+    run_to_end(stream_raw(read_message_files(spark, f"{tmp}/landing"), cfg.raw_path, f"{tmp}/ck"))
+    # A stray part file of a failed micro-batch: not in the commit log, so never read.
+    with open(f"{cfg.raw_path}/part-99999-stray.txt", "w") as f:
+        f.write('{"patient_id":"X","visit_date":"2024-01-05","disease":"D","diagnosis_code":"B50"}\n')
+    assert os.path.isdir(f"{cfg.raw_path}/_spark_metadata")
+    res = cleanse_jsonl_zone(spark, cfg.raw_path, cfg.cleansed_path, stream_output=True)
+    assert (res.rows_before, res.rows_after) == (981, 554)

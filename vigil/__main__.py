@@ -46,6 +46,8 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--report-date", default=None, help="YYYY-MM-DD (default: today, UTC)")
     p.add_argument("--drain", action="store_true", help="streams: process what is there and stop")
     p.add_argument("--quality-dir", default=None, help="cleanse jobs: also write per-file counts here")
+    p.add_argument("--stream-output", action="store_true",
+                   help="cleanse-jsonl: the raw zone was written by stream-raw (read through its commit log)")
     p.add_argument("--from-raw", action="store_true",
                    help="stream-curate: follow the raw zone written by stream-raw instead of the topic")
     args = p.parse_args(argv)
@@ -58,7 +60,7 @@ def main(argv: list[str] | None = None) -> int:
                                        quality_path=args.quality_dir))
     elif args.command == "cleanse-jsonl":
         out = asdict(cleanse_jsonl_zone(spark, cfg.raw_path, cfg.cleansed_path, codes=cfg.valid_codes,
-                                         quality_path=args.quality_dir))
+                                         quality_path=args.quality_dir, stream_output=args.stream_output))
     elif args.command == "curate":
         out = curate_zone(spark, cfg.cleansed_path, cfg.curated_path)
     elif args.command == "register":

@@ -56,9 +56,19 @@ def cleanse_csv_zone(spark: SparkSession, raw_path: str, cleansed_path: str, cod
 
 
 def cleanse_jsonl_zone(spark: SparkSession, raw_path: str, cleansed_path: str,
-                       suffixes=("jsonl",), codes=VALID_CODES, quality_path: str | None = None) -> LoadResult:
-    """Every ``*.jsonl`` below the raw zone -> cleansed CSV."""
-    raw = require_rows(read_jsonl(spark, raw_path, suffixes=suffixes, recursive=True, keep_source=True), raw_path)
+                       suffixes=("jsonl",), codes=VALID_CODES, quality_path: str | None = None,
+                       stream_output: bool = False) -> LoadResult:
+    """Every ``*.jsonl`` below the raw zone -> cleansed CSV.
+
+    ``stream_output=True`` reads a raw zone written by ``stream_raw``: a plain
+    folder read, which Spark serves from the sink's commit log, so files of a
+    failed micro-batch are never read.
+    """
+    if stream_output:
+        lines = read_jsonl(spark, raw_path, suffixes=None, recursive=False, keep_source=True)
+    else:
+        lines = read_jsonl(spark, raw_path, suffixes=suffixes, recursive=True, keep_source=True)
+    raw = require_rows(lines, raw_path)
     return _cleanse_and_write(raw, cleansed_path, write_csv, codes, quality_path, source="source")
 
 
