@@ -12,6 +12,7 @@ pass that writes, not from extra ``count()`` scans.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +36,8 @@ class LoadResult:
     invalid_code: int
 
 
-def _cleanse_and_write(raw: DataFrame, out: str, write, codes=VALID_CODES, quality_path: str | None = None,
-                       source=None) -> LoadResult:
+def _cleanse_and_write(raw: DataFrame, out: str, write, codes: Iterable[str] = VALID_CODES,
+                       quality_path: str | None = None, source: str | None = None) -> LoadResult:
     cleansed, obs = cleanse_observed(raw, codes)
     write(cleansed, out)
     if quality_path:
@@ -48,7 +49,7 @@ def _cleanse_and_write(raw: DataFrame, out: str, write, codes=VALID_CODES, quali
                       m["missing_required"], m["bad_date"], m["invalid_code"])
 
 
-def cleanse_csv_zone(spark: SparkSession, raw_path: str, cleansed_path: str, codes=VALID_CODES,
+def cleanse_csv_zone(spark: SparkSession, raw_path: str, cleansed_path: str, codes: Iterable[str] = VALID_CODES,
                      quality_path: str | None = None, csv_options: dict[str, str] | None = None) -> LoadResult:
     """Flat ``*.csv`` (any case) in the raw zone -> cleansed CSV."""
     raw = require_rows(read_csv(spark, raw_path, suffixes=("csv",), recursive=False, options=csv_options), raw_path)
@@ -56,7 +57,7 @@ def cleanse_csv_zone(spark: SparkSession, raw_path: str, cleansed_path: str, cod
 
 
 def cleanse_jsonl_zone(spark: SparkSession, raw_path: str, cleansed_path: str,
-                       suffixes=("jsonl",), codes=VALID_CODES, quality_path: str | None = None,
+                       suffixes=("jsonl",), codes: Iterable[str] = VALID_CODES, quality_path: str | None = None,
                        stream_output: bool = False) -> LoadResult:
     """Every ``*.jsonl`` below the raw zone -> cleansed CSV.
 
@@ -82,7 +83,7 @@ def curate_zone(spark: SparkSession, cleansed_path: str, curated_path: str, tabl
     return curated_path
 
 
-def load_direct(raw: DataFrame, curated_path: str, codes=VALID_CODES) -> LoadResult:
+def load_direct(raw: DataFrame, curated_path: str, codes: Iterable[str] = VALID_CODES) -> LoadResult:
     """Raw visits -> cleansed -> curated Parquet in one pass."""
     return _cleanse_and_write(raw, curated_path, write_curated, codes)
 

@@ -1,6 +1,13 @@
 """Sources: zone files, JSON messages, the topic, the catalog table, the events-derived fixture."""
 
-from vigil.sources.catalog import create_schema, list_catalogs, list_databases, refresh_table, register_table, scan_table
+from vigil.sources.catalog import (
+    create_schema,
+    list_catalogs,
+    list_databases,
+    refresh_table,
+    register_table,
+    scan_table,
+)
 from vigil.sources.files import EmptyZoneError, read_cleansed_csv, read_csv, read_curated, read_jsonl, require_rows
 from vigil.sources.fixture import load_raw_visits, load_visit_messages, raw_visits, visit_messages
 from vigil.sources.messages import message_quality, parse_messages, valid_messages

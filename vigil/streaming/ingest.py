@@ -10,6 +10,7 @@ report rescans the whole table.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -75,7 +76,7 @@ def stream_raw(messages: DataFrame, raw_path: str, checkpoint: str, trigger: Tri
 STREAM_WRITE_TASKS = 32
 
 
-def curated_stream(messages: DataFrame, codes=VALID_CODES, files_per_date: int | None = 1,
+def curated_stream(messages: DataFrame, codes: Iterable[str] = VALID_CODES, files_per_date: int | None = 1,
                    write_tasks: int = STREAM_WRITE_TASKS) -> DataFrame:
     """Messages -> valid JSON objects -> cleansed -> curated, with quality metrics observed.
 
@@ -97,7 +98,7 @@ def curated_stream(messages: DataFrame, codes=VALID_CODES, files_per_date: int |
 
 
 def stream_curate(messages: DataFrame, curated_path: str, checkpoint: str, trigger: Trigger = DRAIN,
-                  name: str | None = None, codes=VALID_CODES, files_per_date: int | None = 1,
+                  name: str | None = None, codes: Iterable[str] = VALID_CODES, files_per_date: int | None = 1,
                   write_tasks: int = STREAM_WRITE_TASKS) -> StreamingQuery:
     """Append curated visits to Parquet partitioned by ``visit_date``.
 
