@@ -36,3 +36,18 @@ def test_rerun_of_a_day_replaces_only_that_day(spark, tmp):
     one_day = visits.filter("visit_date = DATE'2024-01-10'")
     write_curated(one_day, loc)
     assert spark.read.parquet(loc).count() == 554
+
+
+def test_table_is_never_silently_repointed(spark, tmp):
+    import pytest
+
+    visits = cleanse(load_raw_visits(spark, SF))
+    write_curated(visits, f"{tmp}/a")
+    write_curated(visits.filter("visit_date < DATE'2024-01-10'"), f"{tmp}/b")
+    name = register_table(spark, f"{tmp}/a", database="ph_repoint", table="visits")
+    with pytest.raises(ValueError):
+        register_table(spark, f"{tmp}/b", database="ph_repoint", table="visits")
+    assert scan_table(spark, name).count() == 554
+    register_table(spark, f"{tmp}/b", database="ph_repoint", table="visits", replace=True)
+    assert scan_table(spark, name).count() == visits.filter("visit_date < DATE'2024-01-10'").count()
+    assert spark.read.parquet(f"{tmp}/a").count() == 554  # dropping the external table kept its files
