@@ -118,3 +118,19 @@ def test_batch_json_cleanse_of_a_stream_raw_zone(spark, tmp):
     assert os.path.isdir(f"{cfg.raw_path}/_spark_metadata")
     res = cleanse_jsonl_zone(spark, cfg.raw_path, cfg.cleansed_path, stream_output=True)
     assert (res.rows_before, res.rows_after) == (981, 554)
+
+
+def test_empty_json_zone_fails_fast(spark, tmp):
+    import os
+
+    import pytest
+
+    from vigil.sources import EmptyZoneError
+
+    with pytest.raises(EmptyZoneError):
+        cleanse_jsonl_zone(spark, f"{tmp}/missing", f"{tmp}/out")
+    os.makedirs(f"{tmp}/raw/2024")
+    with open(f"{tmp}/raw/2024/notes.txt", "w") as f:
+        f.write("not a visit\n")
+    with pytest.raises(EmptyZoneError):
+        cleanse_jsonl_zone(spark, f"{tmp}/raw", f"{tmp}/out")
