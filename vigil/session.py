@@ -19,6 +19,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # HotSpot does not JIT methods over 8000 bytecode bytes; fall back from
+    # whole-stage codegen before a fused stage gets that large.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -34,9 +37,6 @@ def local_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
-        # HotSpot does not JIT methods over 8000 bytecode bytes; fall back
-        # from whole-stage codegen before a fused stage gets that large.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     for k, v in {**RUNTIME_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
