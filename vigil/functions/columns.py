@@ -7,8 +7,11 @@ from vigil.config import DATE_FORMAT
 
 # Text of a JSON object: optional JSON whitespace, '{' ... '}', optional whitespace.
 _OBJECT_TEXT = r"(?s)^[ \t\n\r]*\{.*\}[ \t\n\r]*$"
-# Every text Spark can parse with 'yyyy-MM-dd' has this shape (optional sign,
-# four or more year digits, two-digit month and day); checked in the tests.
+# Exactly four, two and two digits ('\z': no trailing newline): on this shape
+# Spark's date cast gives the same result as the 'yyyy-MM-dd' parser, much faster.
+_ISO_DATE_PLAIN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+# Every text the 'yyyy-MM-dd' parser accepts has this wider shape (optional
+# sign, four or more year digits); both checked in the tests.
 _ISO_DATE_SHAPE = r"^[+-]?[0-9]{4,}-[0-9]{2}-[0-9]{2}$"
 
 
@@ -21,13 +24,15 @@ def strict_date(c: Column, fmt: str = DATE_FORMAT) -> Column:
     """Parse text as a date in exactly ``fmt``; null when it does not parse.
 
     ``try_to_date`` keeps this null-producing under ANSI mode, where plain
-    ``to_date`` raises. For the ISO format a cheap shape check runs first: a
-    failed parse costs a caught exception (about 7x a good parse), and dirty
-    feeds carry many such values.
+    ``to_date`` raises. For the ISO format the common shape goes through
+    Spark's date cast (the formatter-based parse was about a tenth of the
+    cleanse CPU), other shapes the parser could accept go to the parser, and
+    anything else is null without parsing (a failed parse costs a caught
+    exception, about 7x a good parse).
     """
     parsed = F.try_to_date(c, fmt)
     if fmt == "yyyy-MM-dd":
-        return F.when(c.rlike(_ISO_DATE_SHAPE), parsed)
+        return F.when(c.rlike(_ISO_DATE_PLAIN), c.try_cast("date")).when(c.rlike(_ISO_DATE_SHAPE), parsed)
     return parsed
 
 
