@@ -134,3 +134,16 @@ def test_empty_json_zone_fails_fast(spark, tmp):
         f.write("not a visit\n")
     with pytest.raises(EmptyZoneError):
         cleanse_jsonl_zone(spark, f"{tmp}/raw", f"{tmp}/out")
+
+
+def test_command_line_lake_defaults_to_the_shared_folder(spark, monkeypatch):
+    import pytest
+
+    from vigil.__main__ import main
+    from vigil.session import work_root
+    from vigil.sources import EmptyZoneError
+
+    monkeypatch.delenv("LAKE_ROOT", raising=False)
+    with pytest.raises(EmptyZoneError) as err:
+        main(["cleanse-csv"])  # nothing there yet: the error names the zone it looked at
+    assert f"{work_root(spark)}/vigil-lake/raw" in str(err.value)

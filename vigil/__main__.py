@@ -18,8 +18,9 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import os
 import sys
-from dataclasses import asdict
+from dataclasses import asdict, replace
 
 from pyspark.sql import SparkSession
 
@@ -52,8 +53,12 @@ def main(argv: list[str] | None = None) -> int:
                    help="stream-curate: follow the raw zone written by stream-raw instead of the topic")
     args = p.parse_args(argv)
 
-    cfg = LakeConfig.from_env()
     spark = _session()
+    cfg = LakeConfig.from_env()
+    if not os.environ.get("LAKE_ROOT"):
+        # Never the dataclass's local default on a cluster: the shared folder
+        # named by spark.checkpoint.dir (work_root refuses a local one there).
+        cfg = replace(cfg, lake_root=f"{work_root(spark)}/vigil-lake")
     out: object
     if args.command == "cleanse-csv":
         out = asdict(cleanse_csv_zone(spark, cfg.raw_path, cfg.cleansed_path, codes=cfg.valid_codes,

@@ -57,6 +57,8 @@ class LakeConfig:
     ``spark.hadoop.fs.s3a.*`` (or the cloud equivalent) on the cluster.
     """
 
+    # Local default for programmatic use; the command line uses LAKE_ROOT or the
+    # shared spark.checkpoint.dir folder instead.
     lake_root: str = "/tmp/vigil-lake"
     raw_zone: str = RAW_ZONE
     cleansed_zone: str = CLEANSED_ZONE
