@@ -16,6 +16,8 @@ def test_from_env_maps_zones_topic_and_flush():
     assert (cfg.topic, cfg.batch_size, cfg.flush_seconds, cfg.flush_by_time) == ("t", 250, 5, False)
     assert cfg.table_name == "public_health.patient_visits"
     assert LakeConfig.from_env({"MAX_FILES_PER_TRIGGER": "7"}).max_files_per_trigger == 7
+    tuned = LakeConfig.from_env({"STREAM_FILES_PER_DATE": "4", "STREAM_WRITE_TASKS": "256"})
+    assert (tuned.stream_files_per_date, tuned.stream_write_tasks) == (4, 256)
 
 
 def test_topic_options_flush_by_size_and_time():

@@ -94,7 +94,8 @@ def main(argv: list[str] | None = None) -> int:
             query = stream_raw(source, cfg.raw_path, ckpt, trigger, name="vigil-stream-raw")
         else:
             query = stream_curate(source, cfg.curated_path, ckpt, trigger, name="vigil-stream-curate",
-                                  codes=cfg.valid_codes)
+                                  codes=cfg.valid_codes, files_per_date=cfg.stream_files_per_date,
+                                  write_tasks=cfg.stream_write_tasks)
         query.awaitTermination()
         out = query.lastProgress
     print(json.dumps(out, default=str))

@@ -71,6 +71,9 @@ class LakeConfig:
     flush_by_time: bool = True
     # Files taken per micro-batch when a stream follows a folder (not a fixed value).
     max_files_per_trigger: int = 1000
+    # Curate stream: files per date per micro-batch, and tasks writing a batch.
+    stream_files_per_date: int = 1
+    stream_write_tasks: int = 32
     valid_codes: tuple[str, ...] = VALID_CODES
     window_rows: int = WINDOW_PRECEDING_ROWS
     growth_factor: Decimal = GROWTH_FACTOR
@@ -115,6 +118,8 @@ class LakeConfig:
             flush_seconds=int(env.get("FLUSH_SECONDS", d.flush_seconds)),
             flush_by_time=_flag(env.get("FLUSH_BY_TIME", "true")),
             max_files_per_trigger=int(env.get("MAX_FILES_PER_TRIGGER", d.max_files_per_trigger)),
+            stream_files_per_date=int(env.get("STREAM_FILES_PER_DATE", d.stream_files_per_date)),
+            stream_write_tasks=int(env.get("STREAM_WRITE_TASKS", d.stream_write_tasks)),
             database=env.get("LAKE_DATABASE", d.database),
             table=env.get("LAKE_TABLE", d.table),
         )
