@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing
+from . import mixing, packing, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_quality": quality.op1_quality,
     "op5_pack": packing.op5_pack,
+    "op7_simhash": simhash.op7_simhash,
     "op10_mix": mixing.op10_mix,
 }
 
