@@ -6,17 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality, simhash
+from . import chat, mixing, packing, quality, simhash, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_quality": quality.op1_quality,
+    "op4_rotate": chat.op4_rotate,
     "op5_pack": packing.op5_pack,
     "op7_simhash": simhash.op7_simhash,
+    "op8_urls": urls.op8_urls,
     "op10_mix": mixing.op10_mix,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_rotate": chat.ORACLE,
     "op10_mix": mixing.ORACLE,
 }
