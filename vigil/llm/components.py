@@ -8,6 +8,9 @@ adaptive execution can split.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,3 +57,30 @@ def _state(links: DataFrame) -> tuple[int, int]:
     """Number and checksum of the links: equal only when a round changed nothing."""
     row = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
     return row[0], row[1] or 0
+
+
+def spanning_links(n: int, pairs: Iterator[np.ndarray]) -> tuple[list[int], list[int]]:
+    """Of the links between ``n`` items, those that join two parts not yet joined."""
+    parent = np.arange(n)
+    us: list[int] = []
+    vs: list[int] = []
+    for block in pairs:
+        while (up := parent[parent] != parent).any():
+            parent[up] = parent[parent[up]]
+        block = block[parent[block[:, 0]] != parent[block[:, 1]]]
+        up = {}
+
+        def find(i: int, up: dict[int, int] = up) -> int:
+            while (j := up.get(i, i)) != i:
+                up[i] = i = up.get(j, j)
+            return i
+
+        for (i, j), (p, q) in zip(block.tolist(), parent[block].tolist(), strict=True):
+            p, q = find(p), find(q)
+            if p != q:
+                up[max(p, q)] = min(p, q)
+                us.append(i)
+                vs.append(j)
+        for p, q in up.items():
+            parent[p] = q
+    return us, vs

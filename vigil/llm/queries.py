@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, packing, quality, simhash, urls
+from . import chat, mixing, neardup, packing, quality, simhash, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op1_quality": quality.op1_quality,
+    "op2_toxicity": toxicity.op2_toxicity,
+    "op3_neardup": neardup.op3_neardup,
     "op4_rotate": chat.op4_rotate,
     "op5_pack": packing.op5_pack,
     "op7_simhash": simhash.op7_simhash,

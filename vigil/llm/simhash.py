@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table, stored
-from .components import components
+from .components import components, spanning_links
 from .words import slices
 
 SHINGLE_WORDS = 3
@@ -138,33 +138,6 @@ def trie_join(left: np.ndarray, right: np.ndarray, depth: int, same: bool, budge
         stack.append((d + 1, na[live], nb[live], nx[live], ny[live], nf[live]))
 
 
-def spanning_links(n: int, pairs: Iterator[np.ndarray]) -> tuple[list[int], list[int]]:
-    """Of the links between ``n`` items, those that join two parts not yet joined."""
-    parent = np.arange(n)
-    us: list[int] = []
-    vs: list[int] = []
-    for block in pairs:
-        while (up := parent[parent] != parent).any():
-            parent[up] = parent[parent[up]]
-        block = block[parent[block[:, 0]] != parent[block[:, 1]]]
-        up = {}
-
-        def find(i: int, up: dict[int, int] = up) -> int:
-            while (j := up.get(i, i)) != i:
-                up[i] = i = up.get(j, j)
-            return i
-
-        for (i, j), (p, q) in zip(block.tolist(), parent[block].tolist(), strict=True):
-            p, q = find(p), find(q)
-            if p != q:
-                up[max(p, q)] = min(p, q)
-                us.append(i)
-                vs.append(j)
-        for p, q in up.items():
-            parent[p] = q
-    return us, vs
-
-
 def cut_trie(counts: dict[int, int], limit: int, bits: int = CUT_BITS) -> list[tuple[int, int]]:
     """Nodes (prefix, depth) that cover the trie, each with at most ``limit`` rows or ``bits`` deep; counts by prefix."""
     out = []
