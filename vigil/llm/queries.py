@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, neardup, packing, quality, simhash, toxicity, urls
+from . import chat, mixing, neardup, packing, quality, simhash, substrings, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ QUERIES: dict[str, Query] = {
     "op3_neardup": neardup.op3_neardup,
     "op4_rotate": chat.op4_rotate,
     "op5_pack": packing.op5_pack,
+    "op6_substrings": substrings.op6_substrings,
     "op7_simhash": simhash.op7_simhash,
     "op8_urls": urls.op8_urls,
     "op10_mix": mixing.op10_mix,

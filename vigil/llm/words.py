@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # --- fixed values -----------------------------------------------------------
 SPACES = (9, 10, 11, 12, 13, 32)
@@ -59,7 +60,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES):
     """Consecutive parts of a batch with about ``limit`` bytes of text each (a longer text is a part of its own)."""
     i = batch.schema.get_field_index(column)
-    sizes = np.asarray(pa.compute.binary_length(batch.column(i)).fill_null(0), dtype=np.int64)
+    sizes = np.asarray(pc.binary_length(batch.column(i)).fill_null(0), dtype=np.int64)
     ends = np.cumsum(sizes)
     at = 0
     while at < len(sizes):
