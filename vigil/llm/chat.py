@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import read_table
+from .common import read_table, stored
 
 # --- fixed values: the template -----------------------------------------------
 OPEN, CLOSE, END = "<|", "|>", "<|end|>\n"
@@ -41,43 +41,41 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     and text; repeated rows are rendered once each. An empty table gives an
     empty result; other input columns are ignored.
     """
+    # Keys without nulls, so that the join and the window share one exchange of the texts.
+    conv = F.concat(F.when(F.col(conv_col).isNull(), "null").otherwise("="), F.coalesce(
+        F.col(conv_col).cast("string"), F.lit("")))
     base = turns.select(
         F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
         F.coalesce(F.col(role_col).cast("string"), F.lit("unknown")).alias("name"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-        F.floor(F.col(turn_col) / TURNS_PER_RANGE).cast("long").alias("range"))
-    people = base.filter(~F.col("name").isin(*system_roles)).select(
-        F.col("conv_id").alias("_conv"), F.col("name").alias("perspective")).distinct()
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), conv.alias("conv"),
+        F.coalesce(F.floor(F.col(turn_col) / TURNS_PER_RANGE), F.lit(-(1 << 62))).cast("long").alias("range"))
+    is_system = F.col("name").isin(*system_roles)
     own = F.col("name") == F.col("perspective")
-    chat_role = F.when(own, F.lit("assistant")).when(F.col("name").isin(*system_roles), F.lit("system")).otherwise(
-        F.lit("user"))
-    label = F.when(F.col("chat_role") == "user", F.concat(F.lit("user:"), F.col("name"))).otherwise(F.col("chat_role"))
-    seen = base.join(people, F.col("conv_id").eqNullSafe(F.col("_conv"))).withColumn("chat_role", chat_role)
-    seen = seen.withColumn("head", F.concat(F.lit(OPEN), label, F.lit(CLOSE + "\n")))
-    seen = seen.withColumn("rendered", F.concat("head", "text", F.lit(END))).withColumn(
-        "size", F.length("rendered").cast("long"))
-
-    keys = ["conv_id", "perspective"]
-    sums = base.groupBy("conv_id", "range", "name").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
-    mine = F.length(F.lit(OPEN + "assistant" + CLOSE + "\n" + END))
-    system = F.length(F.lit(OPEN + "system" + CLOSE + "\n" + END))
-    other = F.length(F.lit(OPEN + "user:" + CLOSE + "\n" + END)) + F.length("name")
-    extra = F.when(own, mine).when(F.col("name").isin(*system_roles), system).otherwise(other)
-    ranges = sums.join(people, F.col("conv_id").eqNullSafe(F.col("_conv"))).groupBy(*keys, "range").agg(
+
+    # Where each range of turns begins, for each participant: counts and sizes only.
+    sums = stored(base.groupBy("conv", "range", "name").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")), "chat-ranges")
+    people = sums.filter(~is_system).select(F.col("conv").alias("_conv"), F.col("name").alias("perspective")).distinct()
+    marks = [F.length(F.lit(OPEN + role + CLOSE + "\n" + END)) for role in ("assistant", "system", "user:")]
+    extra = F.when(own, marks[0]).when(is_system, marks[1]).otherwise(marks[2] + F.length("name"))
+    ranges = sums.join(people, F.col("conv") == F.col("_conv")).groupBy("conv", "perspective", "range").agg(
         F.sum("n").alias("n"), F.sum(F.col("chars") + F.col("n") * extra).alias("size"))
-    earlier = Window.partitionBy(*keys).orderBy(F.col("range").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("conv", "perspective").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = ranges.select(
-        F.col("conv_id").alias("_c"), F.col("perspective").alias("_p"), F.col("range").alias("_r"),
+        F.col("conv").alias("_conv"), "perspective", F.col("range").alias("_range"),
         F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_before"),
         F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("chars_before"))
-    placed = seen.join(starts, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("perspective") == F.col("_p"))
-                       & F.col("range").eqNullSafe(F.col("_r")))
-    inside = Window.partitionBy(*keys, "range").orderBy(F.col("turn").asc_nulls_first(), "name", "text").rowsBetween(
-        Window.unboundedPreceding, -1)
-    placed = placed.withColumn("position", F.col("n_before") + F.count(F.lit(1)).over(inside)).withColumn(
-        "char_start", F.col("chars_before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+
+    chat_role = F.when(own, F.lit("assistant")).when(is_system, F.lit("system")).otherwise(F.lit("user"))
+    label = F.when(F.col("chat_role") == "user", F.concat(F.lit("user:"), F.col("name"))).otherwise(F.col("chat_role"))
+    seen = base.join(starts, (F.col("conv") == F.col("_conv")) & (F.col("range") == F.col("_range"))).withColumn(
+        "chat_role", chat_role).withColumn("head", F.concat(F.lit(OPEN), label, F.lit(CLOSE + "\n")))
+    seen = seen.withColumn("size", (F.length("head") + F.length("text") + len(END)).cast("long"))
+    inside = Window.partitionBy("conv", "perspective", "range").orderBy(
+        F.col("turn").asc_nulls_first(), "name", "text").rowsBetween(Window.unboundedPreceding, -1)
+    placed = seen.withColumn("position", F.col("n_before") + F.count(F.lit(1)).over(inside)).withColumn(
+        "char_start", F.col("chars_before") + F.coalesce(F.sum("size").over(inside), F.lit(0))).withColumn(
+        "rendered", F.concat("head", "text", F.lit(END)))
     learnt = F.col("chat_role") == "assistant"
     return placed.select(
         "conv_id", "perspective", "turn", F.col("position").cast("long").alias("position"), "chat_role", "name",

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, mixing, neardup, packing, quality, simhash, substrings, toxicity, urls
+from . import chat, lm, mixing, neardup, packing, quality, simhash, substrings, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ QUERIES: dict[str, Query] = {
     "op6_substrings": substrings.op6_substrings,
     "op7_simhash": simhash.op7_simhash,
     "op8_urls": urls.op8_urls,
+    "op9_lm": lm.op9_lm,
     "op10_mix": mixing.op10_mix,
 }
 

@@ -72,18 +72,21 @@ def text_hashes(text: str | None, shingle: int, seed: int) -> list[int]:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS, seed: int = HASH_SEED,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, bits): one row an input row; ``bits`` is the fingerprint as a signed long. No words: zero."""
+    """(doc_id, version, bits): one row an input row; ``bits`` is the fingerprint as a signed long (no words: zero),
+    ``version`` a hash of the text that tells apart different texts under one id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                runs = [text_hashes(t, shingle, seed) for t in part.column(1).to_pylist()]
+                runs = [text_hashes(t, shingle, seed) for t in part.column(2).to_pylist()]
                 first = np.concatenate([[0], np.cumsum([len(r) for r in runs])]).astype(np.int64)
                 flat = np.fromiter((h for r in runs for h in r), np.uint64, int(first[-1]))
                 bits = bit_majority(flat, first).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(bits)], names=["doc_id", "bits"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(bits)],
+                                                 names=["doc_id", "version", "bits"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, bits long")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.hash(text).alias("version"), text.alias("text"))
+    return rows.mapInArrow(run, "doc_id long, version int, bits long")
 
 
 def _children(prints: np.ndarray, lo: np.ndarray, hi: np.ndarray, depth: int) -> np.ndarray:
@@ -205,7 +208,7 @@ def fingerprint_links(prints: DataFrame, budget: int = MAX_BITS, subtree_rows: i
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, bits, component_id): the smallest id reachable over links of at most ``max_bits`` bits.
+    """(doc_id, version, bits, component_id): the smallest id reachable over links of at most ``max_bits`` bits.
 
     Null, empty and blank texts have fingerprint zero and link like any
     other. Texts with fewer words than a shingle have one hash, of all their
@@ -221,19 +224,27 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int
     ids = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     classes = named.select("bits", F.col("root").alias("_root")).join(ids, F.col("_root") == F.col("root")).select(
         F.col("bits").alias("_bits"), "component_id")
-    return rows.join(classes, F.col("bits") == F.col("_bits")).select("doc_id", "bits", "component_id")
+    return rows.join(classes, F.col("bits") == F.col("_bits")).select(
+        "doc_id", "version", "bits", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
-                         id_col: str = "doc_id") -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: one with the group's smallest id.
+                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: of the group's smallest id.
 
-    Of repeated rows with that id one stays; rows with a null id stay.
+    Of repeated rows with that id one stays; of different texts under it the
+    one of the smallest hash. Rows with a null id are not judged; they stay.
     """
-    gone = near_duplicates(docs, shingle, max_bits, id_col).filter("doc_id <> component_id").select(
-        F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
-    return kept
+    found = near_duplicates(docs, shingle, max_bits, id_col, text_col)
+    stay = found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_stay_id")).agg(
+        F.min("version").alias("_stay_version"))
+    marked = docs.withColumn("_own_id", F.col(id_col).cast("long")).withColumn(
+        "_own_version", F.hash(F.col(text_col).cast("string")))
+    # Sorted and merged at every size: the texts move once, whatever the number of groups.
+    kept = marked.join(stay.hint("merge"), (F.col("_own_id") == F.col("_stay_id"))
+                       & (F.col("_own_version") == F.col("_stay_version")), "left_semi")
+    kept = kept.dropDuplicates(["_own_id", "_own_version"])
+    return kept.unionByName(marked.filter("_own_id IS NULL")).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
