@@ -1,7 +1,8 @@
 """The corpus pipeline: from raw documents to packed sequences.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
-written as Parquet and read again as the next stage's ``docs``.
+written as Parquet and read again as the next stage's ``docs``. All but the
+last return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -11,6 +12,24 @@ from pyspark.sql import DataFrame, SparkSession
 from vigil.llm.common import read_table, stored
 from vigil.llm.mixing import mix_documents
 from vigil.llm.packing import pack_documents
+from vigil.llm.simhash import MAX_BITS, SHINGLE_WORDS, drop_near_duplicates
+from vigil.llm.substrings import dedup_substrings
+from vigil.llm.toxicity import drop_toxic, train_on_tables
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops the documents that the toxicity model rejects, fitted on the labelled ones that are not held out."""
+    return drop_toxic(docs, train_on_tables(docs, read_table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each SimHash near-duplicate group."""
+    return drop_near_duplicates(docs, shingle=SHINGLE_WORDS, max_bits=MAX_BITS)
+
+
+def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes the words of passages that an earlier document has; every document stays."""
+    return dedup_substrings(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,11 +43,14 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("substrings", substrings),
     ("mix", mix),
     ("pack", pack),
 ]
 
-# Fingerprints, language-model scores and token ids are beyond SQL.
+# A trained model, fingerprints, suffix trees and token ids are beyond SQL.
 ORACLE_SQL = None
 
 
