@@ -9,7 +9,8 @@ time.
 
 Native: DataFrame functions only. The corpus is counted with partial
 aggregates; what is sent to the executors is one number a bucket, whatever
-the corpus' size.
+the corpus' size. The trusted multinomial is fitted on a bounded sample of
+the trusted documents.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from pyspark.sql import functions as F
 from .common import SPACE_CHARS, SPACE_CLASS, read_table, stored, words_of
 
 BUCKETS = 1 << 18
-PRIOR = 1.0  # pseudo-count of a bucket in the trusted multinomial (the corpus one is scaled to it)
+PRIOR = 3.0  # pseudo-count of a bucket in the trusted multinomial (the corpus one is scaled to it)
 MIN_SCORE = -0.2
+TRUSTED_DOCS = 50_000  # bound of the sample of trusted documents (the corpus is counted whole)
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 SYMBOLS = "[#*$%&|<>]"
@@ -92,11 +94,12 @@ def bucket_weights(counts: DataFrame) -> DataFrame:
 
 
 def score_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                  min_score: float = MIN_SCORE) -> DataFrame:
+                  min_score: float = MIN_SCORE, trusted_docs: int = TRUSTED_DOCS) -> DataFrame:
     """(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, score, kept), a row a row.
 
     ``trusted`` holds the ids of the trusted documents in its first column
-    (nulls and repeats are ignored). Null, empty and blank texts have no
+    (nulls and repeats are ignored); beyond ``trusted_docs`` those of the
+    smallest hash are taken, so their ids can be broadcast. Null, empty and blank texts have no
     words: all counts and the score are 0, ``base_failed`` is true. A null id
     is never trusted. Without trusted documents every score is 0. An empty
     table gives an empty result; other input columns are ignored.
@@ -106,8 +109,9 @@ def score_quality(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", t
     is shuffled.
     """
     known = trusted.select(F.col(trusted.columns[0]).alias("_known")).filter("_known IS NOT NULL").distinct()
+    known = known.orderBy(F.xxhash64("_known"), "_known").limit(trusted_docs).withColumn("trusted", F.lit(True))
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    marked = base.join(known.withColumn("trusted", F.lit(True)), F.col("doc_id") == F.col("_known"), "left").select(
+    marked = base.join(F.broadcast(known), F.col("doc_id") == F.col("_known"), "left").select(
         "text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
     weights = stored(bucket_weights(stored(bucket_counts(marked), "quality-counts")), "quality-weights")
 
