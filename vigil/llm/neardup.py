@@ -222,3 +222,23 @@ def near_duplicate_embeddings(rows: DataFrame, id_col: str = "vec_id", vec_col:
 
 def op3_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_embeddings(read_table(spark, sf_dir, "embeddings"))
+
+
+ORACLE = """
+WITH RECURSIVE vecs AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM vecs a JOIN vecs b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.98),
+reach AS (
+  SELECT vec_id AS u, vec_id AS v FROM embeddings
+  UNION
+  SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+low AS (SELECT u, min(v) AS component_id FROM reach GROUP BY u),
+counts AS (SELECT u, count(*) AS n FROM links GROUP BY u)
+SELECT e.vec_id, CAST(coalesce(c.n, 0) AS BIGINT) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN low l ON e.vec_id = l.u LEFT JOIN counts c ON e.vec_id = c.u
+"""

@@ -24,6 +24,8 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_neardup": neardup.ORACLE,
     "op4_rotate": chat.ORACLE,
+    "op6_substrings": substrings.ORACLE,
     "op10_mix": mixing.ORACLE,
 }

@@ -366,3 +366,22 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_digests(read_table(spark, sf_dir, "documents"))
+
+
+ORACLE = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, sha256(array_to_string(words[i:i + 49], ' ')) AS k
+  FROM docs, unnest(range(1, len(words) - 48)) AS t(i)),
+low AS (SELECT k, min(doc_id) AS low FROM windows GROUP BY k),
+late AS (SELECT doc_id, i FROM windows JOIN low USING (k) WHERE low < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + j AS p FROM late, unnest(range(0, 50)) AS u(j)),
+every AS (SELECT doc_id, p, words[p] AS word FROM docs, unnest(range(1, len(words) + 1)) AS t(p)),
+kept AS (
+  SELECT e.doc_id, count(*) AS n, string_agg(e.word, ' ' ORDER BY e.p) AS text
+  FROM every e ANTI JOIN gone g ON e.doc_id = g.doc_id AND e.p = g.p GROUP BY e.doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k ON d.doc_id = k.doc_id
+"""
