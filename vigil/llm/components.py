@@ -35,7 +35,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """(u, v) links -> (node, root): the smallest node reachable, for every node that has a link to another.
+    """(u, v) links -> (node, root): the smallest node reachable, for every node that is not the smallest itself.
 
     Self links and repeated links are ignored. Rounds go on until nothing
     changes; each is written to the shared folder, so a lost executor repeats
