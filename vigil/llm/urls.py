@@ -76,6 +76,10 @@ def _logit(rows: np.ndarray, feats: np.ndarray, n: int, weights: np.ndarray, bia
     return bias + sums / np.sqrt(np.maximum(np.bincount(rows, minlength=n), 1))
 
 
+def _chance(logit: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(logit, -40, 40)))
+
+
 def train(hosts: list[str], paths: list[str], blocked: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights and bias by gradient descent on the whole (small) table; the classes weigh the same.
 
@@ -90,7 +94,7 @@ def train(hosts: list[str], paths: list[str], blocked: np.ndarray) -> tuple[np.n
     scale = 1 / np.sqrt(np.maximum(np.bincount(rows, minlength=n), 1))
     bias, speed, bias_speed = 0.0, np.zeros(FEATURES), 0.0
     for _ in range(STEPS):
-        miss = (1 / (1 + np.exp(-_logit(rows, feats, n, weights, bias))) - blocked) * share
+        miss = (_chance(_logit(rows, feats, n, weights, bias)) - blocked) * share
         speed = 0.9 * speed - RATE * (np.bincount(feats, (miss * scale)[rows], FEATURES) + DECAY * weights)
         bias_speed = 0.9 * bias_speed - 0.1 * miss.sum()
         weights, bias = weights + speed, bias + bias_speed
@@ -117,7 +121,7 @@ def judge_urls(pages: DataFrame, labelled: DataFrame, rules=RULES, id_col: str =
         for batch in batches:
             n = batch.num_rows
             rows, feats = url_features(batch.column(1).to_pylist(), batch.column(2).to_pylist())
-            p = 1 / (1 + np.exp(-np.clip(_logit(rows, feats, n, sent.value, bias), -40, 40)))
+            p = _chance(_logit(rows, feats, n, sent.value, bias))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*batch.schema.names, "score"])
 
     base = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"))
