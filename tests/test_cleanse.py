@@ -86,7 +86,7 @@ def test_reject_reason_agrees_with_cleanse(spark):
 
     raw_df = load_raw_visits(spark, "/root/testdata/sf0.001")
     flagged = raw_df.withColumn("reason", reject_reason(raw_df))
-    assert flagged.filter("reason IS NULL").count() == cleanse(raw_df).count() == 554
+    assert flagged.filter("reason IS NULL").count() == cleanse(raw_df).count() == 566
 
 
 def test_quality_counts_first_failing_rule(spark):
@@ -94,12 +94,13 @@ def test_quality_counts_first_failing_rule(spark):
 
     raw_df = load_raw_visits(spark, "/root/testdata/sf0.01")
     q = quality(raw_df, by=F.lit("all")).first()
-    assert (q.rows_before, q.rows_after, q.rows_removed) == (9854, 5484, 4370)
-    assert (q.missing_required, q.bad_date, q.invalid_code) == (1472, 983, 1915)
+    assert (q.rows_before, q.rows_after, q.rows_removed) == (10000, 5580, 4420)
+    assert (q.missing_required, q.bad_date, q.invalid_code) == (1500, 1000, 1920)
     per_county = {r.source: (r.rows_before, r.rows_after, r.rows_removed)
                   for r in quality(raw_df, by=F.trim("county")).collect()}
-    assert per_county["Eldoret"] == (1988, 1130, 858)
-    assert per_county["Mombasa"] == (1814, 969, 845)
+    assert per_county["Eldoret"] == (1860, 1026, 834)
+    assert per_county["Mombasa"] == (1734, 910, 824)
+    assert per_county[None] == (500, 389, 111)
 
 
 def test_observed_quality_in_the_writing_pass(spark, tmp):
@@ -112,8 +113,8 @@ def test_observed_quality_in_the_writing_pass(spark, tmp):
     cleansed, obs = cleanse_observed(raw_df)
     cleansed.write.format("noop").mode("overwrite").save()
     m = obs.get
-    assert (m["rows_before"], m["rows_after"], m["rows_removed"]) == (9854, 5484, 4370)
-    assert (m["missing_required"], m["bad_date"], m["invalid_code"]) == (1472, 983, 1915)
+    assert (m["rows_before"], m["rows_after"], m["rows_removed"]) == (10000, 5580, 4420)
+    assert (m["missing_required"], m["bad_date"], m["invalid_code"]) == (1500, 1000, 1920)
     assert same_rows(cleansed, cleanse(raw_df))
 
 
@@ -144,18 +145,26 @@ def test_date_shape_guard_never_changes_a_parse(spark):
     assert sum(r.plain is not None for r in got) == 13
 
 
-def test_code_table_is_broadcast_only_when_small(spark, monkeypatch):
-    import vigil.operators.rules as rules
-
-    codes = spark.createDataFrame([("A90",), ("B05",), ("B50",)], "code string")
-    df = raw(spark, {"diagnosis_code": "A90"}, {"diagnosis_code": "J10"})
-    plan = rules.keep_valid_codes(df, codes)._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" in plan or "Broadcast" in plan
-    monkeypatch.setattr(rules, "BROADCAST_CODES_MAX_ROWS", 2)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        big = rules.keep_valid_codes(df, codes)
-        assert "Broadcast" not in big._jdf.queryExecution().executedPlan().toString()
-        assert [r.diagnosis_code for r in big.collect()] == ["A90"]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+def test_code_table_works_in_every_cleansing_form(spark, tmp):
+    from tests_helpers import same_rows
+
+    from vigil.operators import cleanse_observed
+    from vigil.sources.fixture import load_raw_visits
+
+    codes = spark.createDataFrame([(c,) for c in ("B50", "A00", "J10", "A01", "A90", "A90", None)], "code string")
+    raw_df = load_raw_visits(spark, "/root/testdata/sf0.001")
+    assert same_rows(cleanse(raw_df, codes), cleanse(raw_df))
+    assert keep_valid_codes(raw_df, codes).columns == raw_df.columns
+    assert same_rows(quality(raw_df, "county", codes), quality(raw_df, "county"))
+    cleansed, obs = cleanse_observed(raw_df, codes)
+    assert same_rows(cleansed, cleanse(raw_df))
+    assert obs.get["rows_before"] == 1000 and obs.get["rows_after"] == 566
+    plan = keep_valid_codes(raw_df, codes)._jdf.queryExecution().analyzed().toString()
+    assert "LeftSemi" in plan and "ResolvedHint" not in plan and "UnresolvedHint" not in plan
+
+
+def test_plain_cleanse_parses_each_date_once(spark):
+    from vigil.sources.fixture import load_raw_visits
+
+    plan = cleanse(load_raw_visits(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("gettimestamp(") == 1

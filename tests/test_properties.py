@@ -112,7 +112,7 @@ def _brute_valid(line: str) -> bool:
     import json
 
     try:
-        return isinstance(json.loads(line), dict)
+        return isinstance(json.loads(line), dict | list)
     except ValueError:
         return False
 

@@ -70,7 +70,7 @@ def test_onset_on_the_fixture(spark):
     from vigil.sources.fixture import load_raw_visits
 
     rep = outbreaks(cleanse(load_raw_visits(spark, "/root/testdata/sf0.01")))
-    assert rep.count() == 31
+    assert rep.count() == 35
     onset = rep.filter("county = 'Mombasa' AND disease = 'Malaria' AND visit_date = DATE'2024-01-15'").collect()
     assert [r.cases_last_7_days for r in onset] == [19]
 

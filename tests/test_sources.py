@@ -8,7 +8,7 @@ import pytest
 
 from vigil.schema import VISIT_RAW
 from vigil.sinks import encode_json, write_csv
-from vigil.sources import EmptyZoneError, read_csv, read_jsonl, require_rows
+from vigil.sources import EmptyZoneError, read_csv, read_jsonl, require_files
 from vigil.sources.messages import message_quality, parse_messages, valid_messages
 
 HEADER = "patient_id,hospital,county,visit_date,disease,diagnosis_code"
@@ -34,7 +34,10 @@ def test_empty_zone_raises(spark, tmp):
         read_csv(spark, tmp, recursive=False)
     os.makedirs(f"{tmp}/empty")
     with pytest.raises(EmptyZoneError):
-        require_rows(read_csv(spark, f"{tmp}/empty", recursive=True), "empty")
+        require_files(spark, f"{tmp}/empty", None, True)
+    with pytest.raises(EmptyZoneError):
+        require_files(spark, tmp, ("csv",), True)
+    require_files(spark, tmp, ("TXT",), False)
 
 
 def test_six_and_seven_column_files_mix(spark, tmp):
@@ -50,6 +53,15 @@ def test_header_order_by_name(spark, tmp):
     assert by_pos.patient_id == "Nairobi"  # positional: swapped silently
     by_name = read_csv(spark, tmp, by_header=True).first()
     assert (by_name.patient_id, by_name.county, by_name.hospital) == ("P-9", "Nairobi", None)
+    # More files, each with its own order and columns, and one without rows.
+    put(f"{tmp}/more.csv", f"{HEADER},event_time_utc,note\n{LINE},2024-01-05T10:00:00+00:00,n\n")
+    put(f"{tmp}/header_only.CSV", "disease,visit_date,patient_id\n")
+    got = {r.patient_id: (r.county, r.disease, r.event_time_utc) for r in read_csv(spark, tmp, by_header=True).collect()}
+    assert got == {"P-9": ("Nairobi", None, None), "P-1": ("C", "Malaria", "2024-01-05T10:00:00+00:00")}
+    # A file without a header is an error, never a swap.
+    put(f"{tmp}/bare.csv", f"{LINE}\n")
+    with pytest.raises(Exception, match="no header"):
+        read_csv(spark, tmp, by_header=True).collect()
 
 
 def test_csv_round_trip_merges_empty_and_null(spark, tmp):
@@ -67,7 +79,17 @@ def test_json_lines_bad_lines_dropped(spark, tmp):
     put(f"{tmp}/z/deep/b.JSONL", good + "\n")
     put(f"{tmp}/z/skip.txt", good + "\n")
     got = read_jsonl(spark, f"{tmp}/z", suffixes=("jsonl",)).collect()
-    assert len(got) == 3 and {r.patient_id for r in got} == {"P-1"}
+    assert len(got) == 4 and {r.patient_id for r in got} == {"P-1"}
+
+
+def test_arrays_of_visits_are_expanded_and_invalid_messages_marked(spark):
+    values = ['[{"patient_id":"a"},{"patient_id":"b"}]', "[]", '{"patient_id":"c"}', "[1]", "{bad", "null", "7", "",
+              '[{"patient_id":"d"}', None, ' [ {"patient_id":"e"} ] ']
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    assert [r.patient_id for r in parse_messages(df).collect() if r.patient_id] == ["a", "b", "c", "e"]
+    marked = parse_messages(df, mark_invalid=True).collect()
+    assert [r.patient_id for r in marked if not r._invalid_message and r.patient_id] == ["a", "b", "c", "e"]
+    assert sum(r._invalid_message for r in marked) == message_quality(df).first().invalid_messages >= 6
 
 
 def test_json_trailing_text(spark):
@@ -98,7 +120,7 @@ def test_message_quality_counts(spark):
     msgs = load_visit_messages(spark, "/root/testdata/sf0.001")
     q = message_quality(msgs).first()
     assert q.messages == q.valid_messages + q.invalid_messages
-    assert q.valid_messages == valid_messages(msgs).count() == 981
+    assert q.valid_messages == valid_messages(msgs).count() == q.visits == 1020
 
 
 def test_encode_json_keeps_nulls(spark):
@@ -112,7 +134,7 @@ def test_curated_scan_prunes_partitions(spark, tmp):
     from vigil.sources import read_curated
     from vigil.sources.fixture import load_raw_visits
 
-    write_curated(cleanse(load_raw_visits(spark, "/root/testdata/sf0.001")), f"{tmp}/cur")
+    write_curated(cleanse(load_raw_visits(spark, "/root/testdata/sf0.001")), f"{tmp}/cur", "all")
     df = read_curated(spark, f"{tmp}/cur").filter("visit_date = DATE'2024-01-15' AND county = 'Kisumu'")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(visit_date" in plan

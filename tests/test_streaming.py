@@ -26,13 +26,13 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp):
     landing, raw, cur, q = _lanes(spark, tmp)
     batch = curate(cleanse(parse_messages(load_visit_messages(spark, SF))))
     streamed = read_curated(spark, cur)
-    assert streamed.count() == 554
+    assert streamed.count() == 582
     assert same_rows(streamed, batch)
     assert spark.read.text(raw).count() == load_visit_messages(spark, SF).count()
     # Restart both queries on their checkpoints: nothing new arrives, nothing is rewritten.
     run_to_end(stream_raw(read_message_files(spark, landing, 1), raw, f"{tmp}/ck/raw"))
     run_to_end(stream_curate(read_message_files(spark, raw, 1), cur, f"{tmp}/ck/cur"))
-    assert read_curated(spark, cur).count() == 554
+    assert read_curated(spark, cur).count() == 582
 
 
 def test_stream_reports_quality_per_batch(spark, tmp):
@@ -40,22 +40,32 @@ def test_stream_reports_quality_per_batch(spark, tmp):
     batches = [p for p in q.recentProgress if p["numInputRows"] > 0]
     assert len(batches) == 3  # one file per trigger
     totals = [p["observedMetrics"][QUALITY_METRICS] for p in batches]
-    assert sum(int(m["rows_after"]) for m in totals) == 554
-    assert sum(int(m["rows_before"]) for m in totals) == 981
+    assert sum(int(m["rows_after"]) for m in totals) == 582
+    assert sum(int(m["rows_before"]) for m in totals) == 1020 + 80
+    assert sum(int(m["invalid_messages"]) for m in totals) == 80
 
 
-def test_stream_writes_at_most_files_per_date_per_batch(spark, tmp):
+def test_a_hot_date_is_written_by_several_tasks_and_others_by_one(spark, tmp):
     import glob
+    import json
 
-    landing, raw, cur, q = _lanes(spark, tmp)
-    batches = len([p for p in q.recentProgress if p["numInputRows"] > 0])
-    for day_dir in glob.glob(f"{cur}/visit_date=*"):
-        assert len(glob.glob(f"{day_dir}/*.parquet")) <= batches
-    salted = f"{tmp}/salted"
-    run_to_end(stream_curate(read_message_files(spark, raw, 1), salted, f"{tmp}/ck/salted", files_per_date=3))
-    assert same_rows(read_curated(spark, salted), read_curated(spark, cur))
-    for day_dir in glob.glob(f"{salted}/visit_date=*"):
-        assert len(glob.glob(f"{day_dir}/*.parquet")) <= 3 * batches
+    def visit(i: int, day: int) -> str:
+        return json.dumps({"patient_id": f"p{i}-{'x' * 200}", "visit_date": f"2024-01-{day:02d}", "disease": "Malaria",
+                           "diagnosis_code": "B50"})
+
+    days = [5] * 45_000 + [day for day in range(6, 16) for _ in range(20)]
+    messages = spark.createDataFrame([(visit(i, d),) for i, d in enumerate(days)], "value string")
+    write_lines(messages.repartition(8), f"{tmp}/landing")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "128k")
+    try:
+        run_to_end(stream_curate(read_message_files(spark, f"{tmp}/landing"), f"{tmp}/cur", f"{tmp}/ck"))
+    finally:
+        spark.conf.unset(key)
+    assert read_curated(spark, f"{tmp}/cur").count() == len(days)
+    files = {d: len(glob.glob(f"{tmp}/cur/stream/visit_date=2024-01-{d:02d}/*.parquet")) for d in range(5, 16)}
+    # Dates that share the hot one's shuffle partition are split with it; the others are not.
+    assert files[5] >= 3 and min(files[d] for d in range(6, 16)) == 1
 
 
 def test_events_per_flush_and_time_trigger(spark, tmp):
@@ -81,14 +91,5 @@ def test_report_over_stream_output_equals_batch(spark, tmp):
     _, _, cur, _ = _lanes(spark, tmp)
     batch = outbreaks(cleanse(parse_messages(load_visit_messages(spark, SF))))
     streamed = outbreaks(read_curated(spark, cur))
-    assert streamed.count() == 31
+    assert streamed.count() == 38
     assert same_rows(streamed, batch)
-
-
-def test_stream_write_tasks_in_plan(spark, tmp):
-    from vigil.streaming.ingest import STREAM_WRITE_TASKS, curated_stream
-
-    # A fixed task count, whatever spark.sql.shuffle.partitions says (streams have no AQE).
-    df = curated_stream(spark.readStream.schema("value string").text(tmp))
-    plan = df._jdf.queryExecution().logical().toString()
-    assert f"RepartitionByExpression ['visit_date], {STREAM_WRITE_TASKS}" in plan

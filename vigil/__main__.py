@@ -1,7 +1,7 @@
 """Command line: one sub-command per job of the visit lake.
 
     python -m vigil cleanse-csv     # raw *.csv (flat)       -> cleansed CSV
-    python -m vigil cleanse-jsonl   # raw *.jsonl (recursive) -> cleansed CSV
+    python -m vigil cleanse-jsonl   # raw *.jsonl (recursive) and stream-raw's lines -> cleansed CSV
     python -m vigil curate          # cleansed CSV -> curated Parquet by visit_date
     python -m vigil register        # external table over the curated zone
     python -m vigil report          # outbreak report -> dated CSV folder
@@ -17,8 +17,8 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import hashlib
 import json
-import os
 import sys
 from dataclasses import asdict, replace
 
@@ -27,7 +27,8 @@ from pyspark.sql import SparkSession
 from vigil.config import LakeConfig
 from vigil.plans.batch import cleanse_csv_zone, cleanse_jsonl_zone, curate_zone, daily_report
 from vigil.session import RUNTIME_CONF, work_root
-from vigil.sources.catalog import create_schema, list_catalogs, list_databases, register_table
+from vigil.sources.catalog import create_schema, list_catalogs, list_databases, list_tables, register_table
+from vigil.sources.files import STREAM
 from vigil.sources.topic import read_message_files, read_topic
 from vigil.streaming.ingest import Trigger, stream_curate, stream_raw
 
@@ -47,17 +48,14 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--report-date", default=None, help="YYYY-MM-DD (default: today, UTC)")
     p.add_argument("--drain", action="store_true", help="streams: process what is there and stop")
     p.add_argument("--quality-dir", default=None, help="cleanse jobs: also write per-file counts here")
-    p.add_argument("--stream-output", action="store_true",
-                   help="cleanse-jsonl: the raw zone was written by stream-raw (read through its commit log)")
     p.add_argument("--from-raw", action="store_true",
                    help="stream-curate: follow the raw zone written by stream-raw instead of the topic")
     args = p.parse_args(argv)
 
     spark = _session()
     cfg = LakeConfig.from_env()
-    if not os.environ.get("LAKE_ROOT"):
-        # Never the dataclass's local default on a cluster: the shared folder
-        # named by spark.checkpoint.dir (work_root refuses a local one there).
+    if not cfg.lake_root:
+        # The shared folder named by spark.checkpoint.dir (on a cluster work_root refuses a local one).
         cfg = replace(cfg, lake_root=f"{work_root(spark)}/vigil-lake")
     out: object
     if args.command == "cleanse-csv":
@@ -65,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
                                        quality_path=args.quality_dir))
     elif args.command == "cleanse-jsonl":
         out = asdict(cleanse_jsonl_zone(spark, cfg.raw_path, cfg.cleansed_path, codes=cfg.valid_codes,
-                                         quality_path=args.quality_dir, stream_output=args.stream_output))
+                                         quality_path=args.quality_dir))
     elif args.command == "curate":
         out = curate_zone(spark, cfg.cleansed_path, cfg.curated_path)
     elif args.command == "register":
@@ -78,24 +76,29 @@ def main(argv: list[str] | None = None) -> int:
         out = {
             "catalogs": list_catalogs(spark),
             "databases": list_databases(spark),
-            "tables": [t.name for t in spark.catalog.listTables(cfg.database)],
+            "tables": list_tables(spark, cfg.database),
         }
     else:
-        ckpt = f"{work_root(spark)}/vigil-streams/{args.command}"
-        if args.command == "stream-curate" and args.from_raw:
+        raw_stream = f"{cfg.raw_path.rstrip('/')}/{STREAM}"
+        from_raw = args.command == "stream-curate" and args.from_raw
+        # One checkpoint for each pair of a source and a sink.
+        ends = (f"files {raw_stream}" if from_raw else f"topic {cfg.bootstrap} {cfg.topic}",
+                raw_stream if args.command == "stream-raw" else cfg.curated_path)
+        mark = hashlib.sha256("\n".join(ends).encode()).hexdigest()[:16]
+        ckpt = f"{work_root(spark)}/vigil-streams/{args.command}-{mark}"
+        if from_raw:
             # Files have no offset bounds: flush by time through the trigger.
-            source = read_message_files(spark, cfg.raw_path, cfg.max_files_per_trigger)
+            source = read_message_files(spark, raw_stream, cfg.max_files_per_trigger)
             trigger = Trigger(available_now=True) if args.drain else Trigger.from_config(cfg)
         else:
             # The topic options carry the size / time flush rule; drain = final flush.
-            source = read_topic(spark, cfg)
+            source = read_topic(spark, cfg, drain=args.drain)
             trigger = Trigger(available_now=True) if args.drain else Trigger()
         if args.command == "stream-raw":
-            query = stream_raw(source, cfg.raw_path, ckpt, trigger, name="vigil-stream-raw")
+            query = stream_raw(source, raw_stream, ckpt, trigger, name="vigil-stream-raw")
         else:
             query = stream_curate(source, cfg.curated_path, ckpt, trigger, name="vigil-stream-curate",
-                                  codes=cfg.valid_codes, files_per_date=cfg.stream_files_per_date,
-                                  write_tasks=cfg.stream_write_tasks)
+                                  codes=cfg.valid_codes)
         query.awaitTermination()
         out = query.lastProgress
     print(json.dumps(out, default=str))

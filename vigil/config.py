@@ -35,6 +35,8 @@ DEFAULT_BOOTSTRAP = "localhost:29092"
 # Micro-batch flush: by size, and by idle time in seconds.
 DEFAULT_BATCH_SIZE = 500
 DEFAULT_FLUSH_SECONDS = 10
+# Words that switch a flag of the environment on (any case).
+TRUE_WORDS = ("1", "true", "yes")
 # Zone (bucket) names.
 RAW_ZONE = "raw"
 CLEANSED_ZONE = "cleansed"
@@ -46,7 +48,7 @@ DEFAULT_TABLE = "patient_visits"
 
 
 def _flag(value: str) -> bool:
-    return value.strip().lower() in ("1", "true", "yes")
+    return value.strip().lower() in TRUE_WORDS
 
 
 @dataclass(frozen=True)
@@ -57,9 +59,7 @@ class LakeConfig:
     ``spark.hadoop.fs.s3a.*`` (or the cloud equivalent) on the cluster.
     """
 
-    # Local default for programmatic use; the command line uses LAKE_ROOT or the
-    # shared spark.checkpoint.dir folder instead.
-    lake_root: str = "/tmp/vigil-lake"
+    lake_root: str
     raw_zone: str = RAW_ZONE
     cleansed_zone: str = CLEANSED_ZONE
     curated_zone: str = CURATED_ZONE
@@ -69,11 +69,11 @@ class LakeConfig:
     batch_size: int = DEFAULT_BATCH_SIZE
     flush_seconds: int = DEFAULT_FLUSH_SECONDS
     flush_by_time: bool = True
-    # Files taken per micro-batch when a stream follows a folder (not a fixed value).
-    max_files_per_trigger: int = 1000
-    # Curate stream: files per date per micro-batch, and tasks writing a batch.
-    stream_files_per_date: int = 1
-    stream_write_tasks: int = 32
+    # Upper bounds of a micro-batch (messages of the topic, files of a folder); none unless set.
+    max_batch_size: int | None = None
+    max_files_per_trigger: int | None = None
+    # Go on when messages aged out of the topic before they were read (they are lost then).
+    allow_data_loss: bool = False
     valid_codes: tuple[str, ...] = VALID_CODES
     window_rows: int = WINDOW_PRECEDING_ROWS
     growth_factor: Decimal = GROWTH_FACTOR
@@ -105,9 +105,13 @@ class LakeConfig:
     @classmethod
     def from_env(cls, env: Mapping[str, str] | None = None) -> LakeConfig:
         env = os.environ if env is None else env
-        d = cls()
+        d = cls(lake_root=env.get("LAKE_ROOT", ""))
+
+        def bound(name: str) -> int | None:
+            return int(env[name]) if env.get(name) else None
+
         return cls(
-            lake_root=env.get("LAKE_ROOT", d.lake_root),
+            lake_root=d.lake_root,
             raw_zone=env.get("RAW_BUCKET", d.raw_zone),
             cleansed_zone=env.get("CLEANSED_BUCKET", d.cleansed_zone),
             curated_zone=env.get("CURATED_BUCKET", d.curated_zone),
@@ -117,9 +121,9 @@ class LakeConfig:
             batch_size=int(env.get("BATCH_SIZE", d.batch_size)),
             flush_seconds=int(env.get("FLUSH_SECONDS", d.flush_seconds)),
             flush_by_time=_flag(env.get("FLUSH_BY_TIME", "true")),
-            max_files_per_trigger=int(env.get("MAX_FILES_PER_TRIGGER", d.max_files_per_trigger)),
-            stream_files_per_date=int(env.get("STREAM_FILES_PER_DATE", d.stream_files_per_date)),
-            stream_write_tasks=int(env.get("STREAM_WRITE_TASKS", d.stream_write_tasks)),
+            max_batch_size=bound("MAX_BATCH_SIZE"),
+            max_files_per_trigger=bound("MAX_FILES_PER_TRIGGER"),
+            allow_data_loss=_flag(env.get("ALLOW_DATA_LOSS", "false")),
             database=env.get("LAKE_DATABASE", d.database),
             table=env.get("LAKE_TABLE", d.table),
         )

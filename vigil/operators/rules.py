@@ -18,7 +18,7 @@ from pyspark.sql.types import DateType, StringType, StructType
 
 from vigil.config import REQUIRED_COLUMNS, TRIM_COLUMNS, VALID_CODES
 from vigil.functions import space_trim, strict_date
-from vigil.schema import VISIT_CLEANSED
+from vigil.schema import INVALID_MESSAGE, VISIT_CLEANSED
 
 MISSING_REQUIRED = "missing_required"
 BAD_DATE = "bad_date"
@@ -56,27 +56,25 @@ def parse_visit_date(df: DataFrame, column: str = "visit_date") -> DataFrame:
     return df.filter(F.col(column).isNotNull())
 
 
-# Largest code table that is broadcast to every task; beyond it, a shuffle join.
-BROADCAST_CODES_MAX_ROWS = 100_000
+Codes = Iterable[str] | DataFrame
 
 
-def keep_valid_codes(
-    df: DataFrame, codes: Iterable[str] | DataFrame = VALID_CODES, column: str = "diagnosis_code"
-) -> DataFrame:
+def _code_table(codes: DataFrame) -> DataFrame:
+    return codes.select(F.col(codes.columns[0]).alias("_valid_code")).dropna()
+
+
+def keep_valid_codes(df: DataFrame, codes: Codes = VALID_CODES, column: str = "diagnosis_code") -> DataFrame:
     """Keep rows whose code is in the valid set (case-sensitive, null dropped).
 
     A list becomes an ``InSet`` predicate inside the scan stage. A code table
-    becomes a left-semi join: broadcast when a bounded count (it reads at
-    most ``BROADCAST_CODES_MAX_ROWS + 1`` rows) shows it is small, otherwise
-    a shuffle join on the code.
+    (its first column) becomes a left-semi join: Spark broadcasts it when its
+    bytes are few, else shuffles and splits a hot code.
     """
     if column not in df.columns:
         return df
     if isinstance(codes, DataFrame):
-        code_col = codes.columns[0]
-        table = codes.select(F.col(code_col).alias(column)).dropna().distinct()
-        small = table.limit(BROADCAST_CODES_MAX_ROWS + 1).count() <= BROADCAST_CODES_MAX_ROWS
-        return df.join(F.broadcast(table) if small else table, on=column, how="left_semi")
+        table = _code_table(codes)
+        return df.join(table, df[column] == table["_valid_code"], "left_semi")
     return df.filter(F.col(column).isin(list(codes)))
 
 
@@ -97,11 +95,16 @@ def conform(df: DataFrame, schema: StructType = VISIT_CLEANSED) -> DataFrame:
 
 
 _DATE_MISSING = "_visit_date_missing"
+_CODE_VALID = "_code_valid"
 
 
-def _prepared(df: DataFrame) -> tuple[DataFrame, dict]:
-    """Trimmed and parsed columns, each computed once; plus, when the date is
-    text, a flag telling a missing date from one that did not parse."""
+def _prepared(df: DataFrame, codes: Codes) -> tuple[DataFrame, dict]:
+    """Trimmed and parsed columns, each computed once; a flag telling a missing
+    date from one that did not parse, and one telling a valid code.
+
+    The columns come out of a Generate node (one row in, one out): a filter
+    on them cannot be pushed below it, so no parse is copied into the filter.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
     trim_set = set(TRIM_COLUMNS) & {n for n, t in types.items() if isinstance(t, StringType)}
 
@@ -112,37 +115,41 @@ def _prepared(df: DataFrame) -> tuple[DataFrame, dict]:
         return c
 
     extra = [F.col("visit_date").isNull().alias(_DATE_MISSING)] if "visit_date" in types else []
-    return df.select(*[value(n).alias(n) for n in types], *extra), types
-
-
-def _keep(types: dict, codes: Iterable[str]) -> Column | None:
+    with_codes = "diagnosis_code" in types
+    if with_codes and not isinstance(codes, DataFrame):
+        valid = F.coalesce(value("diagnosis_code").isin(list(codes)), F.lit(False))
+        extra.append(valid.alias(_CODE_VALID))
+    out = df.select(F.inline(F.array(F.struct(*[value(n).alias(n) for n in types], *extra))))
+    if with_codes and isinstance(codes, DataFrame):
+        table = _code_table(codes).distinct()
+        joined = out.join(table, out["diagnosis_code"] == table["_valid_code"], "left")
+        out = joined.withColumn(_CODE_VALID, F.col("_valid_code").isNotNull()).drop("_valid_code")
+    return out, types
+
+
+def _keep(types: dict) -> Column | None:
     """The cleanse predicate over prepared columns (required, parsed date, code)."""
     checks = [F.col(c).isNotNull() for c in REQUIRED_COLUMNS if c in types]
     if "diagnosis_code" in types:
-        checks.append(F.col("diagnosis_code").isin(list(codes)))
+        checks.append(F.col(_CODE_VALID))
     return reduce(lambda a, b: a & b, checks) if checks else None
 
 
-def cleanse(
-    df: DataFrame,
-    codes: Iterable[str] | DataFrame = VALID_CODES,
-    schema: StructType = VISIT_CLEANSED,
-) -> DataFrame:
+def cleanse(df: DataFrame, codes: Codes = VALID_CODES, schema: StructType = VISIT_CLEANSED) -> DataFrame:
     """All rules in order, ending with ``conform``.
 
     Built as one projection (trim, parse, conform) and one filter (required
-    fields, parsed date, valid code) - the plan the rule-by-rule chain
-    optimises to, without analysing six intermediate frames.
+    fields, parsed date, valid code), the plan that the rule-by-rule chain
+    stands for, with each date parsed once.
     """
-    if isinstance(codes, DataFrame):
-        return conform(keep_valid_codes(parse_visit_date(drop_missing(trim_fields(df))), codes), schema)
-    prepared, types = _prepared(df)
-    keep = _keep(types, codes)
-    return conform(prepared.filter(keep) if keep is not None else prepared, schema)
+    prepared, types = _prepared(df, codes)
+    keep = _keep(types)
+    names = [F.col(n) for n in types]
+    return conform((prepared.filter(keep) if keep is not None else prepared).select(*names), schema)
 
 
-def _prepared_reason(types: dict, codes: Iterable[str]) -> Column:
-    """``reject_reason`` over prepared columns: null checks and a lookup, no parsing."""
+def _prepared_reason(types: dict) -> Column:
+    """``reject_reason`` over prepared columns: null checks and flags, no parsing."""
     checks: list[tuple[Column, str]] = []
     missing = [F.col(c).isNull() for c in REQUIRED_COLUMNS if c in types and c != "visit_date"]
     if "visit_date" in types:
@@ -152,35 +159,39 @@ def _prepared_reason(types: dict, codes: Iterable[str]) -> Column:
     if "visit_date" in types:
         checks.append((F.col("visit_date").isNull(), BAD_DATE))
     if "diagnosis_code" in types:
-        checks.append((~F.coalesce(F.col("diagnosis_code").isin(list(codes)), F.lit(False)), INVALID_CODE))
+        checks.append((~F.col(_CODE_VALID), INVALID_CODE))
     return _first_failing(checks)
 
 
-def _cleanse_observed(df: DataFrame, observe, codes: Iterable[str], schema: StructType) -> DataFrame:
-    prepared, types = _prepared(df)
-    observed = observe(prepared, quality_columns(_prepared_reason(types, codes)))
-    keep = _keep(types, codes)
-    return conform(observed.filter(keep) if keep is not None else observed, schema)
+def _cleanse_observed(df: DataFrame, observe, codes: Codes, schema: StructType) -> DataFrame:
+    prepared, types = _prepared(df, codes)
+    metrics = quality_columns(_prepared_reason(types))
+    if INVALID_MESSAGE in types:
+        metrics.append(F.count_if(F.col(INVALID_MESSAGE)).alias("invalid_messages"))
+    observed = observe(prepared, metrics)
+    keep = _keep(types)
+    kept = observed.filter(keep) if keep is not None else observed
+    return conform(kept.select(*[F.col(n) for n in types if n != INVALID_MESSAGE]), schema)
 
 
 def cleanse_observed(
-    df: DataFrame, codes: Iterable[str] = VALID_CODES, schema: StructType = VISIT_CLEANSED,
-    name: str = "cleanse_quality",
+    df: DataFrame, codes: Codes = VALID_CODES, schema: StructType = VISIT_CLEANSED, name: str = "cleanse_quality",
 ) -> tuple[DataFrame, Observation]:
     """``cleanse`` plus before / after / removed counts from the same pass.
 
     Trim and date parse run once per row in a projection; the observed
-    metrics and the filter above it only test nulls and codes (the filter
-    cannot be pushed below the metrics node). Run any action on the returned
-    frame (a write) and read ``observation.get``.
+    metrics and the filter above it only test nulls and flags (the filter
+    cannot be pushed below the metrics node). Rows that stand for invalid
+    messages (column ``INVALID_MESSAGE``) count as rows before, lack the
+    required fields, and are counted again as ``invalid_messages``. Run any
+    action on the returned frame (a write) and read ``observation.get``.
     """
     obs = Observation(name)
     return _cleanse_observed(df, lambda d, m: d.observe(obs, *m), codes, schema), obs
 
 
 def cleanse_observed_stream(
-    df: DataFrame, codes: Iterable[str] = VALID_CODES, schema: StructType = VISIT_CLEANSED,
-    name: str = "cleanse_quality",
+    df: DataFrame, codes: Codes = VALID_CODES, schema: StructType = VISIT_CLEANSED, name: str = "cleanse_quality",
 ) -> DataFrame:
     """Streaming form: the counts appear under ``observedMetrics[name]`` per micro-batch."""
     return _cleanse_observed(df, lambda d, m: d.observe(name, *m), codes, schema)
@@ -189,7 +200,8 @@ def cleanse_observed_stream(
 def reject_reason(df: DataFrame, codes: Iterable[str] = VALID_CODES) -> Column:
     """The first rule a row of ``df`` fails, or null when ``cleanse`` keeps it.
 
-    Evaluated on the raw columns; agrees row for row with ``cleanse``.
+    Evaluated on the raw columns, for a list of codes; agrees row for row
+    with ``cleanse``.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     cols = set(types)
@@ -231,9 +243,7 @@ def quality_columns(reason: Column) -> list[Column]:
     ]
 
 
-def quality(
-    df: DataFrame, by: Column | str | None = None, codes: Iterable[str] = VALID_CODES
-) -> DataFrame:
+def quality(df: DataFrame, by: Column | str | None = None, codes: Codes = VALID_CODES) -> DataFrame:
     """Before / after / removed counts per source in one pass over the raw rows.
 
     ``by`` defaults to the input file (``_metadata.file_path``) of a file
@@ -241,6 +251,7 @@ def quality(
     holding a third of all rows costs one partial row per task, not a hot
     partition.
     """
-    reason = reject_reason(df, codes)
     key = F.col("_metadata.file_path") if by is None else (F.col(by) if isinstance(by, str) else by)
-    return df.groupBy(key.alias("source")).agg(*quality_columns(reason))
+    source = df.select("*", key.alias("_quality_source"))
+    prepared, types = _prepared(source, codes)
+    return prepared.groupBy(F.col("_quality_source").alias("source")).agg(*quality_columns(_prepared_reason(types)))

@@ -1,28 +1,35 @@
 """Batch lanes, each one Spark job over a whole zone.
 
-* cleanse: raw zone (CSV flat, or JSON lines recursive) -> cleansed CSV
-* curate: cleansed CSV -> curated Parquet by ``visit_date`` -> table refresh
-* direct: raw -> curated in one pass (no CSV hop, keeps ``''`` values)
+* cleanse: raw zone (CSV flat, or JSON lines recursive) -> cleansed CSV, a folder a lane
+* curate: every lane's cleansed CSV -> one load of the curated zone -> table refresh
+* direct: raw -> a curated load in one pass (no CSV hop, keeps ``''`` values)
 * report: table -> outbreak report -> dated CSV
 
 Counts before / after / removed come from observed metrics of the same
-pass that writes, not from extra ``count()`` scans.
+pass that writes, not from extra ``count()`` scans; the counts per file are
+asked for separately and are one more pass.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from vigil.config import VALID_CODES, LakeConfig
-from vigil.operators.rules import cleanse_observed, quality
+from vigil.functions import suffix_glob
 from vigil.operators.report import outbreaks
+from vigil.operators.rules import Codes, cleanse_observed, quality
+from vigil.session import holds_file, path_exists
 from vigil.sinks.files import write_csv, write_curated, write_report_csv
 from vigil.sources.catalog import refresh_table, register_table, scan_table
-from vigil.sources.files import read_cleansed_csv, read_csv, read_jsonl, require_rows
+from vigil.sources.files import STREAM, read_cleansed_csv, read_csv, read_jsonl, require_files
+
+
+# Folders of the cleansed zone, by lane, and the load that the curate job replaces.
+CSV_LANE, JSONL_LANE, CURATE_LOAD = "csv", "jsonl", "cleansed-zone"
 
 
 @dataclass(frozen=True)
@@ -34,58 +41,80 @@ class LoadResult:
     missing_required: int
     bad_date: int
     invalid_code: int
+    invalid_messages: int = 0
 
 
-def _cleanse_and_write(raw: DataFrame, out: str, write, codes: Iterable[str] = VALID_CODES,
-                       quality_path: str | None = None, source: str | None = None) -> LoadResult:
+def _cleanse_and_write(raw: DataFrame, out: str, write, codes: Codes = VALID_CODES) -> LoadResult:
     cleansed, obs = cleanse_observed(raw, codes)
     write(cleansed, out)
-    if quality_path:
-        # Per-file before / after / removed: a second pass over the raw zone,
-        # pruned to the four rule columns, aggregated map-side, written by Spark.
-        write_csv(quality(raw, by=source, codes=codes), quality_path)
     m = obs.get
-    return LoadResult(out, m["rows_before"], m["rows_after"], m["rows_removed"],
-                      m["missing_required"], m["bad_date"], m["invalid_code"])
+    return LoadResult(out, m["rows_before"], m["rows_after"], m["rows_removed"], m["missing_required"],
+                      m["bad_date"], m["invalid_code"], m.get("invalid_messages", 0))
+
 
+def _lane(path: str, lane: str) -> str:
+    return f"{path.rstrip('/')}/{lane}"
 
-def cleanse_csv_zone(spark: SparkSession, raw_path: str, cleansed_path: str, codes: Iterable[str] = VALID_CODES,
+
+def cleanse_csv_zone(spark: SparkSession, raw_path: str, cleansed_path: str, codes: Codes = VALID_CODES,
                      quality_path: str | None = None, csv_options: dict[str, str] | None = None) -> LoadResult:
-    """Flat ``*.csv`` (any case) in the raw zone -> cleansed CSV."""
-    raw = require_rows(read_csv(spark, raw_path, suffixes=("csv",), recursive=False, options=csv_options), raw_path)
-    return _cleanse_and_write(raw, cleansed_path, write_csv, codes, quality_path)
+    """Flat ``*.csv`` (any case) in the raw zone -> the cleansed zone's CSV lane.
+
+    Columns are matched by the names in each file's own header.
+    """
+    require_files(spark, raw_path, ("csv",), False)
+    raw = read_csv(spark, raw_path, suffixes=("csv",), by_header=True, options=csv_options)
+    result = _cleanse_and_write(raw, _lane(cleansed_path, CSV_LANE), write_csv, codes)
+    if quality_path:
+        by_file = read_csv(spark, raw_path, suffixes=("csv",), by_header=True, options=csv_options, keep_source=True)
+        write_csv(quality(by_file, by="source", codes=codes), _lane(quality_path, CSV_LANE))
+    return result
 
 
 def cleanse_jsonl_zone(spark: SparkSession, raw_path: str, cleansed_path: str,
-                       suffixes=("jsonl",), codes: Iterable[str] = VALID_CODES, quality_path: str | None = None,
-                       stream_output: bool = False) -> LoadResult:
-    """Every ``*.jsonl`` below the raw zone -> cleansed CSV.
+                       suffixes=("jsonl",), codes: Codes = VALID_CODES,
+                       quality_path: str | None = None) -> LoadResult:
+    """Every ``*.jsonl`` below the raw zone, and the lines that ``stream_raw`` wrote there -> the JSON lane.
 
-    ``stream_output=True`` reads a raw zone written by ``stream_raw``: a plain
-    folder read, which Spark serves from the sink's commit log, so files of a
-    failed micro-batch are never read.
+    The stream's folder is read plainly, which Spark serves from the sink's
+    commit log, so files of a failed micro-batch are never read. Rows before
+    count the visits of valid messages, and one for each that is not.
     """
-    if stream_output:
-        lines = read_jsonl(spark, raw_path, suffixes=None, recursive=False, keep_source=True)
-    else:
-        lines = read_jsonl(spark, raw_path, suffixes=suffixes, recursive=True, keep_source=True)
-    raw = require_rows(lines, raw_path)
-    return _cleanse_and_write(raw, cleansed_path, write_csv, codes, quality_path, source="source")
+    streamed = _lane(raw_path, STREAM)
+    parts = []
+    if path_exists(spark, f"{streamed}/_spark_metadata"):
+        parts.append(read_jsonl(spark, streamed, suffixes=None, recursive=False, keep_source=True, mark_invalid=True))
+    if not parts or holds_file(spark, raw_path, suffix_glob(*suffixes), True):
+        require_files(spark, raw_path, suffixes, True)
+        parts.append(read_jsonl(spark, raw_path, suffixes=suffixes, keep_source=True, mark_invalid=True))
+    raw = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
+    result = _cleanse_and_write(raw, _lane(cleansed_path, JSONL_LANE), write_csv, codes)
+    if quality_path:
+        write_csv(quality(raw, by="source", codes=codes), _lane(quality_path, JSONL_LANE))
+    return result
 
 
 def curate_zone(spark: SparkSession, cleansed_path: str, curated_path: str, table: str | None = None) -> str:
-    """Cleansed CSV -> curated Parquet; refresh the external table if one is named."""
-    # Every file of the zone, as before (Spark skips _SUCCESS and hidden files).
-    cleansed = require_rows(read_cleansed_csv(spark, cleansed_path, suffixes=None), cleansed_path)
-    write_curated(cleansed, curated_path)
+    """The whole cleansed zone, every lane's folder -> one load of the curated zone; refresh the table if named.
+
+    The load is the same each time, so a repeated run replaces what the last
+    one wrote, and nothing else.
+    """
+    require_files(spark, cleansed_path, ("csv",), True)
+    write_curated(read_cleansed_csv(spark, cleansed_path, recursive=True), curated_path, CURATE_LOAD)
     if table:
         refresh_table(spark, table)
     return curated_path
 
 
-def load_direct(raw: DataFrame, curated_path: str, codes: Iterable[str] = VALID_CODES) -> LoadResult:
-    """Raw visits -> cleansed -> curated Parquet in one pass."""
-    return _cleanse_and_write(raw, curated_path, write_curated, codes)
+def load_direct(raw: DataFrame, curated_path: str, load: str | None = None, codes: Codes = VALID_CODES) -> LoadResult:
+    """Raw visits -> cleansed -> curated Parquet in one pass, as a load of its own.
+
+    A load named again is replaced as a unit; without a name it is a new one,
+    so late visits are added to their dates.
+    """
+    name = load or uuid.uuid4().hex
+    return _cleanse_and_write(raw, curated_path, lambda df, path: write_curated(df, path, name), codes)
 
 
 def daily_report(spark: SparkSession, cfg: LakeConfig, out_base: str,

@@ -13,14 +13,17 @@ _RAW_VISITS = """
 fx_base AS (
     SELECT
         event_id,
-        CASE user_id % 5 WHEN 0 THEN 'Nairobi' WHEN 1 THEN 'Mombasa' WHEN 2 THEN 'Kisumu'
-                         WHEN 3 THEN 'Nakuru' WHEN 4 THEN 'Eldoret' END AS b_county,
+        CASE WHEN event_id % 20 = 12 THEN NULL
+             WHEN user_id % 5 = 1 AND event_type = 'click' AND CAST(CAST(ts AS DATE) AS VARCHAR) < '2024-01-15'
+                  AND event_id % 10 <> 1 THEN 'Kilifi'
+             ELSE CASE user_id % 5 WHEN 0 THEN 'Nairobi' WHEN 1 THEN 'Mombasa' WHEN 2 THEN 'Kisumu'
+                         WHEN 3 THEN 'Nakuru' WHEN 4 THEN 'Eldoret' END END AS b_county,
         CASE event_type WHEN 'click' THEN 'Malaria' WHEN 'view' THEN 'Influenza' WHEN 'purchase' THEN 'Cholera'
                         WHEN 'signup' THEN 'Typhoid' WHEN 'error' THEN 'Measles' END AS b_disease,
         CASE event_type WHEN 'click' THEN 'B50' WHEN 'view' THEN 'J10' WHEN 'purchase' THEN 'A00'
                         WHEN 'signup' THEN 'A01' WHEN 'error' THEN 'B05' END AS b_code,
-        CASE user_id % 4 WHEN 0 THEN ' General Hospital' WHEN 1 THEN ' Medical Center' WHEN 2 THEN ' Clinic'
-                         WHEN 3 THEN ' County Referral Hospital' END AS b_suffix,
+        CASE user_id % 4 WHEN 0 THEN ' North Ward' WHEN 1 THEN ' South Ward' WHEN 2 THEN ' Dispensary'
+                         WHEN 3 THEN ' Day Clinic' END AS b_suffix,
         CAST(CAST(ts AS DATE) AS VARCHAR) AS d,
         event_id % 20 AS m,
         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS event_time_utc
@@ -30,7 +33,7 @@ raw_visits_id AS (
     SELECT
         event_id,
         CASE WHEN m = 0 THEN NULL WHEN m = 5 THEN ''
-             ELSE upper(substr(b_county, 1, 3)) || '-' || lpad(CAST(event_id AS VARCHAR), 10, '0') END AS patient_id,
+             ELSE 'pt' || CAST(event_id AS VARCHAR) END AS patient_id,
         b_county || b_suffix AS hospital,
         CASE WHEN m = 8 THEN '  ' || b_county || ' ' ELSE b_county END AS county,
         CASE WHEN m = 2 THEN 'not-a-date' WHEN m = 4 THEN NULL WHEN m = 7 THEN ' ' || d || ' '
@@ -39,10 +42,21 @@ raw_visits_id AS (
         CASE WHEN m = 1 THEN ' ' || b_code || '  ' WHEN m = 6 THEN lower(b_code) ELSE b_code END AS diagnosis_code,
         event_time_utc
     FROM fx_base
-    WHERE NOT (b_county = 'Mombasa' AND b_disease = 'Malaria' AND d < '2024-01-15' AND event_id % 10 <> 1)
-),
+)"""
+
+_COLS = "patient_id, hospital, county, visit_date, disease, diagnosis_code, event_time_utc"
+_EACH = f"raw_visits AS (SELECT {_COLS} FROM raw_visits_id)"
+# The visits of all valid messages: every visit's own, and those that come again in an array.
+_IN_MESSAGES = f"""
 raw_visits AS (
-    SELECT patient_id, hospital, county, visit_date, disease, diagnosis_code, event_time_utc FROM raw_visits_id
+    SELECT {_COLS} FROM raw_visits_id UNION ALL SELECT {_COLS} FROM raw_visits_id WHERE event_id % 50 = 41
+)"""
+# Visits by lane: a CSV hop turns '' into null (before cleansing, and after it), the others keep it.
+_LANES = """
+raw_visits AS (
+    SELECT CASE WHEN event_id % 4 = 0 THEN NULLIF(patient_id, '') ELSE patient_id END AS patient_id,
+           hospital, county, visit_date, disease, diagnosis_code, event_time_utc, event_id % 4 AS lane
+    FROM raw_visits_id
 )"""
 
 _MESSAGES = """
@@ -110,6 +124,14 @@ report AS (
 
 _CURATED_COLS = ("patient_id, hospital, county, visit_date, disease, diagnosis_code, "
                  "CAST(event_time_utc AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS event_time_utc")
+# Lane 1 has its CSV hop after cleansing.
+_LANE_ID = "CASE WHEN lane = 1 THEN NULLIF(patient_id, '') ELSE patient_id END AS patient_id"
+_EVEN_TIMES = """
+raw_visits AS (
+    SELECT patient_id, hospital, county, visit_date, disease, diagnosis_code,
+           CASE WHEN event_id % 2 = 0 THEN event_time_utc END AS event_time_utc
+    FROM raw_visits_id
+)"""
 _REPORT_ORDER = "ORDER BY visit_date NULLS LAST, county NULLS LAST, disease NULLS LAST"
 
 
@@ -128,10 +150,12 @@ _NULLIF = ("NULLIF(patient_id, '') AS patient_id, NULLIF(hospital, '') AS hospit
 
 
 def oracle_sql() -> dict[str, str]:
-    base = _with(_RAW_VISITS, _CLEANSE)
-    report = _with(_RAW_VISITS, _CLEANSE, _REPORT)
+    base = _with(_RAW_VISITS, _EACH, _CLEANSE)
+    report = _with(_RAW_VISITS, _EACH, _CLEANSE, _REPORT)
+    from_messages = _with(_RAW_VISITS, _IN_MESSAGES, _CLEANSE)
+    lanes = _with(_RAW_VISITS, _LANES, _CLEANSE.replace("event_time_utc\n", "event_time_utc, lane\n"))
     msgs = _with(_RAW_VISITS, _MESSAGES)
-    valid_msgs = "json_valid(value) AND regexp_full_match(value, '[ \\t\\n\\r]*[{].*[}][ \\t\\n\\r]*', 's')"
+    valid_msgs = "CASE WHEN json_valid(value) THEN json_type(value) IN ('OBJECT', 'ARRAY') ELSE false END"
     return {
         "outbreak_report": f"{report} SELECT * FROM report {_REPORT_ORDER}",
         "trim_fields": f"{base} SELECT * FROM trimmed",
@@ -146,7 +170,7 @@ def oracle_sql() -> dict[str, str]:
         "rolling_cases": f"{report} SELECT county, disease, visit_date, cases, cases_last_7_days FROM rolled",
         "lag_rolling_cases": f"{report} SELECT * FROM lagged",
         "cleanse_quality": (
-            f"{_with(_RAW_VISITS)}, reasons AS (SELECT trim(county) AS source, {_REASON} AS reason FROM raw_visits) "
+            f"{_with(_RAW_VISITS, _EACH)}, reasons AS (SELECT trim(county) AS source, {_REASON} AS reason FROM raw_visits) "
             "SELECT source, COUNT(*) AS rows_before, COUNT(*) FILTER (WHERE reason IS NULL) AS rows_after, "
             "COUNT(*) FILTER (WHERE reason IS NOT NULL) AS rows_removed, "
             "COUNT(*) FILTER (WHERE reason = 'missing_required') AS missing_required, "
@@ -159,7 +183,7 @@ def oracle_sql() -> dict[str, str]:
             "diagnosis_code, event_time_utc FROM cleansed"
         ),
         "zone_scan": f"{base} SELECT {_NULLIF} FROM raw_visits",
-        "jsonl_scan": f"{base} SELECT * FROM raw_visits",
+        "jsonl_scan": f"{from_messages} SELECT * FROM raw_visits",
         "valid_json_filter": f"{msgs} SELECT value FROM messages WHERE {valid_msgs}",
         "publish_json": f"{msgs} SELECT v AS value FROM msg_valid",
         "curate_parquet": f"{base} SELECT {_CURATED_COLS} FROM cleansed",
@@ -170,10 +194,29 @@ def oracle_sql() -> dict[str, str]:
             "ORDER BY patient_id, event_time_utc, hospital NULLS FIRST LIMIT 10"
         ),
         "catalog_listing": (
-            f"{base} SELECT 'spark_catalog' AS catalog, 'public_health' AS database, "
-            "'patient_visits' AS table_name, COUNT(*) AS row_count, "
-            "COUNT(DISTINCT visit_date) AS partition_count, COUNT(DISTINCT county) AS county_count FROM cleansed"
+            f"{base}, counted AS (SELECT COUNT(*) AS row_count, COUNT(DISTINCT visit_date) AS date_count, "
+            "COUNT(DISTINCT county) AS county_count FROM cleansed) "
+            "SELECT 'catalog' AS kind, 'spark_catalog' AS name, NULL AS row_count, NULL AS date_count, "
+            "NULL AS county_count "
+            "UNION ALL SELECT 'database', 'of this run', NULL, NULL, NULL "
+            "UNION ALL SELECT 'table', 'patient_visits', row_count, date_count, county_count FROM counted "
+            "UNION ALL SELECT 'table', 'patient_visits_batch', NULL, NULL, NULL"
+        ),
+        "code_table_filter": f"{base} SELECT * FROM cleansed",
+        "csv_by_header": (
+            f"{_with(_RAW_VISITS, _EVEN_TIMES)} SELECT {_NULLIF} FROM raw_visits"
+        ),
+        "message_quality": (
+            f"{msgs} SELECT COUNT(*) AS messages, COUNT(*) FILTER (WHERE {valid_msgs}) AS valid_messages, "
+            f"COUNT(*) FILTER (WHERE NOT {valid_msgs}) AS invalid_messages, "
+            f"COUNT(*) FILTER (WHERE {valid_msgs}) AS visits FROM messages"
+        ),
+        "mixed_lanes_scan": (
+            f"{lanes} SELECT {_CURATED_COLS.replace('patient_id', _LANE_ID, 1)} FROM cleansed"
+        ),
+        "stream_raw_sink": (
+            f"{msgs} SELECT value FROM messages "
+            "UNION ALL SELECT 'null' AS value FROM raw_visits_id WHERE event_id % 50 = 47"
         ),
-        "stream_raw_sink": f"{msgs} SELECT value FROM messages",
-        "stream_curate": f"{base} SELECT {_CURATED_COLS} FROM cleansed",
+        "stream_curate": f"{from_messages} SELECT {_CURATED_COLS} FROM cleansed",
     }

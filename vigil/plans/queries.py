@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.config import DEFAULT_DATABASE
+from vigil.config import VALID_CODES
 from vigil.operators import (
     cleanse,
     daily_counts,
@@ -26,13 +26,21 @@ from vigil.operators import (
     rolling_cases,
     trim_fields,
 )
-from vigil.schema import REPORT
-from vigil.session import work_dir, work_root
+from vigil.plans.batch import cleanse_csv_zone, cleanse_jsonl_zone, curate_zone, load_direct
+from vigil.schema import REPORT, VISIT_RAW
+from vigil.session import work_dir
 from vigil.sinks.files import encode_json, write_csv, write_curated, write_lines, write_report_csv
-from vigil.sources.catalog import create_schema, register_table, scan_table
+from vigil.sources.catalog import (
+    create_schema,
+    list_catalogs,
+    list_databases,
+    list_tables,
+    register_table,
+    scan_table,
+)
 from vigil.sources.files import read_cleansed_csv, read_csv, read_curated, read_jsonl
 from vigil.sources.fixture import raw_visits, read_events, visit_messages
-from vigil.sources.messages import valid_messages
+from vigil.sources.messages import message_quality, valid_messages
 from vigil.sources.topic import read_message_files
 from vigil.streaming.ingest import run_to_end, stream_curate, stream_raw
 
@@ -118,18 +126,40 @@ def zone_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     zone = f"{work_dir(spark, 'zone_scan')}/raw"
     raw = _raw(spark, sf_dir)
     write_csv(raw, zone, keep_padding=True)
-    write_csv(raw, f"{zone}/archive", keep_padding=True)  # not listed: sub folder
-    write_lines(encode_json(raw), zone, mode="append")  # not listed: .txt files
+    elsewhere = raw.limit(1000)  # files that the listing must leave out
+    write_csv(elsewhere, f"{zone}/archive", keep_padding=True)  # a sub folder
+    write_lines(encode_json(elsewhere), zone, mode="append")  # .txt files
     return read_csv(spark, zone, suffixes=("csv",), recursive=False)
 
 
+def csv_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One zone with files of two column orders, six and seven columns, read by their own headers."""
+    zone = f"{work_dir(spark, 'csv_by_header')}/raw"
+    raw = raw_visits(_events(spark, sf_dir), keep_event_id=True)
+    names = [f.name for f in VISIT_RAW]
+    write_csv(raw.filter("event_id % 2 = 0").select(*names), zone, keep_padding=True)
+    write_csv(raw.filter("event_id % 2 <> 0").select(*names[-2::-1]), zone, mode="append", keep_padding=True)
+    return read_csv(spark, zone, by_header=True)
+
+
 def jsonl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON lines (valid and broken) in nested folders, read recursively."""
+    """JSON lines (objects, arrays and broken ones) in nested folders, read recursively."""
     zone = f"{work_dir(spark, 'jsonl_scan')}/raw"
     write_lines(_messages(spark, sf_dir), f"{zone}/2024/01")
     return read_jsonl(spark, zone, suffixes=None, recursive=True)
 
 
+def message_quality_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages received, valid and invalid, and the visits in the valid ones."""
+    return message_quality(_messages(spark, sf_dir))
+
+
+def code_table_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleansing against a code table (with repeated and null codes) instead of a list."""
+    table = spark.createDataFrame([(c,) for c in (*VALID_CODES, VALID_CODES[0], None)], "code string")
+    return cleanse(_raw(spark, sf_dir), table)
+
+
 def valid_json_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid_messages(_messages(spark, sf_dir)).select("value")
 
@@ -141,10 +171,28 @@ def publish_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def curate_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{work_dir(spark, 'curate_parquet')}/curated"
-    write_curated(_cleansed(spark, sf_dir), path)
+    write_curated(_cleansed(spark, sf_dir), path, "all")
     return read_curated(spark, path)
 
 
+def mixed_lanes_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One curated zone fed by every lane: CSV, JSON lines, the stream and a late batch load, none losing another's rows."""
+    work = work_dir(spark, "mixed_lanes_scan")
+    raw, cleansed, curated = f"{work}/raw", f"{work}/cleansed", f"{work}/curated"
+    visits = raw_visits(_events(spark, sf_dir), keep_event_id=True)
+    by_lane = [visits.filter(F.col("event_id") % 4 == k).drop("event_id") for k in range(4)]
+    run_to_end(stream_curate(_landed(spark, encode_json(by_lane[2]), f"{work}/landing"), curated, f"{work}/_checkpoint"))
+    write_csv(by_lane[0], f"{raw}/csv", keep_padding=True)
+    cleanse_csv_zone(spark, f"{raw}/csv", cleansed)
+    write_lines(encode_json(by_lane[1]), f"{raw}/lines")
+    cleanse_jsonl_zone(spark, f"{raw}/lines", cleansed, suffixes=("txt",))
+    curate_zone(spark, cleansed, curated)
+    load_direct(by_lane[3], curated, "late")
+    curate_zone(spark, cleansed, curated)  # a repeated run replaces its own load only
+    load_direct(by_lane[3], curated, "late")
+    return read_curated(spark, curated)
+
+
 def report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = f"{work_dir(spark, 'report_csv')}/reports"
     path = write_report_csv(outbreaks(_cleansed(spark, sf_dir)), base, REPORT_DATE)
@@ -152,49 +200,56 @@ def report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _curated_table(spark: SparkSession, sf_dir: str, name: str) -> str:
-    path = f"{work_dir(spark, name)}/curated"
-    write_curated(_cleansed(spark, sf_dir), path)
-    # The database folder goes under the shared work root, not the process's
-    # working directory (the default warehouse).
-    create_schema(spark, DEFAULT_DATABASE, f"{work_root(spark)}/vigil-warehouse/{DEFAULT_DATABASE}.db")
-    return register_table(spark, path, replace=True)
+    work = work_dir(spark, name)
+    write_curated(_cleansed(spark, sf_dir), f"{work}/curated", "all")
+    # A database of the run's own, in the work folder: no table that a job uses is ever touched.
+    database = f"vigil_query_{work.rsplit('-', 1)[1]}"
+    create_schema(spark, database, f"{work}/warehouse")
+    return register_table(spark, f"{work}/curated", database)
 
 
 def external_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``SELECT * ... LIMIT 10`` on the external table, sorted so it has one answer."""
+    """``SELECT * ... LIMIT 10`` on the table, sorted so it has one answer."""
     table = _curated_table(spark, sf_dir, "external_table_scan")
     return scan_table(spark, table).orderBy("patient_id", "event_time_utc", "hospital").limit(10)
 
 
 def table_outbreak_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report as the report job runs it: over the external table of the curated zone."""
+    """The report as the report job runs it: over the table of the curated zone."""
     table = _curated_table(spark, sf_dir, "table_outbreak_report")
     return outbreaks(scan_table(spark, table))
 
 
 def catalog_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The registered table as the catalog sees it, with its size."""
+    """What the listing calls show (catalogs, the run's database, its tables), and what the table holds."""
     table = _curated_table(spark, sf_dir, "catalog_listing")
-    db, name = (p.strip("`") for p in table.split("."))
-    assert spark.catalog.tableExists(f"{db}.{name}"), table
-    return spark.table(table).agg(
-        F.lit(spark.catalog.currentCatalog()).alias("catalog"),
-        F.lit(db).alias("database"),
-        F.lit(name).alias("table_name"),
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_distinct("visit_date").alias("partition_count"),
-        F.count_distinct("county").alias("county_count"),
-    )
+    database, name = table.replace("`", "").split(".")
+    listed = [("catalog", c) for c in list_catalogs(spark)]
+    listed += [("database", "of this run") for d in list_databases(spark) if d == database]
+    listed += [("table", t) for t in list_tables(spark, database)]
+    # Few rows (one a date and county) are left before the two distinct counts.
+    few = spark.table(table).groupBy("visit_date", "county").agg(F.count(F.lit(1)).alias("n"))
+    counts = few.agg(F.sum("n").alias("row_count"), F.size(F.collect_set("visit_date")).cast("long").alias("date_count"),
+                     F.size(F.collect_set("county")).cast("long").alias("county_count")).withColumn("_of", F.lit(name))
+    rows = spark.createDataFrame(listed, "kind string, name string")
+    return rows.join(counts, (F.col("kind") == "table") & (F.col("name") == F.col("_of")), "left").drop("_of")
 
 
 # --- streaming -----------------------------------------------------------------
 
+def _landed(spark: SparkSession, messages: DataFrame, landing: str) -> DataFrame:
+    """The topic stand-in: at least four files, taken two at a time (so two micro-batches or more)."""
+    write_lines(messages.repartition(4), landing)
+    return read_message_files(spark, landing, max_files_per_trigger=2)
+
+
 def _stream_to_raw(spark: SparkSession, sf_dir: str, work: str) -> str:
-    landing = f"{work}/landing"
-    write_lines(_messages(spark, sf_dir), landing)  # the topic stand-in
-    raw = f"{work}/raw"
-    query = stream_raw(read_message_files(spark, landing, max_files_per_trigger=2), raw, f"{work}/_checkpoints/raw")
-    run_to_end(query)
+    """The raw zone that the first link of the chain writes; its last micro-batch holds invalid messages only."""
+    messages = _messages(spark, sf_dir)
+    landing, raw, checkpoint = f"{work}/landing", f"{work}/raw", f"{work}/_checkpoints/raw"
+    run_to_end(stream_raw(_landed(spark, messages, landing), raw, checkpoint))
+    write_lines(messages.filter("value = 'null'").coalesce(1), landing, mode="append")
+    run_to_end(stream_raw(read_message_files(spark, landing), raw, checkpoint))
     return raw
 
 
@@ -226,12 +281,16 @@ QUERIES: dict[str, Query] = {
     "rolling_cases": rolling_cases_q,
     "lag_rolling_cases": lag_rolling_cases_q,
     "cleanse_quality": cleanse_quality,
+    "code_table_filter": code_table_filter,
     "csv_scan": csv_scan,
+    "csv_by_header": csv_by_header,
     "zone_scan": zone_scan,
     "jsonl_scan": jsonl_scan,
     "valid_json_filter": valid_json_filter,
+    "message_quality": message_quality_q,
     "publish_json": publish_json,
     "curate_parquet": curate_parquet,
+    "mixed_lanes_scan": mixed_lanes_scan,
     "report_csv": report_csv,
     "external_table_scan": external_table_scan,
     "table_outbreak_report": table_outbreak_report,

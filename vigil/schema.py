@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import ArrayType, DateType, LongType, StringType, StructField, StructType, TimestampType
 
 from vigil.config import PREFERRED_COLUMNS
 
-CORRUPT_COLUMN = "_corrupt_record"
+# Marks the row that stands for a message that is not valid JSON.
+INVALID_MESSAGE = "_invalid_message"
 
 
 def _visit(date_type, time_type) -> StructType:
@@ -20,8 +21,8 @@ def _visit(date_type, time_type) -> StructType:
 # files read positionally next to 7-column ones get null there.
 VISIT_RAW = _visit(StringType(), StringType())
 
-# Raw JSON message parse target: the raw visit plus the corrupt-record slot.
-VISIT_MESSAGE = StructType(VISIT_RAW.fields + [StructField(CORRUPT_COLUMN, StringType())])
+# Raw JSON message parse target: an array of visits (a lone object is an array of one).
+VISIT_MESSAGE = ArrayType(VISIT_RAW)
 
 # Cleansed visit: dates parsed, the event time still the text it arrived as.
 VISIT_CLEANSED = _visit(DateType(), StringType())

@@ -14,6 +14,8 @@ from pyspark.sql import SparkSession
 
 # Settings that are safe to apply to any session at run time.
 RUNTIME_CONF = {
+    # Instants without an offset, and date casts, must not depend on where the job runs.
+    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -35,7 +37,6 @@ def local_session(
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
     )
     for k, v in {**RUNTIME_CONF, **(extra or {})}.items():
@@ -77,6 +78,39 @@ def work_root(spark: SparkSession) -> str:
     return root
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system's scheme and authority, however it was written."""
+    fs, p = _hadoop_path(spark, path)
+    return str(fs.makeQualified(p).toString()).rstrip("/")
+
+
+def holds_file(spark: SparkSession, path: str, pattern: str | None, recursive: bool) -> bool:
+    """Whether a folder holds a data file whose name matches the glob; stops at the first hit."""
+    fs, p = _hadoop_path(spark, path)
+    if not fs.exists(p):
+        return False
+    if fs.getFileStatus(p).isFile():
+        return True
+    accept = spark._jvm.org.apache.hadoop.fs.GlobFilter(pattern or "*")
+    files = fs.listFiles(p, recursive)
+    while files.hasNext():
+        name = files.next().getPath()
+        if not name.getName().startswith(("_", ".")) and accept.accept(name):
+            return True
+    return False
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared work root."""
     return f"{work_root(spark)}/vigil-work/{name}-{uuid.uuid4().hex[:12]}"

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from vigil.functions import json_text
 from vigil.operators.curation import curate
+from vigil.session import path_exists
+from vigil.sources.files import BATCH
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", keep_padding: bool = False) -> str:
@@ -42,20 +44,27 @@ def write_lines(df: DataFrame, path: str, column: str = "value", mode: str = "ov
     return path
 
 
-def write_curated(df: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = True) -> str:
-    """Curated Parquet partitioned by ``visit_date``.
+def write_curated(df: DataFrame, path: str, load: str, rebalance: bool = True) -> str:
+    """Curated Parquet partitioned by ``visit_date``, as one load of the zone's batch folder.
 
-    ``overwrite`` replaces only the dates present in ``df`` (dynamic
-    partition overwrite), so re-running one day's load keeps the others.
+    A load is a folder of its own: writing it again replaces it as a unit,
+    and no other load, nor the stream's output, is touched. Late visits are a
+    new load, whatever their dates. A folder that a stream writes to is
+    refused.
     """
+    spark = df.sparkSession
+    target = f"{path.rstrip('/')}/{BATCH}/load={load}"
+    for owned in (path.rstrip("/"), f"{path.rstrip('/')}/{BATCH}", target):
+        if path_exists(spark, f"{owned}/_spark_metadata"):
+            raise ValueError(f"{owned} holds a stream's output; a batch load must not write there")
     out = curate(df)
     if rebalance:
         out = out.hint("rebalance", "visit_date")
     (
-        out.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy("visit_date")
-        .parquet(path)
+        .parquet(target)
     )
     return path
 

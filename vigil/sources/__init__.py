@@ -4,11 +4,12 @@ from vigil.sources.catalog import (
     create_schema,
     list_catalogs,
     list_databases,
+    list_tables,
     refresh_table,
     register_table,
     scan_table,
 )
-from vigil.sources.files import EmptyZoneError, read_cleansed_csv, read_csv, read_curated, read_jsonl, require_rows
+from vigil.sources.files import EmptyZoneError, read_cleansed_csv, read_csv, read_curated, read_jsonl, require_files
 from vigil.sources.fixture import load_raw_visits, load_visit_messages, raw_visits, visit_messages
 from vigil.sources.messages import message_quality, parse_messages, valid_messages
 from vigil.sources.topic import read_message_files, read_topic, topic_options
@@ -18,6 +19,7 @@ __all__ = [
     "create_schema",
     "list_catalogs",
     "list_databases",
+    "list_tables",
     "load_raw_visits",
     "load_visit_messages",
     "message_quality",
@@ -31,7 +33,7 @@ __all__ = [
     "read_topic",
     "refresh_table",
     "register_table",
-    "require_rows",
+    "require_files",
     "scan_table",
     "topic_options",
     "valid_messages",

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from vigil.config import DEFAULT_DATABASE, DEFAULT_TABLE
 from vigil.operators.rules import conform
 from vigil.schema import VISIT, ddl
+from vigil.session import path_exists, qualified
+from vigil.sources.files import BATCH, STREAM
 
 
 def _quote(path: str) -> str:
@@ -24,6 +26,21 @@ def _table_location(spark: SparkSession, name: str) -> str | None:
     return rows[0]["data_type"] if rows else None
 
 
+def _external(spark: SparkSession, database: str, table: str, columns: str, partitions: str, location: str,
+              replace: bool) -> str:
+    """External Parquet table over ``location``; an existing one over another place is an error unless replaced."""
+    name = f"`{database}`.`{table}`"
+    if spark.catalog.tableExists(f"{database}.{table}"):
+        current = qualified(spark, _table_location(spark, name) or location)
+        if current != qualified(spark, location):
+            if not replace:
+                raise ValueError(f"{name} already points at {current}, not {location}")
+            spark.sql(f"DROP TABLE {name}")  # external: the files stay
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+              f"PARTITIONED BY ({partitions}) LOCATION {_quote(location)}")
+    return name
+
+
 def register_table(
     spark: SparkSession,
     location: str,
@@ -31,39 +48,36 @@ def register_table(
     table: str = DEFAULT_TABLE,
     replace: bool = False,
 ) -> str:
-    """External Parquet table over the curated zone, partitioned by ``visit_date``.
+    """The curated zone as a table: one external table a writer, and a view of both under the table's name.
 
-    Idempotent: an existing table over the same location is only refreshed.
-    Partitions written by batch jobs are discovered with
-    ``recoverPartitions``; call ``refresh_table`` after each new load.
+    The batch loads are partitioned by load and ``visit_date``, and found
+    with ``recoverPartitions``; the stream's output is served from its sink's
+    commit log. Idempotent: existing tables over the same location are only
+    refreshed. Call it (or ``refresh_table``) after each new load.
     """
     name = f"`{database}`.`{table}`"
     create_schema(spark, database)
-    if spark.catalog.tableExists(f"{database}.{table}"):
-        current = (_table_location(spark, name) or "").rstrip("/")
-        if current.removeprefix("file:") != location.rstrip("/").removeprefix("file:"):
-            if not replace:
-                raise ValueError(f"{name} already points at {current}, not {location}")
-            spark.sql(f"DROP TABLE {name}")  # external: the files stay
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({ddl(VISIT)}) USING parquet "
-        f"PARTITIONED BY (visit_date) LOCATION {_quote(location)}"
-    )
-    refresh_table(spark, name)
+    root = location.rstrip("/")
+    batch = _external(spark, database, f"{table}_{BATCH}", ddl(VISIT) + ", `load` STRING", "load, visit_date",
+                      f"{root}/{BATCH}", replace)
+    parts = [batch]
+    if spark.catalog.tableExists(f"{database}.{table}_{STREAM}") or path_exists(spark, f"{root}/{STREAM}"):
+        parts.append(_external(spark, database, f"{table}_{STREAM}", ddl(VISIT), "visit_date", f"{root}/{STREAM}",
+                               replace))
+    columns = ", ".join(f"`{f.name}`" for f in VISIT.fields)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS " + " UNION ALL ".join(f"SELECT {columns} FROM {p}" for p in parts))
+    if path_exists(spark, f"{root}/{BATCH}"):
+        spark.catalog.recoverPartitions(batch)
+    for part in parts:
+        spark.catalog.refreshTable(part)
     return name
 
 
 def refresh_table(spark: SparkSession, name: str) -> None:
-    """Pick up new partitions and files written since the last read.
-
-    Over batch output the catalog tracks partitions, so new dates are added
-    with ``recoverPartitions``. Over a stream sink's output Spark reads the
-    sink's commit log instead and keeps no partitions in the catalog; a
-    refresh is all it needs.
-    """
-    if any(c.isPartition for c in spark.catalog.listColumns(name.replace("`", ""))):
-        spark.catalog.recoverPartitions(name)
-    spark.catalog.refreshTable(name)
+    """Pick up new loads, a stream's first output, and files written since the last read."""
+    database, table = name.replace("`", "").split(".")
+    batch = _table_location(spark, f"`{database}`.`{table}_{BATCH}`")
+    register_table(spark, batch.rstrip("/").removesuffix(f"/{BATCH}"), database, table)
 
 
 def scan_table(spark: SparkSession, name: str = f"{DEFAULT_DATABASE}.{DEFAULT_TABLE}") -> DataFrame:
@@ -77,3 +91,7 @@ def list_catalogs(spark: SparkSession) -> list[str]:
 
 def list_databases(spark: SparkSession) -> list[str]:
     return [d.name for d in spark.catalog.listDatabases()]
+
+
+def list_tables(spark: SparkSession, database: str) -> list[str]:
+    return sorted(t.name for t in spark.catalog.listTables(database))

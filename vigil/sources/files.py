@@ -11,15 +11,21 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from vigil.functions import suffix_glob
 from vigil.operators.rules import conform
 from vigil.schema import VISIT, VISIT_CLEANSED, VISIT_RAW
+from vigil.session import holds_file, path_exists
 from vigil.sources.messages import parse_messages
 
 
 class EmptyZoneError(RuntimeError):
-    """Raised when a zone holds no matching file (or no row)."""
+    """Raised when a zone holds no matching file."""
+
+
+BATCH, STREAM = "batch", "stream"  # folders of the curated zone, by writer
 
 
 def _zone(spark: SparkSession, path: str | Sequence[str], suffixes: Sequence[str] | None, recursive: bool):
@@ -49,11 +55,41 @@ def _load(what: str, load):
         raise
 
 
-def require_rows(df: DataFrame, what: str) -> DataFrame:
-    """Fail fast on an empty zone; reads at most one row (``isEmpty``)."""
-    if df.isEmpty():
-        raise EmptyZoneError(f"no matching file or row in {what}")
-    return df
+def require_files(spark: SparkSession, path: str, suffixes: Sequence[str] | None, recursive: bool) -> None:
+    """Fail fast on a zone without a matching file (files without rows are fine); stops at the first hit."""
+    if not holds_file(spark, path, suffix_glob(*suffixes) if suffixes else None, recursive):
+        raise EmptyZoneError(f"no matching file in {path}")
+
+
+_PLACES = 64  # places of a headed file that are looked at
+
+
+def _by_header(reader, paths: list[str], options: dict[str, str], schema: StructType, keep_source: bool) -> DataFrame:
+    """Files of any column order: each row is read by place and named by its own file's header.
+
+    A header is the first line of its file and holds two or more of the
+    schema's names, as no row of data does; there is one small row a file of
+    them, joined with the rows by file. Names beyond the schema are ignored,
+    absent ones are null; a file without a header is an error.
+    """
+    places = StructType([StructField(f"_c{i}", StringType()) for i in range(_PLACES)])
+    cells = F.array(*[F.col(f.name) for f in places])
+    # Names are compared without the padding that data cells keep.
+    rows = reader.options(**{**options, "header": "false"}).schema(places).csv(paths).select(
+        cells.alias("_cells"), F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_at"))
+    names = [f.name for f in schema.fields]
+    filled = F.filter("_cells", lambda c: c.isNotNull())
+    known = F.filter(filled, lambda c: F.trim(c).isin(names))
+    marked = rows.withColumn("_header", (F.size(known) >= 2) & (F.col("_at") == 0))
+    heads = marked.filter("_header").groupBy("_file").agg(
+        F.min(F.transform("_cells", F.trim)).alias("_names")).withColumnRenamed("_file", "_of")
+    joined = marked.filter("NOT _header").join(heads, F.col("_file") == F.col("_of"), "left")
+    place = F.when(F.col("_names").isNull(), F.raise_error(F.concat(F.lit("no header in "), F.col("_file"))).cast("int"))
+    source = [F.col("_file").alias("source")] if keep_source else []
+    return joined.select(*source, *[
+        F.get("_cells", place.otherwise(F.coalesce(F.array_position("_names", n), F.lit(0)).cast("int") - 1))
+        .cast(schema[n].dataType).alias(n) for n in names])
 
 
 def read_csv(
@@ -64,20 +100,22 @@ def read_csv(
     recursive: bool = False,
     by_header: bool = False,
     options: dict[str, str] | None = None,
+    keep_source: bool = False,
 ) -> DataFrame:
     """CSV with a header row.
 
-    With a schema, columns are matched by *position* (the canonical order
-    puts the one optional column last, so 6- and 7-column files mix). With
-    ``by_header=True`` the header names are used instead (all text) and the
-    frame is conformed to ``schema``; one header order per read. ``options``
-    go to the CSV reader, e.g. ``{"escape": '"'}`` for files that double
-    quotes inside quoted fields (RFC 4180) rather than Spark's backslash.
+    By default columns are matched by *position* (for files that this
+    library wrote: the canonical order puts the one optional column last, so
+    6- and 7-column files mix). With ``by_header=True`` every file is read by
+    the names in its own header, whatever their order, as text in the
+    schema's columns (``keep_source`` adds the file's path). ``options`` go to the CSV reader, e.g.
+    ``{"escape": '"'}`` for files that double quotes inside quoted fields
+    (RFC 4180) rather than Spark's backslash.
     """
     reader, paths = _zone(spark, path, suffixes, recursive)
-    reader = reader.option("header", "true").options(**(options or {}))
     if by_header:
-        return conform(_load(str(path), lambda: reader.csv(paths)), schema)
+        return _load(str(path), lambda: _by_header(reader, paths, options or {}, schema, keep_source))
+    reader = reader.option("header", "true").options(**(options or {}))
     return _load(str(path), lambda: reader.schema(schema).csv(paths))
 
 
@@ -92,8 +130,9 @@ def read_jsonl(
     suffixes: Sequence[str] | None = ("jsonl", "json"),
     recursive: bool = True,
     keep_source: bool = False,
+    mark_invalid: bool = False,
 ) -> DataFrame:
-    """JSON-lines visits: one message per line, non-object lines dropped.
+    """JSON-lines visits: one message per line, blank lines skipped; see ``parse_messages``.
 
     Read as text and parsed with ``from_json`` against the raw schema, the
     same parse the stream uses, so batch and stream keep the same rows.
@@ -102,13 +141,19 @@ def read_jsonl(
     lines = _load(str(path), lambda: reader.text(paths))
     if keep_source:
         lines = lines.select("value", lines["_metadata.file_path"].alias("source"))
-    return parse_messages(lines, keep=["source"] if keep_source else ())
+    lines = lines.filter(F.trim("value") != "")
+    return parse_messages(lines, keep=["source"] if keep_source else (), mark_invalid=mark_invalid)
 
 
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
-    """The curated zone (Parquet, partitioned by ``visit_date``) in canonical order.
+    """The curated zone (Parquet, partitioned by ``visit_date``) in canonical order: batch loads and stream output.
 
-    Filters on ``visit_date`` prune partitions; other filters are pushed to
-    the Parquet reader.
+    The stream's folder is read through its sink's commit log, the batch
+    folder as its loads stand. Filters on ``visit_date`` prune partitions;
+    other filters are pushed to the Parquet reader.
     """
-    return conform(spark.read.schema(VISIT).parquet(path), VISIT)
+    found = [f"{path.rstrip('/')}/{w}" for w in (BATCH, STREAM) if path_exists(spark, f"{path.rstrip('/')}/{w}")]
+    if not found:
+        raise EmptyZoneError(f"nothing curated in {path}")
+    parts = [conform(spark.read.schema(VISIT).parquet(p), VISIT) for p in found]
+    return parts[0] if len(parts) == 1 else parts[0].union(parts[1])

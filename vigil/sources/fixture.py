@@ -1,10 +1,10 @@
 """Raw visit records derived from the driver's ``events`` table.
 
 A deterministic, row-for-row mapping (see FIXTURES.md section 2): every
-event becomes one raw visit, except early Mombasa malaria rows that are
-thinned to create an onset. Dirty values (padding, blanks, bad dates, lower
-case codes, nulls) are planted by ``event_id % 20``. Narrow projection and
-filter only: it scales with ``events`` and never shuffles.
+event becomes one raw visit; most early Mombasa malaria rows are moved to
+another county, which creates an onset. Dirty values (padding, blanks, bad
+dates, lower case codes, nulls) are planted by ``event_id % 20``. A narrow
+projection only: it scales with ``events``, drops no row and never shuffles.
 """
 
 from __future__ import annotations
@@ -28,11 +28,11 @@ DISEASES = {
     "error": ("Measles", "B05"),
 }
 # hospital suffix by user_id % 4
-HOSPITAL_SUFFIXES = (" General Hospital", " Medical Center", " Clinic", " County Referral Hospital")
-# Onset: Mombasa malaria before this date keeps only event_id % 10 == 1.
-ONSET_COUNTY, ONSET_DISEASE, ONSET_DATE = "Mombasa", "Malaria", "2024-01-15"
-# Extra broken messages, planted by event_id % 50, next to every valid one.
-BROKEN_MESSAGES = {11: "truncated", 23: "number", 37: "blank", 41: "array", 47: "null"}
+HOSPITAL_SUFFIXES = (" North Ward", " South Ward", " Dispensary", " Day Clinic")
+# Onset: Mombasa malaria before this date stays there only where event_id % 10 == 1, else it is elsewhere.
+ONSET_COUNTY, ONSET_DISEASE, ONSET_DATE, ELSEWHERE = "Mombasa", "Malaria", "2024-01-15", "Kilifi"
+# Extra messages, planted by event_id % 50, next to every visit's own: four broken ones, and the visit again in an array.
+EXTRA_MESSAGES = {11: "truncated", 23: "number", 37: "blank", 41: "array", 47: "null"}
 # ---------------------------------------------------------------------------
 
 
@@ -64,18 +64,18 @@ def raw_visits(events: DataFrame, keep_event_id: bool = False) -> DataFrame:
     base = events.selectExpr(
         "event_id",
         "event_id % 20 AS _m",
-        f"{_COUNTY} AS _county",
+        f"{_COUNTY} AS _home",
         f"{_DISEASE} AS _dc",
         f"{_SUFFIX} AS _suffix",
         "CAST(CAST(ts AS DATE) AS STRING) AS _d",
         "concat(date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00') AS event_time_utc",
-    ).filter(
-        f"NOT (_county = {_sql_text(ONSET_COUNTY)} AND _dc.name = {_sql_text(ONSET_DISEASE)} "
-        f"AND _d < {_sql_text(ONSET_DATE)} AND event_id % 10 <> 1)"
-    )
+    ).withColumn("_county", F.expr(
+        f"CASE WHEN _m = 12 THEN NULL WHEN _home = {_sql_text(ONSET_COUNTY)} AND _dc.name = {_sql_text(ONSET_DISEASE)} "
+        f"AND _d < {_sql_text(ONSET_DATE)} AND event_id % 10 <> 1 THEN {_sql_text(ELSEWHERE)} ELSE _home END"
+    ))
     cols = [
         "CASE _m WHEN 0 THEN NULL WHEN 5 THEN '' "
-        "ELSE concat(upper(substring(_county, 1, 3)), '-', lpad(CAST(event_id AS STRING), 10, '0')) END AS patient_id",
+        "ELSE concat('pt', CAST(event_id AS STRING)) END AS patient_id",
         "concat(_county, _suffix) AS hospital",
         "CASE _m WHEN 8 THEN concat('  ', _county, ' ') ELSE _county END AS county",
         "CASE _m WHEN 2 THEN 'not-a-date' WHEN 4 THEN NULL WHEN 7 THEN concat(' ', _d, ' ') "
@@ -88,7 +88,7 @@ def raw_visits(events: DataFrame, keep_event_id: bool = False) -> DataFrame:
     return base.selectExpr(*(["event_id"] if keep_event_id else []), *cols)
 
 
-_BROKEN_SQL = {
+_EXTRA_SQL = {
     "truncated": "substring(_valid, 1, length(_valid) - 1)",
     "number": "CAST(event_id AS STRING)",
     "blank": "''",
@@ -98,15 +98,16 @@ _BROKEN_SQL = {
 
 
 def visit_messages(events: DataFrame) -> DataFrame:
-    """Topic stand-in: one JSON message (``value``) per raw visit, plus broken ones.
+    """Topic stand-in: one JSON message (``value``) per raw visit, plus extra ones.
 
     Every raw visit is encoded; in addition, rows picked by
-    ``event_id % 50`` emit one broken message each (truncated object, bare
-    number, blank, array, ``null``). One scan, one ``explode``, no shuffle.
+    ``event_id % 50`` emit one more message each: a truncated object, a bare
+    number, a blank, ``null``, or an array that holds the visit again. One
+    scan, one ``explode``, no shuffle.
     """
     raw = raw_visits(events, keep_event_id=True)
     valid = json_text(*[F.col(f.name) for f in VISIT_RAW.fields])
-    whens = " ".join(f"WHEN {k} THEN {_BROKEN_SQL[kind]}" for k, kind in BROKEN_MESSAGES.items())
+    whens = " ".join(f"WHEN {k} THEN {_EXTRA_SQL[kind]}" for k, kind in EXTRA_MESSAGES.items())
     return (
         raw.select("event_id", valid.alias("_valid"))
         .selectExpr(f"explode(array(_valid, CASE event_id % 50 {whens} END)) AS value")

@@ -4,23 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions import looks_like_json_object
-from vigil.schema import CORRUPT_COLUMN, VISIT_MESSAGE, VISIT_RAW
+from vigil.functions import looks_like_visits
+from vigil.schema import INVALID_MESSAGE, VISIT_MESSAGE, VISIT_RAW
 
-_PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
 
+def _visits(value: str) -> Column:
+    """The visits of a message (a lone object is one); null when the message is invalid."""
+    text = F.col(value)
+    return F.when(looks_like_visits(text), F.from_json(text, VISIT_MESSAGE, {"mode": "PERMISSIVE"}))
 
-def is_valid_message(df: DataFrame, value: str = "value"):
-    """Column: the message is one JSON object that Spark's parser accepts.
 
-    Scalars, ``null``, arrays, blank and broken messages are invalid. A
-    number where text is expected stays valid and becomes its text.
+def is_valid_message(df: DataFrame, value: str = "value") -> Column:
+    """Column: the message is one JSON object, or an array, that Spark's parser accepts.
+
+    Scalars, ``null``, blank and broken messages are invalid. A number where
+    text is expected stays valid and becomes its text.
     """
-    parsed = F.from_json(F.col(value), VISIT_MESSAGE, _PARSE_OPTIONS)
-    return looks_like_json_object(F.col(value)) & parsed.getField(CORRUPT_COLUMN).isNull()
+    return _visits(value).isNotNull()
 
 
 def valid_messages(df: DataFrame, value: str = "value") -> DataFrame:
@@ -28,28 +31,38 @@ def valid_messages(df: DataFrame, value: str = "value") -> DataFrame:
     return df.filter(is_valid_message(df, value))
 
 
-def parse_messages(df: DataFrame, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
-    """Valid messages as raw visit columns (all text), invalid ones dropped.
+def parse_messages(df: DataFrame, value: str = "value", keep: Sequence[str] = (),
+                   mark_invalid: bool = False) -> DataFrame:
+    """The visits of valid messages as raw columns (all text), one row each; objects of an array are a visit each.
 
-    Each message is parsed once: ``inline`` expands the parsed struct in a
-    Generate node, which a filter on its output cannot be pushed below, so
-    ``from_json`` is not copied into the filter. The cheap brace check does
-    go below it and spares the parse of non-object messages.
+    Invalid messages are dropped; with ``mark_invalid`` each leaves one row
+    of nulls whose column ``INVALID_MESSAGE`` is true, so that the pass that
+    cleanses can count it. Each message is parsed once: ``inline`` expands
+    the parsed array in a Generate node, below which a filter on its output
+    cannot be pushed.
     """
-    parsed = df.select(
-        *[F.col(k) for k in keep],
-        looks_like_json_object(F.col(value)).alias("_object"),
-        F.inline(F.array(F.from_json(F.col(value), VISIT_MESSAGE, _PARSE_OPTIONS))),
-    )
-    ok = F.col("_object") & F.col(CORRUPT_COLUMN).isNull()
-    return parsed.filter(ok).select(*[F.col(k) for k in keep], *[F.col(f.name) for f in VISIT_RAW])
+    kept = [F.col(k) for k in keep]
+    names = [f.name for f in VISIT_RAW]
+    visits = F.filter(_visits(value), lambda v: v.isNotNull())
+    if not mark_invalid:
+        return df.select(*kept, F.inline(visits)).select(*kept, *names)
+
+    def row(flag: bool, column) -> Column:
+        return F.struct(F.lit(flag).alias(INVALID_MESSAGE), *[column(n).alias(n) for n in names])
+
+    marked = F.coalesce(
+        F.transform(visits, lambda v: row(False, v.getField)),
+        F.array(row(True, lambda n: F.lit(None).cast("string"))))
+    return df.select(*kept, F.inline(marked)).select(*kept, *names, INVALID_MESSAGE)
 
 
 def message_quality(df: DataFrame, value: str = "value") -> DataFrame:
-    """Messages received, kept and dropped as invalid JSON (one aggregate row)."""
-    v = is_valid_message(df, value)
-    return df.agg(
+    """Messages received, kept and dropped as invalid JSON, and visits in the kept ones (one aggregate row)."""
+    parsed = df.select(F.coalesce(F.size(_visits(value)), F.lit(-1)).alias("_visits"))
+    valid = F.col("_visits") >= 0
+    return parsed.agg(
         F.count(F.lit(1)).alias("messages"),
-        F.count_if(v).alias("valid_messages"),
-        F.count_if(~v).alias("invalid_messages"),
+        F.count_if(valid).alias("valid_messages"),
+        F.count_if(~valid).alias("invalid_messages"),
+        F.coalesce(F.sum(F.when(valid, F.col("_visits")).cast("long")), F.lit(0)).alias("visits"),
     )

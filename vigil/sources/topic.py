@@ -1,8 +1,8 @@
 """The visit topic as a streaming source.
 
 Spark's Kafka connector replaces the hand-written consumer: offsets live in
-the query checkpoint (no auto-commit before the data is written), the
-micro-batch size bound replaces the in-memory buffer. The connector jar is
+the query checkpoint (no auto-commit before the data is written), and the
+size at which a micro-batch runs replaces the in-memory buffer. The connector jar is
 not part of this environment, so ``read_topic`` cannot be exercised here;
 ``read_message_files`` is the file-based stand-in the tests run.
 """
@@ -19,31 +19,38 @@ from vigil.config import LakeConfig
 NO_TIME_FLUSH_DELAY = "3650d"
 
 
-def topic_options(cfg: LakeConfig, starting_offsets: str = "latest") -> dict[str, str]:
+def topic_options(cfg: LakeConfig, starting_offsets: str = "latest", drain: bool = False) -> dict[str, str]:
     """Kafka source options implementing the flush rule.
 
     A micro-batch runs when ``batch_size`` messages are waiting, or, with
     time flushing on, once ``flush_seconds`` have passed since the last one
-    with fewer waiting; it never takes more than ``batch_size``. Use the
-    default trigger with these options (or ``availableNow`` to drain).
+    with fewer waiting; it takes all that wait, or at most
+    ``max_batch_size`` if that is set. Use the default trigger with these
+    options. To drain (``availableNow``) nothing is waited for, so the tail
+    is read whatever its size. Messages that aged out unread fail the query
+    unless ``allow_data_loss`` is set.
     """
-    return {
+    options = {
         "kafka.bootstrap.servers": cfg.bootstrap,
         "subscribe": cfg.topic,
         "startingOffsets": starting_offsets,
         # Offsets are tracked in the checkpoint; the group id only names the consumers.
         "groupIdPrefix": cfg.group_id,
-        "minOffsetsPerTrigger": str(cfg.batch_size),
-        "maxOffsetsPerTrigger": str(cfg.batch_size),
-        "maxTriggerDelay": f"{cfg.flush_seconds}s" if cfg.flush_by_time else NO_TIME_FLUSH_DELAY,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": "false" if cfg.allow_data_loss else "true",
     }
+    if cfg.max_batch_size:
+        options["maxOffsetsPerTrigger"] = str(cfg.max_batch_size)
+    if not drain:
+        options["minOffsetsPerTrigger"] = str(cfg.batch_size)
+        options["maxTriggerDelay"] = f"{cfg.flush_seconds}s" if cfg.flush_by_time else NO_TIME_FLUSH_DELAY
+    return options
 
 
-def read_topic(spark: SparkSession, cfg: LakeConfig, starting_offsets: str = "latest") -> DataFrame:
+def read_topic(spark: SparkSession, cfg: LakeConfig, starting_offsets: str = "latest",
+               drain: bool = False) -> DataFrame:
     """Streaming frame with one column ``value``: the message decoded as UTF-8 text."""
     reader = spark.readStream.format("kafka")
-    for k, v in topic_options(cfg, starting_offsets).items():
+    for k, v in topic_options(cfg, starting_offsets, drain).items():
         reader = reader.option(k, v)
     return reader.load().select(F.col("value").cast("string").alias("value"))
 

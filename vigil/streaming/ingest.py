@@ -10,16 +10,15 @@ report rescans the whole table.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vigil.config import VALID_CODES, LakeConfig
-from vigil.operators.rules import cleanse_observed_stream
 from vigil.operators.curation import curate
+from vigil.operators.rules import Codes, cleanse_observed_stream
+from vigil.sources.files import STREAM
 from vigil.sources.messages import parse_messages
 
 QUALITY_METRICS = "cleanse_quality"
@@ -70,46 +69,31 @@ def stream_raw(messages: DataFrame, raw_path: str, checkpoint: str, trigger: Tri
     return trigger.apply(writer).start()
 
 
-# Tasks that write one micro-batch. Streams run without AQE, so the session's
-# shuffle partition count (thousands on a cluster) would otherwise schedule
-# that many mostly empty tasks per batch.
-STREAM_WRITE_TASKS = 32
+def curated_stream(messages: DataFrame, codes: Codes = VALID_CODES) -> DataFrame:
+    """Messages -> visits -> cleansed -> curated, with quality and invalid-message counts observed.
 
-
-def curated_stream(messages: DataFrame, codes: Iterable[str] = VALID_CODES, files_per_date: int | None = 1,
-                   write_tasks: int = STREAM_WRITE_TASKS) -> DataFrame:
-    """Messages -> valid JSON objects -> cleansed -> curated, with quality metrics observed.
-
-    With ``files_per_date`` set, each micro-batch is hash-partitioned into
-    ``write_tasks`` tasks by ``visit_date`` (plus a deterministic row hash
-    modulo ``files_per_date``) before the sink: all rows of a date (and salt)
-    meet in one task, so a batch writes at most ``files_per_date`` files per
-    date instead of one per input task and date. Micro-batches get no AQE, so
-    a date holding a large share of a big batch is spread by raising
-    ``files_per_date``; retried tasks recompute the same partitions.
+    The rows are rebalanced by ``visit_date`` before the sink, as in the
+    batch write: adaptive execution, which stateless streams have, writes a
+    few files a date and splits a date that holds a large share of a
+    micro-batch over several tasks.
     """
-    curated = curate(cleanse_observed_stream(parse_messages(messages), codes, name=QUALITY_METRICS))
-    if not files_per_date:
-        return curated
-    if files_per_date == 1:
-        return curated.repartition(write_tasks, "visit_date")
-    salt = F.pmod(F.xxhash64(*curated.columns), F.lit(files_per_date))
-    return curated.repartition(write_tasks, F.col("visit_date"), salt)
+    visits = parse_messages(messages, mark_invalid=True)
+    return curate(cleanse_observed_stream(visits, codes, name=QUALITY_METRICS)).hint("rebalance", "visit_date")
 
 
 def stream_curate(messages: DataFrame, curated_path: str, checkpoint: str, trigger: Trigger = DRAIN,
-                  name: str | None = None, codes: Iterable[str] = VALID_CODES, files_per_date: int | None = 1,
-                  write_tasks: int = STREAM_WRITE_TASKS) -> StreamingQuery:
-    """Append curated visits to Parquet partitioned by ``visit_date``.
+                  name: str | None = None, codes: Codes = VALID_CODES) -> StreamingQuery:
+    """Append curated visits to the curated zone's stream folder, Parquet partitioned by ``visit_date``.
 
-    Per micro-batch the before / after / removed counts are in
+    Per micro-batch the before / after / removed counts and the number of
+    invalid messages are in
     ``query.lastProgress['observedMetrics']['cleanse_quality']`` and the
     message count in ``numInputRows``.
     """
     writer = (
-        curated_stream(messages, codes, files_per_date, write_tasks)
+        curated_stream(messages, codes)
         .writeStream.format("parquet")
-        .option("path", curated_path)
+        .option("path", f"{curated_path.rstrip('/')}/{STREAM}")
         .option("checkpointLocation", checkpoint)
         .partitionBy("visit_date")
         .outputMode("append")
