@@ -30,7 +30,7 @@ from .common import read_table, stored
 from .words import hash_words, slices, split_words
 
 SHORT_LIST = 1024  # classes
-FREQUENT = 1 << 19  # words whose counts are broadcast, at most
+FREQUENT = 1 << 18  # words whose counts are broadcast, at most
 WIDTH = 32
 NOISE = 128  # noise words, shared by a batch of examples
 BATCH = 2048
@@ -62,6 +62,17 @@ def token_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
+def frequent_words(vocabulary: DataFrame) -> DataFrame:
+    """Of (h, c) the end and the most frequent words: all from a count on that at most ``FREQUENT`` words reach."""
+    step = F.floor(F.log2(F.col("c").cast("double")) * 16).cast("int")
+    bins = sorted((r[0], r[1]) for r in vocabulary.groupBy(step.alias("step")).count().collect())
+    room, low = FREQUENT, 1 << 20
+    while bins and bins[-1][1] <= room:
+        low, size = bins.pop()
+        room -= size
+    return vocabulary.filter((step >= low) | (F.col("h") == int(END.astype(np.int64))))
+
+
 def contexts(classes: np.ndarray, first: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
     """Classes one and two places before each token; ``start`` before a text's beginning."""
     one = np.concatenate([[start], classes[:-1]])
@@ -212,7 +223,7 @@ def score_texts(docs: DataFrame, learn, id_col: str = "doc_id", text_col: str =
     known = base.filter("learn")
     vocabulary = stored(token_counts(known), "lm-counts")
     n, v = (x or 0 for x in vocabulary.agg(F.sum("c"), F.count(F.lit(1))).first())
-    top = vocabulary.orderBy(F.col("c").desc(), "h").limit(FREQUENT).toPandas()
+    top = frequent_words(vocabulary).toPandas().sort_values(["c", "h"], ascending=[False, True])
     hashes, counts = top["h"].to_numpy(np.int64).view(np.uint64), top["c"].to_numpy(np.int64)
     listed = np.arange(len(hashes)) < SHORT_LIST - 1
     listed &= hashes != END
