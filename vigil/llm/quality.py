@@ -43,13 +43,18 @@ def base_columns(text: Column) -> dict[str, Column]:
 def repeated_words(rows: DataFrame, words: str, out: str, size: int = 3) -> DataFrame:
     """Adds ``out``: words inside windows of ``size`` words that occur twice or more in the array ``words``.
 
-    Windows are compared by a 64-bit hash, sorted with their places; equal
-    neighbours are repeats. ``n log n`` for a document, however long.
+    Windows are compared by a 64-bit hash. Where some are equal, they are
+    sorted with their places, and equal neighbours are repeats: ``n log n``
+    for a document, however long.
     """
     count = F.greatest(F.size(words) - (size - 1), F.lit(0))
-    window = F.transform(F.slice(words, 1, count), lambda w, i: F.struct(
-        F.xxhash64(w, *[F.get(F.col(words), i + k) for k in range(1, size)]).alias("h"), i.alias("i")))
-    rows = rows.withColumn("_sorted", F.sort_array(window))
+    rows = rows.withColumn("_hashes", F.transform(F.slice(words, 1, count), lambda w, i: F.xxhash64(
+        w, *[F.get(F.col(words), i + k) for k in range(1, size)])))
+    places = F.sequence(F.lit(0), F.size("_hashes") - 1)
+    rows = rows.withColumn("_sorted", F.when(
+        F.size(F.array_distinct("_hashes")) < F.size("_hashes"),
+        F.sort_array(F.arrays_zip(F.col("_hashes").alias("h"), places.alias("i")))).otherwise(
+        F.array().cast("array<struct<h:bigint,i:int>>")))
 
     def twin(p: Column, j: Column, step: int) -> Column:
         return F.coalesce(F.get(F.col("_sorted"), j + step)["h"] == p["h"], F.lit(False))
@@ -59,7 +64,7 @@ def repeated_words(rows: DataFrame, words: str, out: str, size: int = 3) -> Data
     covered = F.transform("_starts", lambda s, j: F.least(
         F.lit(size), F.coalesce(F.get(F.col("_starts"), j + 1) - s, F.lit(size))))
     return rows.withColumn(out, F.aggregate(covered, F.lit(0).cast("long"), lambda a, x: a + x)).drop(
-        "_sorted", "_starts")
+        "_hashes", "_sorted", "_starts")
 
 
 def _pair_bucket(first: Column, second: Column) -> Column:
