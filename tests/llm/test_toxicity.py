@@ -54,6 +54,12 @@ def test_copies_of_one_toxic_document_teach_nothing_about_its_words(spark):
     assert abs(odd_ratio - unknown_ratio) < 0.002
 
 
+def test_best_cut():
+    x = np.array([0.1, 0.1 + 1e-12, 0.1 - 1e-12, 0.2, 0.5, 0.6])
+    assert np.isclose(toxicity.best_cut(x, np.array([0, 1, 0, 0, 1, 1])), 0.35)
+    assert np.isclose(toxicity.best_cut(x, np.array([0, 0, 0, 0, 0, 1])), 0.55)
+
+
 def test_edge_rows_have_scores(spark):
     rows, labels = corpus(80)
     _, model = fit(spark, rows, labels)

@@ -51,9 +51,3 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` less the columns whose names would clash with added ones (case-insensitive)."""
     taken = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """``df`` dealt over the session's shuffle partitions by ``keys``."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys)

@@ -55,7 +55,7 @@ def token_counts(texts: DataFrame) -> DataFrame:
     """(text) -> (h, c): how often each token occurs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 16 << 20):
+            for part in slices(batch, "text", 8 << 20):
                 h, c = np.unique(tokens_of(part.column(0))[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(c)], names=["h", "c"])
 

@@ -30,7 +30,7 @@ from .components import components, spanning_links
 COSINE = 0.98
 TARGET_RECALL = 1.0  # of the sample's pairs
 MARGIN = 1.5  # the reach beyond what the sample's pairs need
-SAMPLE_ROWS = 20_000  # on which codebooks and reach are fitted
+SAMPLE_ROWS = 10_000  # on which codebooks and reach are fitted
 LEAST_PAIRS = 1000  # with fewer sample pairs the largest reach is taken
 ROWS_PER_CELL = 2048  # at which codebooks are sized
 MAX_CODES = 256

@@ -8,7 +8,8 @@ its own only where the classes' counts differ beyond chance and by a clear
 factor (``MIN_Z`` standard deviations, ``MIN_RATIO``); all others, the rare
 ones above all, are left to the shared backoff, so they say nothing about
 the class. A document's mean log-likelihood ratio over its words is turned
-into a probability by a logistic curve fitted on the training documents.
+into a probability by a logistic curve fitted on the training documents,
+with its middle at the cut that errs least there.
 
 The classifier is fitted on a bounded sample of the labelled rows
 (``SAMPLE_DOCS`` a class, those of the smallest hash), so its size is
@@ -151,7 +152,8 @@ def build(words: pd.DataFrame, pairs: pd.DataFrame, word_totals: np.ndarray, pai
 
 
 def logistic_fit(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and bias of a logistic curve by Newton's method on the standardised values."""
+    """Slope of a logistic curve by Newton's method on the standardised values, and the bias that puts its middle
+    where the fewest values are on the wrong side."""
     if not len(x) or y.min() == y.max():
         return 0.0, (4.0 if len(y) and y.min() == 1 else -4.0)
     mean, scale = x.mean(), x.std() or 1.0
@@ -166,7 +168,23 @@ def logistic_fit(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
         beta -= step
         if np.abs(step).max() < 1e-9:
             break
-    return float(beta[0] / scale), float(beta[1] - beta[0] * mean / scale)
+    slope = max(float(beta[0] / scale), 1e-6)
+    return slope, -slope * best_cut(x, y)
+
+
+def best_cut(x: np.ndarray, y: np.ndarray) -> float:
+    """The cut with the fewest errors (1 below, 0 above it); of several the middle of the widest gap.
+
+    Values that differ by rounding only are never cut apart.
+    """
+    order = np.argsort(x)
+    x, y = x[order], y[order]
+    wrong = np.concatenate([[0], np.cumsum(y)]) + np.concatenate([np.cumsum((1 - y)[::-1])[::-1], [0]])
+    low, high = np.concatenate([[x[0] - 1], x]), np.concatenate([x, [x[-1] + 1]])
+    apart_here = high - low > 1e-6
+    gap = np.where(apart_here & (wrong == wrong[apart_here].min()), high - low, -1)
+    k = int(gap.argmax())
+    return float((low[k] + high[k]) / 2)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -188,9 +206,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         F.broadcast(picked), F.col("_id") == F.col("id")).select("text", "toxic").dropDuplicates(["text"])
     sample = stored(sample, "toxicity-sample")
     pairs = stored(pair_counts(sample), "toxicity-pairs")
-    words = pairs.groupBy("w").agg(F.count_if(F.col("other") > 0).alias("other"), F.count_if(F.col("toxic") > 0).alias("toxic"),
-                                   F.count(F.lit(1)).alias("places"))
-    begun = pairs.groupBy(F.col("v").alias("_v")).agg(F.sum("other").alias("other_in"), F.sum("toxic").alias("toxic_in"))
+    words = pairs.groupBy("w").agg(
+        F.count_if(F.col("other") > 0).alias("other"), F.count_if(F.col("toxic") > 0).alias("toxic"),
+        F.count(F.lit(1)).alias("places"))
+    begun = pairs.groupBy(F.col("v").alias("_v")).agg(
+        F.sum("other").alias("other_in"), F.sum("toxic").alias("toxic_in"))
     words = stored(words.join(begun, F.col("w") == F.col("_v"), "left").drop("_v").fillna(0), "toxicity-words")
     word_sums = words.agg(F.sum("other"), F.sum("toxic"), F.sum("places"), F.count(F.lit(1))).first()
     pair_sums = pairs.agg(F.sum("other"), F.sum("toxic")).first()

@@ -19,7 +19,7 @@ BASE = 0x9E3779B97F4A7C15  # odd: has an inverse modulo 2**64
 MIX_1, MIX_2 = 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53  # public 64-bit finaliser
 # ----------------------------------------------------------------------------
 CHUNK = 1 << 20  # bytes hashed at once
-SLICE_BYTES = 4 << 20  # bytes of text taken from a batch at once
+SLICE_BYTES = 2 << 20  # bytes of text taken from a batch at once
 
 
 @dataclass
