@@ -126,9 +126,9 @@ def zone_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     zone = f"{work_dir(spark, 'zone_scan')}/raw"
     raw = _raw(spark, sf_dir)
     write_csv(raw, zone, keep_padding=True)
-    elsewhere = raw.limit(1000)  # files that the listing must leave out
-    write_csv(elsewhere, f"{zone}/archive", keep_padding=True)  # a sub folder
-    write_lines(encode_json(elsewhere), zone, mode="append")  # .txt files
+    counts = quality(raw, by="county")  # other files, which the listing must leave out
+    write_csv(counts, f"{zone}/archive")  # in a sub folder
+    write_lines(encode_json(counts), zone, mode="append")  # .txt
     return read_csv(spark, zone, suffixes=("csv",), recursive=False)
 
 
