@@ -73,16 +73,16 @@ def plan_mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col:
     targets = source_targets(ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")),
                              weights, max_epochs)
     up_to = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranges.withColumn("range_start", F.coalesce(F.sum("range_size").over(up_to), F.lit(0)))
+    starts = ranges.withColumn("_mix_start", F.coalesce(F.sum("range_size").over(up_to), F.lit(0)))
     starts = starts.join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).select(
-        F.col("source").alias("_r_source"), F.col("range").alias("_r_range"), "range_start",
+        F.col("source").alias("_r_source"), F.col("range").alias("_r_range"), "_mix_start",
         F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"))
 
     placed = base.join(starts, F.col("_mix_source").eqNullSafe(F.col("_r_source"))
                        & (F.col("_mix_range") == F.col("_r_range")))
     inside = Window.partitionBy("_mix_source", "_mix_range").orderBy("_mix_key", id_col, "_mix_size").rowsBetween(
         Window.unboundedPreceding, -1)
-    before = F.col("range_start") + F.coalesce(F.sum("_mix_size").over(inside), F.lit(0))
+    before = F.col("_mix_start") + F.coalesce(F.sum("_mix_size").over(inside), F.lit(0))
     budget = F.floor("mix_target")
     epochs = F.when(F.col("mix_source_size") > 0, F.expr("floor(mix_target) div mix_source_size")).otherwise(F.lit(0))
     rest = budget - epochs * F.col("mix_source_size")

@@ -260,7 +260,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
     groups = contents.groupBy(F.col("gram").alias("_gram")).agg(
         F.count(F.lit(1)).alias("kinds"), F.min("low").alias("first"), F.max("low").alias("last"))
     groups = groups.filter("first < last")
-    marked = contents.join(groups.hint("shuffle_hash"), F.col("gram") == F.col("_gram"), "left").select(
+    marked = contents.join(groups.hint("merge"), F.col("gram") == F.col("_gram"), "left").select(
         F.col("gram").alias("_gram"), F.col("seg").alias("_seg"), F.col("n").alias("_n"), "low", "high",
         F.col("kinds").isNotNull().alias("mixed"), F.coalesce(F.col("kinds") > group_contents, F.lit(False))
         .alias("long_prefix")).filter("low < high OR mixed")
