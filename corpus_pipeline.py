@@ -15,6 +15,7 @@ from vigil.llm.packing import pack_documents
 from vigil.llm.simhash import MAX_BITS, SHINGLE_WORDS, drop_near_duplicates
 from vigil.llm.substrings import dedup_substrings
 from vigil.llm.toxicity import drop_toxic, train_on_tables
+from vigil.session import drop_work_dirs, work_dirs
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +56,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the last one's rows."""
+    """All stages over ``documents``; the last one's rows.
+
+    Once a stage's rows are written, its work folders and the rows of the
+    stage before it are removed.
+    """
     docs = read_table(spark, sf_dir, "documents")
+    before: list[str] = []
     for name, stage in STAGES:
+        known = len(work_dirs())
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        *done, rows = work_dirs()[known:]
+        drop_work_dirs(spark, before + done)
+        before = [rows]
     return docs
