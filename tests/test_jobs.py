@@ -209,3 +209,17 @@ def test_jobs_run_in_utc_whatever_the_session_says(spark, tmp, monkeypatch):
         assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_work_folders_can_be_dropped_once_read(spark, tmp):
+    import pytest
+
+    from vigil.session import drop_work_dirs, path_exists, work_dir, work_dirs
+
+    path = work_dir(spark, "dropped")
+    spark.range(3).write.parquet(path)
+    assert path_exists(spark, path) and path in work_dirs()
+    drop_work_dirs(spark, [path])
+    assert not path_exists(spark, path)
+    with pytest.raises(ValueError):
+        drop_work_dirs(spark, [tmp])  # never a folder that is not its own

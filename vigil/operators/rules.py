@@ -102,24 +102,29 @@ def _prepared(df: DataFrame, codes: Codes) -> tuple[DataFrame, dict]:
     """Trimmed and parsed columns, each computed once; a flag telling a missing
     date from one that did not parse, and one telling a valid code.
 
-    The columns come out of a Generate node (one row in, one out): a filter
-    on them cannot be pushed below it, so no parse is copied into the filter.
+    The parsed date comes out of a Generate node (one row in, one out): a
+    filter on it cannot be pushed below, so the parse is not copied into the
+    filter. Filters on the other columns are pushed, and run before the
+    parse; columns that nobody reads are pruned.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     trim_set = set(TRIM_COLUMNS) & {n for n, t in types.items() if isinstance(t, StringType)}
 
     def value(name: str) -> Column:
-        c = space_trim(F.col(name)) if name in trim_set else F.col(name)
-        if name == "visit_date" and not isinstance(types[name], DateType):
-            c = strict_date(c)
-        return c
+        return space_trim(F.col(name)) if name in trim_set else F.col(name)
 
-    extra = [F.col("visit_date").isNull().alias(_DATE_MISSING)] if "visit_date" in types else []
+    columns = [value(n).alias(n) for n in types if n != "visit_date"]
+    extra = []
+    if "visit_date" in types:
+        typed = isinstance(types["visit_date"], DateType)
+        date = value("visit_date") if typed else strict_date(value("visit_date"))
+        columns.append(F.inline(F.array(F.struct(
+            date.alias("visit_date"), F.col("visit_date").isNull().alias(_DATE_MISSING)))))
     with_codes = "diagnosis_code" in types
     if with_codes and not isinstance(codes, DataFrame):
         valid = F.coalesce(value("diagnosis_code").isin(list(codes)), F.lit(False))
         extra.append(valid.alias(_CODE_VALID))
-    out = df.select(F.inline(F.array(F.struct(*[value(n).alias(n) for n in types], *extra))))
+    out = df.select(*extra, *columns)
     if with_codes and isinstance(codes, DataFrame):
         table = _code_table(codes).distinct()
         joined = out.join(table, out["diagnosis_code"] == table["_valid_code"], "left")

@@ -20,7 +20,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # HotSpot does not JIT methods over 8000 bytecode bytes; fall back from
     # whole-stage codegen before a fused stage gets that large.
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -111,6 +110,26 @@ def holds_file(spark: SparkSession, path: str, pattern: str | None, recursive: b
     return False
 
 
+# Work folders named by this process, in order.
+_NAMED: list[str] = []
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared work root."""
-    return f"{work_root(spark)}/vigil-work/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{work_root(spark)}/vigil-work/{name}-{uuid.uuid4().hex[:12]}"
+    _NAMED.append(path)
+    return path
+
+
+def work_dirs() -> list[str]:
+    """The work folders that this process has named so far."""
+    return list(_NAMED)
+
+
+def drop_work_dirs(spark: SparkSession, paths: list[str]) -> None:
+    """Removes work folders of this process; call it once nothing reads them any more."""
+    for path in paths:
+        if path not in _NAMED:
+            raise ValueError(f"{path} is not a work folder of this process")
+        fs, p = _hadoop_path(spark, path)
+        fs.delete(p, True)
