@@ -28,6 +28,7 @@ HASH_SEED = 42
 SUBTREE_ROWS = 500_000  # fingerprints in a subtree of the top cut, at most (down to CUT_BITS)
 LEAST_SUBTREES = 8  # of the top cut, about, however few rows there are
 CUT_BITS = 16  # the cut lies within so many bits
+BROADCAST_PAIRS = 500_000  # rows (of 24 bytes) of subtree pairs up to which they are broadcast
 LEAF_PAIRS = 32  # a node pair with at most so many pairs of fingerprints is compared directly
 FRONTIER = 1 << 15  # node pairs expanded at once
 
@@ -187,8 +188,10 @@ def fingerprint_links(prints: DataFrame, budget: int = MAX_BITS, subtree_rows: i
         strict=True)]
     pairs = [(k, signed[i], signed[j], d) for i, j, d in subtree_pairs(nodes, budget) for k in dict.fromkeys((i, j))]
     groups = spark.createDataFrame(pairs, "node int, low long, high long, depth int")
-    owners = spark.createDataFrame(owner, "p long, node int")
-    spread = prints.select("bits", top.alias("p")).join(owners, "p").join(groups, "node")
+    owners = spark.createDataFrame(owner, "p long, node int")  # 2**CUT_BITS rows at most
+    # The few subtrees would be few join keys; their pairs are broadcast as long as they are small.
+    near = F.broadcast(groups) if len(pairs) <= BROADCAST_PAIRS else groups
+    spread = prints.select("bits", top.alias("p")).join(F.broadcast(owners), "p").join(near, "node")
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
         depth, low, high = (int(group[c].iat[0]) for c in ("depth", "low", "high"))
