@@ -25,7 +25,7 @@ CAPACITY = 1024
 END_ID = 2
 OPEN_BINS = 4096
 PIECES_PER_TASK = 1_000_000
-CACHED_WORDS = 400_000  # words whose ids a worker remembers (a limit on its memory, not on what is tokenised)
+CACHED_WORDS = 200_000  # words whose ids a worker remembers (a limit on its memory, not on what is tokenised)
 
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED_SCHEMA = PIECE_SCHEMA + ", sequence_id long, offset long"
