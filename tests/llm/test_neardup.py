@@ -78,6 +78,22 @@ def test_border_distance_is_a_lower_bound():
     assert (away[:, away.argmin(axis=1)] <= apart + 1e-9).all()
 
 
+def test_a_hot_cluster_does_not_hide_the_loose_links_of_small_groups(spark, monkeypatch):
+    """The sample holds many pairs of one tight cluster and hardly any of the loose pairs, as on a large table."""
+    monkeypatch.setattr(neardup, "SAMPLE_ROWS", 60)
+    monkeypatch.setattr(neardup, "ROWS_PER_CELL", 16)
+    rng = np.random.default_rng(5)
+    hot = rng.normal(size=16)
+    vectors = [hot + rng.normal(size=16) * 1e-3 for _ in range(600)]
+    for _ in range(150):
+        a, away = neardup.unit(rng.normal(size=(2, 16)))
+        away = neardup.unit((away - (away @ a) * a)[None])[0]
+        turn = np.arccos(rng.uniform(0.981, 0.99))
+        vectors += [a, np.cos(turn) * a + np.sin(turn) * away]
+    rows = [(i, np.float32(v).tolist(), 0) for i, v in enumerate(vectors)]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_query_matches_its_sql(spark):
     ok, message = compare(neardup.op3_neardup(spark, SF_SMALL), duck(SF_SMALL), neardup.ORACLE)
     assert ok, message

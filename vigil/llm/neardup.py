@@ -8,8 +8,8 @@ done, and is verified against every vector listed there.
 
 The distance of a cell is how far the query is from it across the codebooks'
 borders. No vector within ``sqrt(2 - 2 * cosine)`` can be in a cell farther
-than that, so this is the largest reach; a smaller one is taken when it gives
-the target recall on the pairs of a bounded sample.
+than that, so with this reach no link is lost; only the codebooks come from a
+sample, and they decide the work, not the result.
 """
 
 from __future__ import annotations
@@ -28,10 +28,7 @@ from .common import read_table, stored
 from .components import components, spanning_links
 
 COSINE = 0.98
-TARGET_RECALL = 1.0  # of the sample's pairs
-MARGIN = 1.5  # the reach beyond what the sample's pairs need
-SAMPLE_ROWS = 10_000  # on which codebooks and reach are fitted
-LEAST_PAIRS = 1000  # with fewer sample pairs the largest reach is taken
+SAMPLE_ROWS = 10_000  # on which codebooks are fitted
 ROWS_PER_CELL = 2048  # at which codebooks are sized
 MAX_CODES = 256
 ROUNDS = 12
@@ -82,38 +79,26 @@ def multi_sequence(first: np.ndarray, second: np.ndarray, reach: float) -> Itera
             heapq.heappush(heap, (x[a[i + 1]] + y[b[0]], i + 1, 0))
 
 
-def fit(sample: np.ndarray, labels: np.ndarray, rows: int, cosine: float, target: float) -> tuple:
-    """Codebooks of both halves and the reach, from a sample of unit vectors and their labels."""
+def fit(sample: np.ndarray, rows: int) -> list[np.ndarray]:
+    """Codebooks of both halves, from a sample of unit vectors."""
     half = sample.shape[1] // 2
     k = int(min(MAX_CODES, max(2, math.ceil(math.sqrt(rows / ROWS_PER_CELL))), max(1, len(sample))))
-    books = [k_means(part, k) for part in (sample[:, :half], sample[:, half:])]
-    largest = math.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9
-    away = [border_distances(part, book) for part, book in zip((sample[:, :half], sample[:, half:]), books, strict=True)]
-    home = [x.argmin(axis=1) for x in away]
-    needed = []
-    for label in np.unique(labels):
-        own = np.flatnonzero(labels == label)
-        for at in range(0, len(own), 1024):
-            q = own[at:at + 1024]
-            i, j = np.nonzero(sample[q] @ sample[own].T >= cosine)
-            i, j = q[i], own[j]
-            i, j = i[i != j], j[i != j]
-            needed.append(np.hypot(away[0][i, home[0][j]], away[1][i, home[1][j]]))
-    needed = np.concatenate(needed) if needed else np.zeros(0)
-    if len(needed) < LEAST_PAIRS:
-        return books, largest
-    return books, min(largest, MARGIN * float(np.quantile(needed, target)) + 1e-9)
-
-
-def embedding_links(classes: DataFrame, cosine: float = COSINE, target: float = TARGET_RECALL) -> tuple:
+    return [k_means(part, k) for part in (sample[:, :half], sample[:, half:])]
+
+
+def sufficient_reach(cosine: float) -> float:
+    """The distance of unit vectors at ``cosine``: no cell farther away holds a link."""
+    return math.sqrt(max(0.0, 2 - 2 * cosine)) + 1e-9
+
+
+def embedding_links(classes: DataFrame, cosine: float = COSINE) -> tuple:
     """``classes`` (id, label, vec, n: how many rows have that vector), all of one dimension ->
     (id, links) and (u, v): rows linked with each id's vector other than its own class', and joining links."""
     spark = classes.sparkSession
     rows = classes.count()
-    picked = classes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("label", "vec").toPandas()
+    picked = classes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS).select("vec").toPandas()
     sample = unit(np.stack(picked["vec"].to_numpy()).astype(np.float64))
-    books, reach = fit(sample, picked["label"].to_numpy(), rows, cosine, target)
-    sent = spark.sparkContext.broadcast((books, reach))
+    sent = spark.sparkContext.broadcast((fit(sample, rows), sufficient_reach(cosine)))
     half = sample.shape[1] // 2
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
