@@ -83,6 +83,26 @@ def test_training_learns_what_follows_what():
     assert got > np.log(1 / 30) + 1.0
 
 
+def test_the_rounds_together_train_on_every_position(spark):
+    """A word's context row moves only if the word after it is an example."""
+    texts = [" ".join(f"w{k}x{i}" for i in range(n)) for k, n in enumerate((40, 1, 2, 3, 5))]
+    h, _ = lm.tokens_of(pa.array(texts))
+    short = np.unique(h)
+    model = lm.Bilinear(np.full(len(short) + 1, -np.log(len(short) + 1)))
+    start = model.table.copy()
+    for turn in range(len(lm.RATES)):
+        model.table = lm.train_round(spark.createDataFrame([(t,) for t in texts], "text string"), short, model, turn)
+    moved = (model.table != start).any(axis=1)
+    before_another = [*lm.class_lookup(short, h[h != lm.END]), len(short) + 1]  # each word, and a text's beginning
+    assert moved[before_another].all()
+
+
+def test_each_position_is_trained_on_once():
+    h, first = lm.tokens_of(pa.array(["a b c d e f g h i", None, "a", "b a", "c b a", ""]))
+    places = np.concatenate([lm.round_places(h, first, turn) for turn in range(len(lm.RATES))])
+    assert sorted(places.tolist()) == list(range(len(h)))
+
+
 def test_model_beats_the_frequencies_on_held_out_documents(spark):
     rows = lm.op9_lm(spark, SF_CHECK).collect()
     docs = [(r.doc_id, r.text) for r in read_table(spark, SF_CHECK, "documents").collect()]

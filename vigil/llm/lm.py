@@ -8,8 +8,8 @@ probabilities of a context add up to one. The score of class ``w`` after
 ``a, b`` is ``(c1 * r_a + c2 * r_b) . q_w + bias_w``.
 
 Word counts cover all training documents. Training runs in the tasks that
-read them, on a share of the positions of every document, and the tasks'
-parameters are averaged, once a round. Because a context is two classes, the
+read them, and the tasks' parameters are averaged, once a round. The rounds
+take turns at the positions of a document and together visit every one once. Because a context is two classes, the
 normaliser of every context is one batched matrix product away, and is
 computed once; scoring looks it up.
 
@@ -34,7 +34,6 @@ FREQUENT = 1 << 18  # words whose counts are broadcast, at most
 WIDTH = 32
 NOISE = 128  # noise words, shared by a batch of examples
 BATCH = 2048
-STRIDE = 8  # a round trains on every so manieth position of a text
 RATES = (0.1, 0.05)  # of the rounds
 END = np.uint64(0xD6E8FEB86659FD93)  # stands for the end of a text
 HELD_OUT, REMAINDER = 7, 2  # documents whose crc32 modulo the first is the second are never learnt from
@@ -168,6 +167,14 @@ def class_lookup(words: np.ndarray, h: np.ndarray) -> np.ndarray:
     return np.where(words[at] == h, at, len(words))
 
 
+def round_places(h: np.ndarray, first: np.ndarray, turn: int) -> np.ndarray:
+    """The tokens that a round trains on: every ``len(RATES)``-th of each text, from where its first word says."""
+    size = np.diff(first)
+    place = np.arange(len(h)) - np.repeat(first[:-1], size)
+    start = (h[first[:-1]] % np.uint64(len(RATES))).astype(np.int64)
+    return np.flatnonzero((place + np.repeat(start, size)) % len(RATES) == turn)
+
+
 def train_round(texts: DataFrame, short: np.ndarray, model: Bilinear, turn: int) -> np.ndarray:
     """Trains the model in every task, from the same start, on that task's documents; the weighted mean of the tables."""
     spark = texts.sparkSession
@@ -186,10 +193,7 @@ def train_round(texts: DataFrame, short: np.ndarray, model: Bilinear, turn: int)
                 h, first = tokens_of(part.column(0))
                 c = class_lookup(words, h)
                 one, two = contexts(c, first, own.classes)
-                place = np.arange(len(c)) - np.repeat(first[:-1], np.diff(first))
-                picked = np.flatnonzero(place % STRIDE == (turn * 3 + np.repeat(h[first[:-1]], np.diff(first)).astype(
-                    np.int64)) % STRIDE)
-                picked = rng.permutation(picked)
+                picked = rng.permutation(round_places(h, first, turn))
                 own.train(c[picked], one[picked], two[picked], RATES[turn], rng, squares, touched)
         weight = touched + 1e-3
         yield pa.RecordBatch.from_arrays(
