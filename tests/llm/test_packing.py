@@ -38,6 +38,19 @@ def test_ids_are_the_tokenizers(encoder, reference):
         assert encoder.ids(text).tolist() == reference(text), repr(text)
 
 
+def test_added_tokens_are_one_id_as_the_tokenizer_takes_them(spark, encoder):
+    default = Tokenizer.from_file(PATH)
+    ids = lambda text: default.encode(text, add_special_tokens=False).ids
+    assert ids("a <|endoftext|> b") == [64, 220, 50256, 275]
+    rng = random.Random(2)
+    parts = [" ", "\n", "a", "é", "12", " the", "<|endoftext|>", "<|endoftext", "|>", "<|", "<|ENDOFTEXT|>", "  ", "\t"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(2000)]
+    for text in texts:
+        assert encoder.document_ids(text).tolist() == ids(text), repr(text)
+    rows = [(i, t) for i, t in enumerate(["a <|endoftext|> b", "<|endoftext|>" * 1500, "x", *texts[:50]])]
+    check_pieces(packing.pack_documents(edge.documents(spark, rows)).collect(), rows, ids)
+
+
 def check_sequences(rows, capacity=1024):
     by_sequence = defaultdict(list)
     for r in rows:

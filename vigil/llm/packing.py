@@ -8,6 +8,7 @@ bit from ``n`` up. When all bins are open and none fits, the fullest closes.
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 import zlib
@@ -74,6 +75,10 @@ class Encoder:
     characters other than white space; the vocabulary's own splitting rule
     always cuts there, so the ids of the parts are the ids of the text.
     Texts with other runs of white space go whole through the tokenizer.
+
+    tiktoken stands in for ``tokenizers`` (the ids are the same, tested), and
+    knows no added tokens: ``ids`` takes a text that spells one as plain text,
+    ``document_ids`` cuts texts at them first, as ``tokenizers`` does.
     """
 
     def __init__(self, path: str):
@@ -83,21 +88,34 @@ class Encoder:
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            content = json.load(f)
+        vocab, added = content["model"]["vocab"], content.get("added_tokens") or []
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added) or content.get("normalizer"):
+            raise ValueError(f"{path}: added tokens that match by more than their spelling are not supported")
         # The public byte-to-character map of byte-level BPE vocabularies: printable bytes stand for
         # themselves, the others for the characters from 256 up.
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in set(printable)]
         to_byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
         ranks = {bytes(to_byte[c] for c in t): i for t, i in vocab.items() if all(c in to_byte for c in t)}
-        special = bytes("<|endoftext|>", "ascii")
-        ranks.pop(special, None)
+        self.added = {t["content"]: np.array([t["id"]], np.uint32) for t in added}
+        for token in self.added:
+            ranks.pop(token.encode(), None)
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.cuts = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
         self.encode = tiktoken.Encoding(
             "packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.known: dict[str, bytes] = {}
 
+    def document_ids(self, text: str) -> np.ndarray:
+        """The text's ids as unsigned 32-bit numbers, added tokens that it spells being one id each."""
+        if not any(token in text for token in self.added):
+            return self.ids(text)
+        parts = self.cuts.split(text)  # every other one is an added token
+        return np.concatenate([self.added[p] if i % 2 else self.ids(p) for i, p in enumerate(parts)])
+
     def ids(self, text: str) -> np.ndarray:
-        """The text's ids as unsigned 32-bit numbers."""
+        """The ids of plain text as unsigned 32-bit numbers."""
         if not text:
             return np.zeros(0, np.uint32)
         known, encode = self.known, self.encode
@@ -141,7 +159,7 @@ def tokenised_pieces(docs: DataFrame, vocabulary: str | None = None, end_id: int
                      with_ids: bool = False) -> DataFrame:
     """Pieces of every document: ids of the whole text, the end id, cut only where longer than ``capacity``.
 
-    A null or empty text is just the end id. With ``with_ids`` a column
+    The vocabulary's added tokens are one id each where a text spells them. A null or empty text is just the end id. With ``with_ids`` a column
     ``ids`` holds the piece's ids as little-endian unsigned 32-bit numbers.
     """
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,7 +173,7 @@ def tokenised_pieces(docs: DataFrame, vocabulary: str | None = None, end_id: int
             for part in slices(batch, "text"):
                 cols: list[list] = [[] for _ in range(5 + with_ids)]
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    ids = np.concatenate([enc.ids(text or ""), end])
+                    ids = np.concatenate([enc.document_ids(text or ""), end])
                     at = 0
                     for k, n in enumerate(piece_lengths(len(ids), capacity)):
                         own = ids[at:at + n].tobytes()
