@@ -107,6 +107,20 @@ def test_reruns_agree_and_ids_round_trip(spark, reference):
         assert sum((back[doc][k] for k in sorted(back[doc])), []) == reference(text) + [2]
 
 
+def test_full_pieces_close_no_bin(spark):
+    """With any number of full pieces between them, the rests need as many sequences as without."""
+    rests = [(i, 0, 0, n, 0) for i, n in enumerate(([700] * 40 + [324] * 40))]
+    full = [(1000 + i, 0, 0, 1024, 0) for i in range(400)]
+
+    def sequences(rows):
+        df = spark.createDataFrame(rows, packing.PIECE_SCHEMA).coalesce(1)
+        out = packing.pack(df, open_bins=1).collect()
+        assert sorted(r[:5] for r in map(tuple, out)) == sorted(rows)
+        return check_sequences(out)
+
+    assert sequences(rests + full) == sequences(rests) + len(full)
+
+
 def test_best_fit_takes_the_fullest_bin_that_fits_and_closes_the_fullest():
     p = packing.BestFit(10, 2)
     assert [p.place(n) for n in (6, 7)] == [(0, 0), (1, 0)]

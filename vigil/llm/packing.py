@@ -59,6 +59,11 @@ class BestFit:
             self.open += 1
         return number, self.capacity - space
 
+    def whole(self, count: int) -> np.ndarray:
+        """Numbers of ``count`` bins that a piece each fills; the open bins stay as they are."""
+        self.made += count
+        return np.arange(self.made - count, self.made)
+
     def _take(self, space: int) -> int:
         held = self.free[space]
         number = held.pop()
@@ -212,8 +217,11 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
                 continue
             length = batch.column(at).to_numpy()
             seq, off = np.empty((2, len(length)), np.int64)
-            for low in range(0, len(length), open_bins):  # of the pieces at hand, the longest first
-                for i in (low + np.argsort(-length[low:low + open_bins], kind="stable")).tolist():
+            full, rests = np.flatnonzero(length == capacity), np.flatnonzero(length != capacity)
+            seq[full], off[full] = packer.whole(len(full)), 0
+            for low in range(0, len(rests), open_bins):  # of the rests at hand, the longest first
+                part = rests[low:low + open_bins]
+                for i in part[np.argsort(-length[part], kind="stable")].tolist():
                     seq[i], off[i] = packer.place(int(length[i]))
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(i) for i in range(len(names))],
