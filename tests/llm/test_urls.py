@@ -98,3 +98,15 @@ def test_query_judges_every_page(spark):
         assert r.verdict == (kind or ("block" if r.score >= 0.5 else "allow"))
     ruled = [r for r in got if r.rule]
     assert sum((r.score >= 0.5) == (r.verdict == "block") for r in ruled) >= 0.95 * len(ruled)
+
+
+def test_repeated_urls_do_not_crowd_out_a_verdict(spark):
+    """Whichever url hashes low, its copies count once and both verdicts are learnt from."""
+    allow = [f"https://a.org/{i}" for i in range(6)]
+    block = [f"https://b.com/de/{i}" for i in range(6)]
+    for hot in (allow, block):
+        pages = spark.createDataFrame([(u,) for u in [*allow, *block, *hot * 50]], "url string")
+        got = [tuple(x) for x in urls.rule_labels(pages, bound=4).collect()]
+        assert len(set(got)) == len(got) == 8
+        assert sum(b for _, b in got) == 4
+        assert all(u in (block if b else allow) for u, b in got)

@@ -29,7 +29,7 @@ RULES = (
 # -----------------------------------------------------------------------------------
 FEATURES = 1 << 16
 GRAM_SIZES = (2, 3, 4, 5)
-LABELLED_ROWS = 4000  # bound of the training table
+LABELLED_ROWS = 4000  # bound of the training table, for each verdict
 STEPS, RATE, DECAY = 300, 4.0, 1e-4
 
 
@@ -135,12 +135,15 @@ def judge_urls(pages: DataFrame, labelled: DataFrame, rules=RULES, id_col: str =
 
 
 def rule_labels(pages: DataFrame, rules=RULES, bound: int = LABELLED_ROWS, url_col: str = "url") -> DataFrame:
-    """A small labelled table (url, blocked): of the urls that a rule decides, the ``bound`` of the smallest hash."""
+    """A small labelled table (url, blocked): of the distinct urls that a rule decides, the ``bound`` of the smallest
+    hash of each verdict."""
     host, path = url_parts(F.col("url"))
     _, verdict = rule_columns(host, path, rules)
     known = pages.select(F.col(url_col).cast("string").alias("url")).withColumn("verdict", verdict)
-    return known.filter("verdict IS NOT NULL").orderBy(F.xxhash64("url"), "url").limit(bound).select(
-        "url", (F.col("verdict") == "block").alias("blocked"))
+    labelled = known.filter("verdict IS NOT NULL").distinct().select("url", (F.col("verdict") == "block").alias("blocked"))
+    block, allow = (labelled.filter(kind).orderBy(F.xxhash64("url"), "url").limit(bound)
+                    for kind in ("blocked", "NOT blocked"))
+    return block.union(allow)
 
 
 def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
