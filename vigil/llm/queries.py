@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, lm, merkle, mixing, neardup, packing, quality, simhash, substrings, toxicity, urls
+from . import chat, lm, merkle, mixing, neardup, packing, pii, quality, search, simhash, substrings, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,8 @@ QUERIES: dict[str, Query] = {
     "op8_urls": urls.op8_urls,
     "op9_lm": lm.op9_lm,
     "op10_mix": mixing.op10_mix,
+    "op11_pii": pii.op11_pii,
+    "op12_search": search.op12_search,
     "op13_manifest": merkle.op13_manifest,
 }
 
@@ -29,5 +31,6 @@ ORACLES: dict[str, str] = {
     "op4_rotate": chat.ORACLE,
     "op6_substrings": substrings.ORACLE,
     "op10_mix": mixing.ORACLE,
+    "op12_search": search.ORACLE,
     "op13_manifest": merkle.ORACLE,
 }
