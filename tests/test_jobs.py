@@ -33,11 +33,11 @@ def test_json_lane_matches_the_fixture_counts(spark, tmp):
     res = cleanse_jsonl_zone(spark, cfg.raw_path, cfg.cleansed_path, suffixes=None,
                              quality_path=f"{tmp}/quality")
     # 10,200 visits (200 of them in arrays) and a row for each invalid message that is not blank.
-    assert (res.rows_before, res.rows_after, res.invalid_messages) == (10200 + 600, 5736, 600)
-    assert res.rows_removed == res.missing_required + res.bad_date + res.invalid_code == 10800 - 5736
+    assert (res.rows_before, res.rows_after, res.invalid_messages) == (10200 + 1000, 5736, 1000)
+    assert res.rows_removed == res.missing_required + res.bad_date + res.invalid_code == 11200 - 5736
     per_file = spark.read.option("header", True).option("inferSchema", True).csv(f"{tmp}/quality/jsonl").collect()
     assert len(per_file) == 2 and sum(r.rows_after for r in per_file) == 5736
-    assert sum(r.rows_before for r in per_file) == 10800
+    assert sum(r.rows_before for r in per_file) == 11200
 
 
 def test_direct_load_keeps_empty_ids_and_feeds_the_table(spark, tmp):
@@ -120,12 +120,12 @@ def test_batch_json_cleanse_of_a_stream_raw_zone(spark, tmp):
         f.write('{"patient_id":"X","visit_date":"2024-01-05","disease":"D","diagnosis_code":"B50"}\n')
     assert os.path.isdir(f"{streamed}/_spark_metadata")
     res = cleanse_jsonl_zone(spark, cfg.raw_path, cfg.cleansed_path)
-    assert (res.rows_before, res.rows_after, res.invalid_messages) == (1020 + 60, 582, 60)
+    assert (res.rows_before, res.rows_after, res.invalid_messages) == (1020 + 100, 582, 100)
     # Files that were put there by other means are read too.
     with open(f"{cfg.raw_path}/more.JSONL", "w") as f:
         f.write('[{"patient_id":"X","visit_date":"2024-01-05","disease":"D","diagnosis_code":"B50"}]\n')
     res = cleanse_jsonl_zone(spark, cfg.raw_path, cfg.cleansed_path)
-    assert (res.rows_before, res.rows_after) == (1021 + 60, 583)
+    assert (res.rows_before, res.rows_after) == (1021 + 100, 583)
 
 
 def test_empty_json_zone_fails_fast(spark, tmp):

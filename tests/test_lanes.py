@@ -1,0 +1,354 @@
+"""Guards per file, one owner a message, replaced loads, staged and incremental lanes, metrics, the kept report."""
+
+from __future__ import annotations
+
+import json
+import os
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+from tests_helpers import same_rows
+
+from vigil.config import LakeConfig
+from vigil.loads import current_versions
+from vigil.operators import cleanse, curate, outbreaks
+from vigil.operators.rules import quality
+from vigil.plans.batch import cleanse_csv_zone, cleanse_jsonl_zone, curate_zone, load_direct
+from vigil.plans.incremental_report import refresh_report
+from vigil.schema import ABSENT_KEYS
+from vigil.sinks import write_csv, write_curated, write_lines
+from vigil.sources import (
+    parse_messages,
+    read_csv,
+    read_curated,
+    read_jsonl,
+    read_message_files,
+    read_outcomes,
+    read_raw_stream,
+    register_table,
+    scan_table,
+    refresh_table,
+)
+from vigil.sources import headers
+from vigil.sources.fixture import load_raw_visits, load_visit_messages
+from vigil.sources.messages import is_valid_message, message_quality
+from vigil.streaming import FlushMetrics, Trigger, Zones, read_metrics, run_to_end, run_until_stopped, stream_curate, stream_raw
+from vigil.streaming.incremental import incremental_csv, incremental_jsonl
+from vigil.streaming.staged import lane_of, read_flushes, read_staged_cleansed, read_staged_raw, stage_batch, stream_staged
+
+SF = "/root/testdata/sf0.001"
+VISIT = '{"patient_id":"%s","visit_date":"2024-01-05","disease":"Malaria","diagnosis_code":"B50"}'
+
+
+def put(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+
+
+# --- headers ----------------------------------------------------------------------
+
+def test_wide_files_names_in_any_case_and_odd_file_names(spark, tmp):
+    names = [f"x{i}" for i in range(90)] + ["Visit_Date", " DISEASE ", "diagnosis_CODE", "Patient_ID"]
+    put(f"{tmp}/z/a b[1]{{x}}%20.csv", ",".join(names) + "\n" + ",".join(["0"] * 90 + ["2024-01-05", "M", "B50", "p1"]) + "\n")
+    put(f"{tmp}/z/b.CSV", '\n\n"patient_id","COUNTY"\np2,"a, b"\n')
+    put(f"{tmp}/z/c.csv", "﻿patient_id,county\np3,c\n")
+    put(f"{tmp}/z/empty.csv", "")
+    rows = read_csv(spark, f"{tmp}/z", by_header=True, keep_source=True)
+    got = {r.patient_id: (r.visit_date, r.disease, r.diagnosis_code, r.county) for r in rows.collect()}
+    assert got == {"p1": ("2024-01-05", "M", "B50", None), "p2": (None, None, None, "a, b"), "p3": (None, None, None, "c")}
+    assert "Join" not in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_large_files_are_indexed_by_their_first_line_only(spark, tmp):
+    put(f"{tmp}/a.csv", "patient_id,county\n" + "p,c\n" * 30_000)
+    put(f"{tmp}/b.csv", "county,patient_id\nc,p\n")
+    found = {r.file.rsplit("/", 1)[1]: r.line for r in headers.header_lines(spark, tmp, ("csv",), False, small=1000).collect()}
+    assert found == {"a.csv": "patient_id,county", "b.csv": "county,patient_id"}
+    assert {r.patient_id for r in read_csv(spark, tmp, by_header=True).select("patient_id").distinct().collect()} == {"p"}
+
+
+def test_an_empty_headed_zone_has_the_schema(spark, tmp):
+    put(f"{tmp}/a.csv", "")
+    rows = read_csv(spark, tmp, by_header=True, keep_source=True, mark_absent=True)
+    assert rows.count() == 0 and rows.columns[0] == "source" and rows.columns[-1] == ABSENT_KEYS
+
+
+# --- guards per file -----------------------------------------------------------------
+
+def test_rules_of_absent_keys_do_not_apply_csv(spark, tmp):
+    cfg = LakeConfig(lake_root=tmp)
+    put(f"{cfg.raw_path}/no_code.csv", "patient_id,visit_date,disease\np1,2024-01-05,M\n,2024-01-05,M\np2,bad,M\n")
+    put(f"{cfg.raw_path}/no_date.csv", "patient_id,disease,diagnosis_code\np3,M,B50\np4,M,b50\n")
+    put(f"{cfg.raw_path}/full.csv", "patient_id,visit_date,disease,diagnosis_code\np5,2024-01-05,M,\np6,2024-01-05,M,B50\n")
+    put(f"{cfg.raw_path}/other.csv", "county,hospital\nc,h\n")  # nothing to be kept by
+    res = cleanse_csv_zone(spark, cfg.raw_path, cfg.cleansed_path, quality_path=f"{tmp}/q")
+    assert (res.rows_before, res.rows_after, res.missing_required, res.bad_date, res.invalid_code) == (8, 3, 3, 1, 1)
+    curate_zone(spark, cfg.cleansed_path, cfg.curated_path)
+    got = {r.patient_id: (r.visit_date is None, r.diagnosis_code) for r in read_curated(spark, cfg.curated_path).collect()}
+    assert got == {"p1": (False, None), "p3": (True, "B50"), "p6": (False, "B50")}
+
+
+def test_rules_of_absent_keys_do_not_apply_jsonl(spark, tmp):
+    put(f"{tmp}/a.jsonl", '{"patient_id":"a","visit_date":"2024-01-05","disease":"D"}\n{bad\n[{"patient_id":"b","disease":null,'
+        '"visit_date":"2024-01-05"}]\n{"diagnosis_code":"B50"} x\n')
+    put(f"{tmp}/b.jsonl", (VISIT % "c") + '\n{"patient_id":"d","visit_date":"2024-01-05","disease":"D"}\n')
+    put(f"{tmp}/c.jsonl", '[{"patient_id":"e","visit_date":"2024-01-05"},{"disease":"D","diagnosis_code":null}]\n')  # seen in one
+    put(f"{tmp}/d.jsonl", "{bad\n")
+    rows = read_jsonl(spark, tmp, keep_source=True, mark_invalid=True, mark_absent=True)
+    assert sorted(r.patient_id for r in cleanse(rows).collect()) == ["a", "c"]
+    by_file = {r.source.rsplit("/", 1)[1]: (r.rows_before, r.rows_after) for r in quality(rows, by="source").collect()}
+    assert by_file == {"a.jsonl": (4, 1), "b.jsonl": (2, 1), "c.jsonl": (2, 0), "d.jsonl": (1, 0)}
+    # Many lacking sources are joined instead of broadcast, with the same rows.
+    from vigil.sources import messages
+
+    before, messages.BROADCAST_SOURCES = messages.BROADCAST_SOURCES, 0
+    try:
+        again = read_jsonl(spark, tmp, keep_source=True, mark_invalid=True, mark_absent=True)
+        assert same_rows(again, rows)
+    finally:
+        messages.BROADCAST_SOURCES = before
+
+
+# --- exact JSON check -------------------------------------------------------------------
+
+def test_json_check_agrees_with_a_strict_parser(spark):
+    parts = ['{"a":1}', '{"patient_id":"x"}', "[", "]", "{", "}", ",", ":", '"k"', "1", "null", "NaN", " ", "[{}]", "x", "[]", "\n",
+             '{"patient_id":{"b":[1]}}', "{'a':1}", '"\\u00e9"', "01", "tru", '"a\tb"', '{"a":1,"a":2}']
+    import random
+
+    rng = random.Random(4)
+    texts = set(parts) | {"".join(rng.choice(parts) for _ in range(rng.randint(2, 5))) for _ in range(6_000)}
+    texts |= {'{"a":1}],"x":[{"b":2}', '{"a":1}] [{"b":2}', '[{"a":1}],[{"b":2}]', '{"_end":1}', '[{"a":1},{"_end":5}]'}
+
+    def valid(t):
+        try:
+            return isinstance(json.loads(t), (dict, list))
+        except ValueError:
+            return False
+
+    df = spark.createDataFrame([(t, valid(t)) for t in sorted(texts)], "value string, want boolean")
+    wrong = df.withColumn("got", is_valid_message(df)).filter("got <> want").collect()
+    assert not wrong
+    assert message_quality(df).first().valid_messages == sum(map(valid, texts))
+
+
+# --- one owner a message --------------------------------------------------------------------
+
+@pytest.mark.parametrize("first", ["batch", "stream"])
+def test_a_message_is_counted_once_whatever_lane_runs_first(spark, tmp, first):
+    cfg = LakeConfig(lake_root=tmp)
+    write_lines(spark.createDataFrame([(VISIT % i,) for i in range(10)], "value string").repartition(2), f"{tmp}/landing")
+
+    def land():
+        run_to_end(stream_raw(read_message_files(spark, f"{tmp}/landing"), f"{cfg.raw_path}/stream", f"{tmp}/ck"))
+
+    def batch():
+        cleanse_jsonl_zone(spark, cfg.raw_path, cfg.cleansed_path)
+        put(f"{cfg.cleansed_path}/.keep.csv", "")
+        if any(f.endswith(".csv") for _, _, fs in os.walk(cfg.cleansed_path) for f in fs if not f.startswith(".")):
+            curate_zone(spark, cfg.cleansed_path, cfg.curated_path)
+
+    def stream():
+        source = read_raw_stream(spark, cfg.raw_path, f"{tmp}/ck2")
+        run_to_end(stream_curate(source, cfg.curated_path, f"{tmp}/ck2"))
+
+    land()
+    for lane in ([batch, stream] if first == "batch" else [stream, batch]) * 2:
+        lane()
+        assert read_curated(spark, cfg.curated_path).count() == 10
+    # What lands later belongs to the stream, which has started.
+    write_lines(spark.createDataFrame([(VISIT % i,) for i in range(10, 15)], "value string"), f"{tmp}/landing", mode="append")
+    land()
+    for lane in (batch, stream, batch):
+        lane()
+    got = [r.patient_id for r in read_curated(spark, cfg.curated_path).collect()]
+    assert sorted(got, key=int) == [str(i) for i in range(15)]
+
+
+# --- replaced loads ------------------------------------------------------------------------------
+
+def test_a_failed_rerun_leaves_the_earlier_rows(spark, tmp):
+    loc = f"{tmp}/curated"
+    visits = cleanse(load_raw_visits(spark, SF))
+    write_curated(visits, loc, "day")
+    name = register_table(spark, loc, database="ph_atomic", table="visits")
+    broken = visits.withColumn("hospital", F.when(F.rand(1) > 0.5, F.raise_error(F.lit("lost"))).otherwise(F.col("hospital")))
+    for rebalance in (True, False):
+        with pytest.raises(Exception, match="lost"):
+            write_curated(broken, loc, "day", rebalance=rebalance)
+        refresh_table(spark, name)
+        assert read_curated(spark, loc).count() == scan_table(spark, name).count() == 566
+    reader = read_curated(spark, loc)  # resolved before the switch: its version is still there after it
+    write_curated(visits.limit(7), loc, "day")
+    assert reader.count() == 566 and read_curated(spark, loc).count() == 7
+    refresh_table(spark, name)
+    assert scan_table(spark, name).count() == 7
+    write_curated(visits.limit(8), loc, "day")
+    assert len(os.listdir(f"{loc}/batch/load=day")) == 2 and read_curated(spark, loc).count() == 8
+    with pytest.raises(ValueError, match="load name"):
+        write_curated(visits, loc, "a/b")
+
+
+# --- quarantine -------------------------------------------------------------------------------------
+
+def test_rejects_keep_what_they_came_with_and_counts_need_no_second_scan(spark, tmp):
+    cfg = LakeConfig(lake_root=tmp)
+    put(f"{cfg.raw_path}/a.jsonl", (VISIT % " p1 ") + '\n{broken "x", y\n{"patient_id":" p2 ","visit_date":" never ",'
+        '"disease":"D","diagnosis_code":"B50"}\n{"patient_id":"p3","visit_date":"2024-01-05","disease":"D","diagnosis_code":"b50"}\n')
+    res = cleanse_jsonl_zone(spark, cfg.raw_path, cfg.cleansed_path, quality_path=f"{tmp}/q")
+    assert (res.rows_before, res.rows_after, res.invalid_messages) == (4, 1, 1)
+    rows = {r.outcome: r for r in read_outcomes(spark, f"{cfg.cleansed_path}/jsonl").collect()}
+    assert rows["kept"].patient_id == "p1" and rows["kept"]._message is None
+    assert (rows["bad_date"].patient_id, rows["bad_date"].visit_date) == (" p2 ", " never ")
+    assert rows["invalid_code"].diagnosis_code == "b50" and rows["invalid_message"]._message == '{broken "x", y'
+    assert all(r.source.endswith("a.jsonl") for r in rows.values())
+    q = spark.read.option("header", True).option("inferSchema", True).csv(f"{tmp}/q/jsonl").first()
+    assert (q.rows_before, q.rows_after, q.rows_removed, q.missing_required, q.bad_date, q.invalid_code) == (4, 1, 3, 1, 1, 1)
+
+
+# --- staged stream ---------------------------------------------------------------------------------
+
+def test_staged_stream_fills_all_zones_and_a_replayed_batch_adds_nothing(spark, tmp):
+    messages = load_visit_messages(spark, SF)
+    write_lines(messages.repartition(4), f"{tmp}/landing")
+    zones = Zones(f"{tmp}/raw", f"{tmp}/cleansed", f"{tmp}/curated", f"{tmp}/flushes")
+    ck = f"{tmp}/ck"
+    run_to_end(stream_staged(read_message_files(spark, f"{tmp}/landing", 2), zones, ck))
+    batch = curate(cleanse(parse_messages(messages))).withColumn("patient_id", F.expr("nullif(patient_id, '')"))
+
+    def check(flushes):
+        assert read_staged_raw(spark, zones.raw).count() == messages.count()
+        assert read_staged_cleansed(spark, zones.cleansed).count() == batch.count() == 582
+        assert same_rows(read_curated(spark, zones.curated), batch)
+        counts = read_flushes(spark, zones.flushes).collect()
+        assert len(counts) == flushes and sum(r.messages for r in counts) == messages.count()
+        assert sum(r.invalid_messages for r in counts) == 120 and sum(r.rows_after for r in counts) == 582
+
+    check(2)
+    files = spark.read.text(f"{tmp}/landing").inputFiles()
+    taken = {r.value for r in spark.read.text(f"{zones.raw}/staged/{lane_of(ck)}/batch={0:012d}").collect()}
+    again = [f for f in files if spark.read.text(f).first().value in taken]
+    stage_batch(spark.read.text(again), 0, zones, lane_of(ck))
+    check(2)
+    run_to_end(stream_staged(read_message_files(spark, f"{tmp}/landing", 2), zones, ck))
+    check(2)
+
+
+def test_staged_stream_skips_rules_of_keys_that_a_batch_lacks(spark, tmp):
+    zones = Zones(f"{tmp}/raw", f"{tmp}/cleansed", f"{tmp}/curated", f"{tmp}/flushes")
+    put(f"{tmp}/landing/a.txt", '{"patient_id":"a","visit_date":"2024-01-05","disease":"D"}\n7\n')
+    run_to_end(stream_staged(read_message_files(spark, f"{tmp}/landing"), zones, f"{tmp}/ck"))
+    put(f"{tmp}/landing/b.txt", "7\n{bad\n")  # no valid message: raw lines and counts only
+    run_to_end(stream_staged(read_message_files(spark, f"{tmp}/landing"), zones, f"{tmp}/ck"))
+    assert [r.patient_id for r in read_curated(spark, zones.curated).collect()] == ["a"]
+    assert read_staged_raw(spark, zones.raw).count() == 4
+    assert sorted((r.messages, r.valid_messages) for r in read_flushes(spark, zones.flushes).collect()) == [(2, 0), (2, 1)]
+
+
+# --- metrics, stop, incremental lanes ---------------------------------------------------------------
+
+def test_flush_counts_outlive_the_query(spark, tmp):
+    write_lines(load_visit_messages(spark, SF).repartition(3), f"{tmp}/landing")
+    metrics = FlushMetrics(spark, f"{tmp}/metrics")
+    spark.streams.addListener(metrics)
+    try:
+        q = run_to_end(stream_curate(read_message_files(spark, f"{tmp}/landing", 1), f"{tmp}/cur", f"{tmp}/ck", name="flushed"))
+        metrics.finished(q.runId)
+    finally:
+        spark.streams.removeListener(metrics)
+    rows = read_metrics(spark, f"{tmp}/metrics").collect()
+    assert sorted(r.batch_id for r in rows) == [0, 1, 2] and {r.name for r in rows} == {"flushed"}
+    assert sum(r.events for r in rows) == 1140
+    observed = [json.loads(r.observed)["cleanse_quality"] for r in rows]
+    assert sum(o["rows_after"] for o in observed) == 582 and sum(o["invalid_messages"] for o in observed) == 120
+
+
+def test_a_stopped_stream_flushes_what_is_waiting(spark, tmp):
+    messages = load_visit_messages(spark, SF)
+    write_lines(messages.repartition(2), f"{tmp}/landing")
+    stop = threading.Event()
+
+    def start(drain):
+        trigger = Trigger(available_now=True) if drain else Trigger(processing_time="1 second")
+        return stream_raw(read_message_files(spark, f"{tmp}/landing", 1), f"{tmp}/raw", f"{tmp}/ck", trigger)
+
+    def interrupt():
+        write_lines(messages.repartition(3), f"{tmp}/landing", mode="append")
+        stop.set()
+
+    timer = threading.Timer(2.0, interrupt)
+    timer.start()
+    run_until_stopped(start, stop)
+    timer.join()
+    assert spark.read.text(f"{tmp}/raw").count() == 2 * messages.count()
+
+
+def test_incremental_lanes_take_new_files_only(spark, tmp):
+    cfg = LakeConfig(lake_root=tmp)
+    raw = load_raw_visits(spark, SF)
+
+    def run():
+        a = run_to_end(incremental_csv(spark, cfg.raw_path, cfg.cleansed_path, cfg.curated_path, f"{tmp}/ck1", files_per_batch=2))
+        b = run_to_end(incremental_jsonl(spark, cfg.raw_path, cfg.cleansed_path, cfg.curated_path, f"{tmp}/ck2"))
+        return [sum(p["numInputRows"] for p in q.recentProgress) for q in (a, b)]
+
+    write_csv(raw.repartition(3), cfg.raw_path, keep_padding=True)
+    put(f"{cfg.raw_path}/deep/a.jsonl", (VISIT % 1) + "\n")
+    assert run() == [3, 1]
+    once = read_curated(spark, cfg.curated_path).count()
+    put(f"{cfg.raw_path}/late.CSV", "patient_id,visit_date,disease\nLATE,2024-01-05,M\n")
+    os.utime(f"{cfg.raw_path}/late.CSV", (0, 0))  # an old file that arrives late
+    put(f"{cfg.raw_path}/deep/er/b.JSONL", (VISIT % 2) + "\n{bad\n")
+    assert run() == [1, 1]
+    assert read_curated(spark, cfg.curated_path).count() == once + 2
+    assert run() == [0, 0]
+    whole = LakeConfig(lake_root=tmp, cleansed_zone="cleansed2", curated_zone="curated2")
+    cleanse_csv_zone(spark, whole.raw_path, whole.cleansed_path)
+    cleanse_jsonl_zone(spark, whole.raw_path, whole.cleansed_path)
+    curate_zone(spark, whole.cleansed_path, whole.curated_path)
+    assert same_rows(read_curated(spark, whole.curated_path), read_curated(spark, cfg.curated_path))
+
+
+# --- the kept report -----------------------------------------------------------------------------------
+
+def test_incremental_report_equals_the_whole_one_after_each_load(spark, tmp):
+    loc, state = f"{tmp}/curated", f"{tmp}/state"
+    visits = cleanse(load_raw_visits(spark, "/root/testdata/sf0.01"))
+    third = F.pmod(F.xxhash64("patient_id", "event_time_utc"), F.lit(3))
+
+    def check():
+        got = refresh_report(spark, loc, state)
+        assert same_rows(got, outbreaks(read_curated(spark, loc)))
+        return got
+
+    for k in range(3):
+        write_curated(visits.filter(third == k), loc, f"part{k}")
+        check()
+    assert check().collect() == outbreaks(visits).collect()
+    write_curated(visits.filter((third == 1) & (F.col("county") != "Nairobi")), loc, "part1")  # replaced, with fewer pairs
+    check()
+    # The stream's output counts too, and only its new batches are read.
+    write_lines(load_visit_messages(spark, SF).repartition(2), f"{tmp}/landing")
+    run_to_end(stream_curate(read_message_files(spark, f"{tmp}/landing", 1), loc, f"{tmp}/ck"))
+    check()
+    # Pairs that no new load touches keep their rows: a load of one pair rewrites one pair.
+    one = visits.filter("county = 'Kisumu' AND disease = 'Malaria'").limit(30)
+    write_curated(one, loc, "one")
+    check()
+    assert current_versions(spark, f"{state}/partials").keys() >= {"part0", "part1", "part2", "one"}
+
+
+def test_a_refresh_that_failed_between_counting_and_reporting_is_made_good(spark, tmp, monkeypatch):
+    from vigil.plans import incremental_report
+
+    loc, state = f"{tmp}/curated", f"{tmp}/state"
+    load_direct(load_raw_visits(spark, SF), loc, "a")
+    refresh_report(spark, loc, state)
+    load_direct(load_raw_visits(spark, SF).filter("county = 'Kisumu'"), loc, "b")
+    monkeypatch.setattr(incremental_report, "alerts", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError):
+        refresh_report(spark, loc, state)
+    monkeypatch.undo()
+    assert same_rows(refresh_report(spark, loc, state), outbreaks(read_curated(spark, loc)))

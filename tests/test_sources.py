@@ -93,11 +93,9 @@ def test_arrays_of_visits_are_expanded_and_invalid_messages_marked(spark):
 
 
 def test_json_trailing_text(spark):
-    # Trailing text is rejected by the brace check, as a strict JSON check
-    # would; two objects on one line pass (Spark's parser stops after the
-    # first), a documented difference.
-    df = spark.createDataFrame([('{"patient_id":"a"} x',), ('{"patient_id":"b"} {"c":1}',)], "value string")
-    assert [r.patient_id for r in parse_messages(df).collect()] == ["b"]
+    # A message is one JSON value and nothing after it.
+    df = spark.createDataFrame([('{"patient_id":"a"} x',), ('{"patient_id":"b"} {"c":1}',), ('{"patient_id":"c"} \n',)], "value string")
+    assert [r.patient_id for r in parse_messages(df).collect()] == ["c"]
 
 
 def test_json_number_in_text_field(spark):

@@ -41,8 +41,8 @@ def test_stream_reports_quality_per_batch(spark, tmp):
     assert len(batches) == 3  # one file per trigger
     totals = [p["observedMetrics"][QUALITY_METRICS] for p in batches]
     assert sum(int(m["rows_after"]) for m in totals) == 582
-    assert sum(int(m["rows_before"]) for m in totals) == 1020 + 80
-    assert sum(int(m["invalid_messages"]) for m in totals) == 80
+    assert sum(int(m["rows_before"]) for m in totals) == 1020 + 120
+    assert sum(int(m["invalid_messages"]) for m in totals) == 120
 
 
 def test_a_hot_date_is_written_by_several_tasks_and_others_by_one(spark, tmp):

@@ -5,7 +5,7 @@ All built-in Spark functions: they stay inside whole-stage codegen.
 
 from vigil.functions.columns import (
     json_text,
-    looks_like_visits,
+    opens_with,
     space_trim,
     strict_date,
     suffix_glob,
@@ -14,7 +14,7 @@ from vigil.functions.columns import (
 
 __all__ = [
     "json_text",
-    "looks_like_visits",
+    "opens_with",
     "space_trim",
     "strict_date",
     "suffix_glob",

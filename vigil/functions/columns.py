@@ -5,8 +5,6 @@ from pyspark.sql import functions as F
 
 from vigil.config import DATE_FORMAT
 
-# Text of a JSON object or array: its brackets, with optional JSON whitespace around them.
-_VISITS_TEXT = r"(?s)^[ \t\n\r]*(\{.*\}|\[.*\])[ \t\n\r]*$"
 # Exactly four, two and two digits ('\z': no trailing newline): on this shape
 # Spark's date cast gives the same result as the 'yyyy-MM-dd' parser, much faster.
 _ISO_DATE_PLAIN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
@@ -46,14 +44,9 @@ def json_text(*cols: Column | str) -> Column:
     return F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
 
 
-def looks_like_visits(value: Column) -> Column:
-    """True when the text is wrapped in braces or square brackets.
-
-    Together with a non-null result of ``from_json`` this keeps exactly the
-    messages that are JSON objects or arrays; scalars, ``null``, blank and
-    truncated messages are rejected.
-    """
-    return F.coalesce(value.rlike(_VISITS_TEXT), F.lit(False))
+def opens_with(value: Column, bracket: str) -> Column:
+    """True when a text's first character that is no JSON white space is ``bracket``."""
+    return F.coalesce(value.rlike("^[ \\t\\n\\r]*[\\" + bracket + "]"), F.lit(False))
 
 
 def suffix_glob(*suffixes: str) -> str:

@@ -55,6 +55,11 @@ def order_report(df: DataFrame) -> DataFrame:
     )
 
 
+def alerts(daily: DataFrame, preceding_rows: int = WINDOW_PRECEDING_ROWS, factor: Decimal = GROWTH_FACTOR) -> DataFrame:
+    """The report's rows, in no order, from daily counts."""
+    return growth_filter(lag_rolling_cases(rolling_cases(daily, preceding_rows)), factor).select(*REPORT_COLUMNS)
+
+
 def outbreaks(
     visits: DataFrame,
     preceding_rows: int = WINDOW_PRECEDING_ROWS,
@@ -66,6 +71,5 @@ def outbreaks(
     No warm-up guard: a pair's second row compares a two-day sum with a
     one-day sum, as the original report does.
     """
-    lagged = lag_rolling_cases(rolling_cases(daily_counts(visits), preceding_rows))
-    report = growth_filter(lagged, factor).select(*REPORT_COLUMNS)
+    report = alerts(daily_counts(visits), preceding_rows, factor)
     return order_report(report) if ordered else report

@@ -3,7 +3,8 @@ valid codes, conform columns.
 
 Every rule is ``DataFrame -> DataFrame`` and only touches columns that exist
 (a frame without ``diagnosis_code`` skips the code rule), so batch and stream
-share them. All rules are narrow: Catalyst merges the filters into one and
+share them. Where one frame holds many files, the column ``ABSENT_KEYS``
+says for each row which keys its file lacks, and their rules skip the row. All rules are narrow: Catalyst merges the filters into one and
 the whole chain runs inside one whole-stage-codegen span with no shuffle.
 """
 
@@ -18,12 +19,14 @@ from pyspark.sql.types import DateType, StringType, StructType
 
 from vigil.config import REQUIRED_COLUMNS, TRIM_COLUMNS, VALID_CODES
 from vigil.functions import space_trim, strict_date
-from vigil.schema import INVALID_MESSAGE, VISIT_CLEANSED
+from vigil.schema import ABSENT_KEYS, INVALID_MESSAGE, VISIT_CLEANSED
 
 MISSING_REQUIRED = "missing_required"
 BAD_DATE = "bad_date"
 INVALID_CODE = "invalid_code"
 REJECT_REASONS = (MISSING_REQUIRED, BAD_DATE, INVALID_CODE)
+# Outcome of a row: kept, one of the reasons, or a message that is no JSON.
+KEPT, NOT_JSON = "kept", "invalid_message"
 
 
 def _string_columns(df: DataFrame) -> set[str]:
@@ -94,6 +97,24 @@ def conform(df: DataFrame, schema: StructType = VISIT_CLEANSED) -> DataFrame:
     ])
 
 
+def absent_mask(keys: Iterable[str]) -> int:
+    """Value of ``ABSENT_KEYS`` for a file without ``keys``.
+
+    A file without any required column has nothing to be kept by: its rows
+    stay subject to the rules.
+    """
+    held = set(keys)
+    mask = sum(1 << k for k, c in enumerate(REQUIRED_COLUMNS) if c in held)
+    return 0 if mask == (1 << len(REQUIRED_COLUMNS)) - 1 else mask
+
+
+def _applies(failed: Column, key: str, types: Iterable[str]) -> Column:
+    """``failed``, unless the row's file lacks the key."""
+    if ABSENT_KEYS not in types:
+        return failed
+    return failed & (F.col(ABSENT_KEYS).bitwiseAND(1 << REQUIRED_COLUMNS.index(key)) == 0)
+
+
 _DATE_MISSING = "_visit_date_missing"
 _CODE_VALID = "_code_valid"
 
@@ -134,9 +155,11 @@ def _prepared(df: DataFrame, codes: Codes) -> tuple[DataFrame, dict]:
 
 def _keep(types: dict) -> Column | None:
     """The cleanse predicate over prepared columns (required, parsed date, code)."""
-    checks = [F.col(c).isNotNull() for c in REQUIRED_COLUMNS if c in types]
+    checks = [~_applies(F.col(c).isNull(), c, types) if ABSENT_KEYS in types else F.col(c).isNotNull()
+              for c in REQUIRED_COLUMNS if c in types]
     if "diagnosis_code" in types:
-        checks.append(F.col(_CODE_VALID))
+        checks.append(~_applies(~F.col(_CODE_VALID), "diagnosis_code", types) if ABSENT_KEYS in types
+                      else F.col(_CODE_VALID))
     return reduce(lambda a, b: a & b, checks) if checks else None
 
 
@@ -156,15 +179,15 @@ def cleanse(df: DataFrame, codes: Codes = VALID_CODES, schema: StructType = VISI
 def _prepared_reason(types: dict) -> Column:
     """``reject_reason`` over prepared columns: null checks and flags, no parsing."""
     checks: list[tuple[Column, str]] = []
-    missing = [F.col(c).isNull() for c in REQUIRED_COLUMNS if c in types and c != "visit_date"]
+    missing = [_applies(F.col(c).isNull(), c, types) for c in REQUIRED_COLUMNS if c in types and c != "visit_date"]
     if "visit_date" in types:
-        missing.append(F.col(_DATE_MISSING))
+        missing.append(_applies(F.col(_DATE_MISSING), "visit_date", types))
     if missing:
         checks.append((reduce(lambda a, b: a | b, missing), MISSING_REQUIRED))
     if "visit_date" in types:
-        checks.append((F.col("visit_date").isNull(), BAD_DATE))
+        checks.append((_applies(F.col("visit_date").isNull(), "visit_date", types), BAD_DATE))
     if "diagnosis_code" in types:
-        checks.append((~F.col(_CODE_VALID), INVALID_CODE))
+        checks.append((_applies(~F.col(_CODE_VALID), "diagnosis_code", types), INVALID_CODE))
     return _first_failing(checks)
 
 
@@ -202,6 +225,40 @@ def cleanse_observed_stream(
     return _cleanse_observed(df, lambda d, m: d.observe(name, *m), codes, schema)
 
 
+# What a CSV writer strips off both ends of a field unless told otherwise.
+_FIELD_PADDING = "".join(chr(c) for c in range(33))
+
+
+def outcomes(df: DataFrame, codes: Codes = VALID_CODES, observation: Observation | None = None) -> DataFrame:
+    """Every row with its outcome: (visit columns as text, the frame's other columns, ``outcome``).
+
+    A kept row has its cleansed values, a rejected one the values it came
+    with, so one write partitioned by ``outcome`` gives the cleansed rows and
+    the quarantined ones. ``observation`` gets the counts of the pass.
+    """
+    visit = [f.name for f in VISIT_CLEANSED.fields if f.name in df.columns]
+    extra = [c for c in df.columns if c not in visit and c not in (INVALID_MESSAGE, ABSENT_KEYS)]
+    prepared, types = _prepared(df.withColumn("_raw", F.struct(*visit)), codes)
+    if observation is not None:
+        metrics = quality_columns(_prepared_reason(types))
+        if INVALID_MESSAGE in types:
+            metrics.append(F.count_if(F.col(INVALID_MESSAGE)).alias("invalid_messages"))
+        prepared = prepared.observe(observation, *metrics)
+    reason = F.coalesce(_prepared_reason(types), F.lit(KEPT))
+    if INVALID_MESSAGE in types:
+        reason = F.when(F.col(INVALID_MESSAGE), F.lit(NOT_JSON)).otherwise(reason)
+    told = prepared.withColumn("outcome", reason)
+
+    def value(f) -> Column:
+        if f.name not in visit:
+            return F.lit(None).cast("string").alias(f.name)
+        cleansed = F.btrim(F.col(f.name).cast("string"), F.lit(_FIELD_PADDING))
+        raw = F.col(f"_raw.{f.name}").cast("string")
+        return F.when(F.col("outcome") == KEPT, cleansed).otherwise(raw).alias(f.name)
+
+    return told.select(*[value(f) for f in VISIT_CLEANSED.fields], *extra, "outcome")
+
+
 def reject_reason(df: DataFrame, codes: Iterable[str] = VALID_CODES) -> Column:
     """The first rule a row of ``df`` fails, or null when ``cleanse`` keeps it.
 
@@ -213,16 +270,17 @@ def reject_reason(df: DataFrame, codes: Iterable[str] = VALID_CODES) -> Column:
     checks: list[tuple[Column, str]] = []
     required = [c for c in REQUIRED_COLUMNS if c in cols]
     if required:
-        checks.append((reduce(lambda a, b: a | b, [F.col(c).isNull() for c in required]), MISSING_REQUIRED))
+        missing = [_applies(F.col(c).isNull(), c, types) for c in required]
+        checks.append((reduce(lambda a, b: a | b, missing), MISSING_REQUIRED))
     if "visit_date" in cols:
         if isinstance(types["visit_date"], DateType):
             parsed = F.col("visit_date")
         else:
             parsed = strict_date(space_trim(F.col("visit_date")))
-        checks.append((parsed.isNull(), BAD_DATE))
+        checks.append((_applies(parsed.isNull(), "visit_date", types), BAD_DATE))
     if "diagnosis_code" in cols:
         valid = space_trim(F.col("diagnosis_code")).isin(list(codes))
-        checks.append((~F.coalesce(valid, F.lit(False)), INVALID_CODE))
+        checks.append((_applies(~F.coalesce(valid, F.lit(False)), "diagnosis_code", types), INVALID_CODE))
     return _first_failing(checks)
 
 

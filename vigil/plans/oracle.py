@@ -71,13 +71,15 @@ messages AS (
     SELECT v AS value FROM msg_valid
     UNION ALL
     SELECT CASE event_id % 50
+               WHEN 5 THEN v || ' x'
                WHEN 11 THEN substr(v, 1, length(v) - 1)
                WHEN 23 THEN CAST(event_id AS VARCHAR)
+               WHEN 29 THEN v || ' ' || v
                WHEN 37 THEN ''
                WHEN 41 THEN '[' || v || ']'
                WHEN 47 THEN 'null' END AS value
     FROM msg_valid
-    WHERE event_id % 50 IN (11, 23, 37, 41, 47)
+    WHERE event_id % 50 IN (5, 11, 23, 29, 37, 41, 47)
 )"""
 
 _DATE = "CASE WHEN regexp_full_match({v}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN TRY_CAST({v} AS DATE) END"
@@ -126,12 +128,35 @@ _CURATED_COLS = ("patient_id, hospital, county, visit_date, disease, diagnosis_c
                  "CAST(event_time_utc AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS event_time_utc")
 # Lane 1 has its CSV hop after cleansing.
 _LANE_ID = "CASE WHEN lane = 1 THEN NULLIF(patient_id, '') ELSE patient_id END AS patient_id"
+_LANE_KEPT = "CASE WHEN lane = 0 THEN NULLIF(patient_id, '') ELSE patient_id END AS patient_id"
+# The first two thirds come as CSV files, where '' is null, the rest as JSON lines.
+_BLANK_CSV = f"""
+raw_visits AS (
+    SELECT {_COLS.replace('patient_id', "CASE WHEN event_id % 3 < 2 THEN NULLIF(patient_id, '') ELSE patient_id END AS patient_id", 1)}
+    FROM raw_visits_id
+)"""
 _EVEN_TIMES = """
 raw_visits AS (
     SELECT patient_id, hospital, county, visit_date, disease, diagnosis_code,
            CASE WHEN event_id % 2 = 0 THEN event_time_utc END AS event_time_utc
     FROM raw_visits_id
 )"""
+# Files that lack a key, by event_id % 4: CSV without the code, CSV without the date, JSON without the disease, whole JSON.
+_GUARDED = f"""
+given AS (
+    SELECT event_id % 4 AS k, CASE WHEN event_id % 4 < 2 THEN NULLIF(trim(patient_id), '') ELSE trim(patient_id) END AS patient_id,
+           trim(hospital) AS hospital, trim(county) AS county, {_DATE.format(v='trim(visit_date)')} AS visit_date,
+           trim(disease) AS disease, trim(diagnosis_code) AS diagnosis_code, event_time_utc
+    FROM raw_visits_id
+),
+guarded AS (
+    SELECT NULLIF(patient_id, '') AS patient_id, hospital, county, CASE WHEN k <> 1 THEN visit_date END AS visit_date,
+           CASE WHEN k <> 2 THEN disease END AS disease, CASE WHEN k <> 0 THEN diagnosis_code END AS diagnosis_code,
+           event_time_utc
+    FROM given
+    WHERE patient_id IS NOT NULL AND (k = 1 OR visit_date IS NOT NULL) AND (k = 2 OR disease IS NOT NULL)
+      AND (k = 0 OR diagnosis_code IN {_CODES})
+)"""
 _REPORT_ORDER = "ORDER BY visit_date NULLS LAST, county NULLS LAST, disease NULLS LAST"
 
 
@@ -155,6 +180,10 @@ def oracle_sql() -> dict[str, str]:
     from_messages = _with(_RAW_VISITS, _IN_MESSAGES, _CLEANSE)
     lanes = _with(_RAW_VISITS, _LANES, _CLEANSE.replace("event_time_utc\n", "event_time_utc, lane\n"))
     msgs = _with(_RAW_VISITS, _MESSAGES)
+    reasons = f"reasons AS (SELECT *, {_REASON} AS reason FROM raw_visits)"
+    curated_blank = _CURATED_COLS.replace("patient_id", "NULLIF(patient_id, '') AS patient_id", 1)
+    content = ("concat_ws('|', coalesce(NULLIF(patient_id, ''), ''), coalesce(county, ''), CAST(visit_date AS VARCHAR), disease, "
+               "diagnosis_code)")
     valid_msgs = "CASE WHEN json_valid(value) THEN json_type(value) IN ('OBJECT', 'ARRAY') ELSE false END"
     return {
         "outbreak_report": f"{report} SELECT * FROM report {_REPORT_ORDER}",
@@ -214,6 +243,36 @@ def oracle_sql() -> dict[str, str]:
         "mixed_lanes_scan": (
             f"{lanes} SELECT {_CURATED_COLS.replace('patient_id', _LANE_ID, 1)} FROM cleansed"
         ),
+        "per_file_guard": f"{_with(_RAW_VISITS, _GUARDED)} SELECT {_CURATED_COLS} FROM guarded",
+        "lanes_count_once": f"{from_messages} SELECT {curated_blank} FROM cleansed",
+        "replaced_load": (
+            f"{lanes} SELECT {_CURATED_COLS.replace('patient_id', _LANE_KEPT, 1)} FROM cleansed WHERE lane <> 3"
+        ),
+        "rejects_zone": (
+            f"{_with(_RAW_VISITS, _IN_MESSAGES, _MESSAGES, reasons)} "
+            f"SELECT {_NULLIF}, NULL AS message, reason AS outcome FROM reasons WHERE reason IS NOT NULL "
+            "UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, value, 'invalid_message' FROM messages "
+            f"WHERE NOT ({valid_msgs}) AND trim(value) <> ''"
+        ),
+        "stream_staged": (
+            f"{_with(_RAW_VISITS, _IN_MESSAGES, _CLEANSE, _MESSAGES)} SELECT 'raw' AS zone, value AS content FROM messages "
+            f"UNION ALL SELECT 'cleansed', {content} FROM cleansed UNION ALL SELECT 'curated', {content} FROM cleansed"
+        ),
+        "stream_flush_metrics": (
+            f"{_with(_RAW_VISITS, _IN_MESSAGES, _MESSAGES, reasons)}, "
+            f"dropped AS (SELECT COUNT(*) AS n FROM messages WHERE NOT ({valid_msgs})), "
+            "sent AS (SELECT COUNT(*) AS n FROM messages) "
+            "SELECT any_value(sent.n) AS events, COUNT(*) + any_value(dropped.n) AS rows_before, "
+            "COUNT(*) FILTER (WHERE reason IS NULL) AS rows_after, "
+            "COUNT(*) FILTER (WHERE reason = 'missing_required') + any_value(dropped.n) AS missing_required, "
+            "COUNT(*) FILTER (WHERE reason = 'bad_date') AS bad_date, "
+            "COUNT(*) FILTER (WHERE reason = 'invalid_code') AS invalid_code, any_value(dropped.n) AS invalid_messages "
+            "FROM reasons, dropped, sent"
+        ),
+        "incremental_lanes": (
+            f"{_with(_RAW_VISITS, _BLANK_CSV, _CLEANSE)} SELECT {curated_blank} FROM cleansed"
+        ),
+        "incremental_report": f"{report} SELECT * FROM report {_REPORT_ORDER}",
         "stream_raw_sink": (
             f"{msgs} SELECT value FROM messages "
             "UNION ALL SELECT 'null' AS value FROM raw_visits_id WHERE event_id % 50 = 47"

@@ -10,8 +10,10 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from vigil.config import VALID_CODES
 from vigil.operators import (
@@ -27,7 +29,8 @@ from vigil.operators import (
     trim_fields,
 )
 from vigil.plans.batch import cleanse_csv_zone, cleanse_jsonl_zone, curate_zone, load_direct
-from vigil.schema import REPORT, VISIT_RAW
+from vigil.plans.incremental_report import refresh_report
+from vigil.schema import MESSAGE_TEXT, REPORT, VISIT_CLEANSED, VISIT_RAW
 from vigil.session import work_dir
 from vigil.sinks.files import encode_json, write_csv, write_curated, write_lines, write_report_csv
 from vigil.sources.catalog import (
@@ -38,11 +41,21 @@ from vigil.sources.catalog import (
     register_table,
     scan_table,
 )
-from vigil.sources.files import read_cleansed_csv, read_csv, read_curated, read_jsonl
+from vigil.sources.files import read_cleansed_csv, read_csv, read_curated, read_jsonl, read_outcomes
 from vigil.sources.fixture import raw_visits, read_events, visit_messages
 from vigil.sources.messages import message_quality, valid_messages
-from vigil.sources.topic import read_message_files
-from vigil.streaming.ingest import run_to_end, stream_curate, stream_raw
+from vigil.sources.topic import read_message_files, read_raw_stream
+from vigil.streaming.incremental import incremental_csv, incremental_jsonl
+from vigil.streaming.ingest import QUALITY_METRICS, run_to_end, stream_curate, stream_raw
+from vigil.streaming.metrics import FlushMetrics, read_metrics
+from vigil.streaming.staged import (
+    Zones,
+    lane_of,
+    read_staged_cleansed,
+    read_staged_raw,
+    stage_batch,
+    stream_staged,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -133,15 +146,43 @@ def zone_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One zone with files of two column orders, six and seven columns, read by their own headers."""
+    """One zone with files of three layouts, read by their own headers: canonical, reversed, and 72 columns wide with
+    names in upper case."""
     zone = f"{work_dir(spark, 'csv_by_header')}/raw"
     raw = raw_visits(_events(spark, sf_dir), keep_event_id=True)
     names = [f.name for f in VISIT_RAW]
     write_csv(raw.filter("event_id % 2 = 0").select(*names), zone, keep_padding=True)
-    write_csv(raw.filter("event_id % 2 <> 0").select(*names[-2::-1]), zone, mode="append", keep_padding=True)
+    write_csv(raw.filter("event_id % 4 = 1").select(*names[-2::-1]), zone, mode="append", keep_padding=True)
+    fill = [F.lit("0").alias(f"note_{i}") for i in range(66)]
+    write_csv(raw.filter("event_id % 4 = 3").select(*fill, *[F.col(n).alias(n.upper()) for n in names[:-1]]), zone,
+              mode="append", keep_padding=True)
     return read_csv(spark, zone, by_header=True)
 
 
+def per_file_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that lack a key (CSV without codes, CSV without dates, JSON without diseases) through cleanse and curate."""
+    work = work_dir(spark, "per_file_guard")
+    visits = raw_visits(_events(spark, sf_dir), keep_event_id=True)
+    no_code, no_date, no_disease, whole = [visits.filter(F.col("event_id") % 4 == k).drop("event_id") for k in range(4)]
+    write_csv(no_code.drop("diagnosis_code"), f"{work}/raw", keep_padding=True)
+    write_csv(no_date.drop("visit_date"), f"{work}/raw", mode="append", keep_padding=True)
+    write_lines(encode_json(no_disease.drop("disease")), f"{work}/raw/lines")
+    write_lines(encode_json(whole), f"{work}/raw/lines", mode="append")
+    cleanse_csv_zone(spark, f"{work}/raw", f"{work}/cleansed")
+    cleanse_jsonl_zone(spark, f"{work}/raw", f"{work}/cleansed", suffixes=("txt",))
+    curate_zone(spark, f"{work}/cleansed", f"{work}/curated")
+    return read_curated(spark, f"{work}/curated")
+
+
+def rejects_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What cleansing removed: the rows as they came, or the message text, with the reason."""
+    work = work_dir(spark, "rejects_zone")
+    write_lines(_messages(spark, sf_dir), f"{work}/raw")
+    cleanse_jsonl_zone(spark, f"{work}/raw", f"{work}/cleansed", suffixes=("txt",))
+    rows = read_outcomes(spark, f"{work}/cleansed/jsonl").filter("outcome <> 'kept'")
+    return rows.withColumnRenamed(MESSAGE_TEXT, "message").drop("source")
+
+
 def jsonl_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines (objects, arrays and broken ones) in nested folders, read recursively."""
     zone = f"{work_dir(spark, 'jsonl_scan')}/raw"
@@ -193,6 +234,64 @@ def mixed_lanes_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_curated(spark, curated)
 
 
+def lanes_count_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that a stream landed, offered to the batch lane and to the curate stream: one of them takes each file."""
+    work = work_dir(spark, "lanes_count_once")
+    raw, cleansed, curated, checkpoints = f"{work}/raw", f"{work}/cleansed", f"{work}/curated", f"{work}/_checkpoints"
+    run_to_end(stream_raw(_landed(spark, _messages(spark, sf_dir), f"{work}/landing"), f"{raw}/stream", f"{checkpoints}/raw"))
+    for _ in range(2):
+        cleanse_jsonl_zone(spark, raw, cleansed)
+        curate_zone(spark, cleansed, curated)
+        run_to_end(stream_curate(read_raw_stream(spark, raw, f"{checkpoints}/curate"), curated, f"{checkpoints}/curate"))
+    return read_curated(spark, curated)
+
+
+def replaced_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads that are replaced as units: one by other rows, one by a run that fails inside its write and leaves it."""
+    work = work_dir(spark, "replaced_load")
+    visits = raw_visits(_events(spark, sf_dir), keep_event_id=True)
+    by_lane = [visits.filter(F.col("event_id") % 4 == k).drop("event_id") for k in range(4)]
+    write_csv(by_lane[0], f"{work}/raw", keep_padding=True)
+    cleanse_csv_zone(spark, f"{work}/raw", f"{work}/cleansed")
+    curate_zone(spark, f"{work}/cleansed", f"{work}/curated")
+    load_direct(by_lane[3], f"{work}/curated", "daily")
+    load_direct(by_lane[1], f"{work}/curated", "daily")
+    load_direct(by_lane[2], f"{work}/curated", "kept")
+    broken = by_lane[1].withColumn("county", F.raise_error(F.lit("a planted failure")).cast("string"))
+    try:
+        load_direct(broken, f"{work}/curated", "kept")
+    except SparkRuntimeException as e:
+        if "a planted failure" not in str(e):
+            raise
+    return read_curated(spark, f"{work}/curated")
+
+
+def incremental_lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries of CSV files and one of JSON lines, each taken once by lanes that are run after every delivery."""
+    work = work_dir(spark, "incremental_lanes")
+    raw, cleansed, curated, checkpoints = f"{work}/raw", f"{work}/cleansed", f"{work}/curated", f"{work}/_checkpoints"
+    visits = raw_visits(_events(spark, sf_dir), keep_event_id=True)
+    by_delivery = [visits.filter(F.col("event_id") % 3 == k).drop("event_id") for k in range(3)]
+    for delivery in (0, 1):
+        write_csv(by_delivery[delivery], raw, mode="append", keep_padding=True)
+        if delivery:
+            write_lines(encode_json(by_delivery[2]), f"{raw}/lines")
+        run_to_end(incremental_csv(spark, raw, cleansed, curated, f"{checkpoints}/csv"))
+        run_to_end(incremental_jsonl(spark, raw, cleansed, curated, f"{checkpoints}/jsonl", suffixes=("txt",)))
+    return read_curated(spark, curated)
+
+
+def incremental_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report brought up to date after each of three loads."""
+    work = work_dir(spark, "incremental_report")
+    visits = cleanse(raw_visits(_events(spark, sf_dir), keep_event_id=True).withColumnRenamed("event_id", "source"),
+                     schema=StructType([*VISIT_CLEANSED.fields, StructField("source", LongType())]))
+    for k in range(3):
+        write_curated(visits.filter(F.col("source") % 3 == k).drop("source"), f"{work}/curated", f"load{k}")
+        report = refresh_report(spark, f"{work}/curated", f"{work}/state")
+    return report
+
+
 def report_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = f"{work_dir(spark, 'report_csv')}/reports"
     path = write_report_csv(outbreaks(_cleansed(spark, sf_dir)), base, REPORT_DATE)
@@ -270,6 +369,43 @@ def stream_curate_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_curated(spark, curated)
 
 
+def stream_staged_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every zone of the staged stream, with a micro-batch staged again in between, which adds nothing."""
+    work = work_dir(spark, "stream_staged")
+    zones = Zones(f"{work}/raw", f"{work}/cleansed", f"{work}/curated", f"{work}/flushes")
+    checkpoint = f"{work}/_checkpoint"
+    run_to_end(stream_staged(_landed(spark, _messages(spark, sf_dir), f"{work}/landing"), zones, checkpoint))
+    lane = lane_of(checkpoint)
+    spark.read.text(zones.batch(zones.raw, lane, 0)).write.text(f"{work}/replay")
+    stage_batch(spark.read.text(f"{work}/replay"), 0, zones, lane)
+
+    def content(df: DataFrame, zone: str) -> DataFrame:
+        empty = [F.coalesce(F.col(c), F.lit("")) for c in ("patient_id", "county")]
+        return df.select(F.lit(zone).alias("zone"), F.concat_ws(
+            "|", *empty, F.col("visit_date").cast("string"), "disease", "diagnosis_code").alias("content"))
+
+    raw = read_staged_raw(spark, zones.raw).select(F.lit("raw").alias("zone"), F.col("value").alias("content"))
+    return raw.union(content(read_staged_cleansed(spark, zones.cleansed), "cleansed")).union(
+        content(read_curated(spark, zones.curated), "curated"))
+
+
+def stream_flush_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and cleansing counts of a stream, summed over the rows that its listener left for each flush."""
+    work = work_dir(spark, "stream_flush_metrics")
+    metrics = FlushMetrics(spark, f"{work}/metrics")
+    spark.streams.addListener(metrics)
+    try:
+        source = _landed(spark, _messages(spark, sf_dir), f"{work}/landing")
+        query = run_to_end(stream_curate(source, f"{work}/curated", f"{work}/_checkpoint"))
+        metrics.finished(query.runId)
+    finally:
+        spark.streams.removeListener(metrics)
+    counts = ("rows_before", "rows_after", "missing_required", "bad_date", "invalid_code", "invalid_messages")
+    told = F.from_json("observed", f"{QUALITY_METRICS} struct<{', '.join(f'{c}: long' for c in counts)}>")
+    return read_metrics(spark, f"{work}/metrics").select("events", told[QUALITY_METRICS].alias("q")).agg(
+        F.sum("events").alias("events"), *[F.sum(f"q.{c}").alias(c) for c in counts])
+
+
 QUERIES: dict[str, Query] = {
     "outbreak_report": outbreak_report,
     "trim_fields": trim_fields_q,
@@ -284,6 +420,8 @@ QUERIES: dict[str, Query] = {
     "code_table_filter": code_table_filter,
     "csv_scan": csv_scan,
     "csv_by_header": csv_by_header,
+    "per_file_guard": per_file_guard,
+    "rejects_zone": rejects_zone,
     "zone_scan": zone_scan,
     "jsonl_scan": jsonl_scan,
     "valid_json_filter": valid_json_filter,
@@ -291,10 +429,16 @@ QUERIES: dict[str, Query] = {
     "publish_json": publish_json,
     "curate_parquet": curate_parquet,
     "mixed_lanes_scan": mixed_lanes_scan,
+    "lanes_count_once": lanes_count_once,
+    "replaced_load": replaced_load,
+    "incremental_lanes": incremental_lanes,
+    "incremental_report": incremental_report,
     "report_csv": report_csv,
     "external_table_scan": external_table_scan,
     "table_outbreak_report": table_outbreak_report,
     "catalog_listing": catalog_listing,
     "stream_raw_sink": stream_raw_sink,
     "stream_curate": stream_curate_q,
+    "stream_staged": stream_staged_q,
+    "stream_flush_metrics": stream_flush_metrics,
 }

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import ArrayType, DateType, LongType, StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
 
 from vigil.config import PREFERRED_COLUMNS
 
 # Marks the row that stands for a message that is not valid JSON.
 INVALID_MESSAGE = "_invalid_message"
+# The text of a message that is not valid JSON.
+MESSAGE_TEXT = "_message"
+# Keys that the row's file (or micro-batch) lacks altogether, whose rules do not apply: a bit a required column.
+ABSENT_KEYS = "_absent_keys"
 
 
 def _visit(date_type, time_type) -> StructType:
@@ -21,9 +25,6 @@ def _visit(date_type, time_type) -> StructType:
 # files read positionally next to 7-column ones get null there.
 VISIT_RAW = _visit(StringType(), StringType())
 
-# Raw JSON message parse target: an array of visits (a lone object is an array of one).
-VISIT_MESSAGE = ArrayType(VISIT_RAW)
-
 # Cleansed visit: dates parsed, the event time still the text it arrived as.
 VISIT_CLEANSED = _visit(DateType(), StringType())
 

@@ -102,14 +102,49 @@ def holds_file(spark: SparkSession, path: str, pattern: str | None, recursive: b
     if fs.getFileStatus(p).isFile():
         return True
     accept = spark._jvm.org.apache.hadoop.fs.GlobFilter(pattern or "*")
+    root = str(fs.makeQualified(p).toString())
     files = fs.listFiles(p, recursive)
     while files.hasNext():
         name = files.next().getPath()
-        if not name.getName().startswith(("_", ".")) and accept.accept(name):
+        below = str(name.toString())[len(root):].split("/")
+        if not any(part.startswith(("_", ".")) for part in below) and accept.accept(name):
             return True
     return False
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, made in one step; one that is there stays."""
+    fs, p = _hadoop_path(spark, path)
+    if not fs.exists(p):
+        fs.create(p, True).close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of all files below a folder; none where there is no such folder."""
+    fs, p = _hadoop_path(spark, path)
+    out: list[str] = []
+    if fs.exists(p):
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            name = files.next().getPath()
+            if not name.getName().endswith(".crc"):
+                out.append(str(name.toString()))
+    return out
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the folders in a folder."""
+    fs, p = _hadoop_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [str(f.getPath().toString()) for f in fs.listStatus(p) if f.isDirectory()]
+
+
 # Work folders named by this process, in order.
 _NAMED: list[str] = []
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from vigil.functions import json_text
 from vigil.operators.curation import curate
 from vigil.session import path_exists
+from vigil.loads import new_version, switch, version_path
 from vigil.sources.files import BATCH
 
 
@@ -32,6 +33,13 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", keep_padding: b
     return path
 
 
+def write_outcomes(df: DataFrame, path: str) -> str:
+    """Rows with their ``outcome`` (see ``operators.rules.outcomes``) as CSV, a folder an outcome, in one pass."""
+    df.write.mode("overwrite").partitionBy("outcome").option("header", "true").option(
+        "ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    return path
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """One JSON object per line, nulls written as ``null``; files end in ``.json``."""
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
@@ -47,25 +55,23 @@ def write_lines(df: DataFrame, path: str, column: str = "value", mode: str = "ov
 def write_curated(df: DataFrame, path: str, load: str, rebalance: bool = True) -> str:
     """Curated Parquet partitioned by ``visit_date``, as one load of the zone's batch folder.
 
-    A load is a folder of its own: writing it again replaces it as a unit,
-    and no other load, nor the stream's output, is touched. Late visits are a
-    new load, whatever their dates. A folder that a stream writes to is
-    refused.
+    A load written again is replaced as a unit, by a switch after its new
+    version is whole (``vigil.loads``): a run that fails leaves the
+    earlier rows. No other load, nor the stream's output, is touched. Late
+    visits are a new load, whatever their dates. A folder that a stream
+    writes to is refused.
     """
     spark = df.sparkSession
-    target = f"{path.rstrip('/')}/{BATCH}/load={load}"
-    for owned in (path.rstrip("/"), f"{path.rstrip('/')}/{BATCH}", target):
+    root = f"{path.rstrip('/')}/{BATCH}"
+    for owned in (path.rstrip("/"), root):
         if path_exists(spark, f"{owned}/_spark_metadata"):
             raise ValueError(f"{owned} holds a stream's output; a batch load must not write there")
     out = curate(df)
     if rebalance:
         out = out.hint("rebalance", "visit_date")
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("visit_date")
-        .parquet(target)
-    )
+    version = new_version(load)
+    out.write.mode("errorifexists").partitionBy("visit_date").parquet(version_path(root, load, version))
+    switch(spark, root, load, version)
     return path
 
 

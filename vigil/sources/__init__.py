@@ -9,10 +9,10 @@ from vigil.sources.catalog import (
     register_table,
     scan_table,
 )
-from vigil.sources.files import EmptyZoneError, read_cleansed_csv, read_csv, read_curated, read_jsonl, require_files
+from vigil.sources.files import EmptyZoneError, read_cleansed_csv, read_csv, read_curated, read_jsonl, read_outcomes, require_files
 from vigil.sources.fixture import load_raw_visits, load_visit_messages, raw_visits, visit_messages
 from vigil.sources.messages import message_quality, parse_messages, valid_messages
-from vigil.sources.topic import read_message_files, read_topic, topic_options
+from vigil.sources.topic import read_message_files, read_raw_stream, read_topic, topic_options
 
 __all__ = [
     "EmptyZoneError",
@@ -30,6 +30,8 @@ __all__ = [
     "read_curated",
     "read_jsonl",
     "read_message_files",
+    "read_outcomes",
+    "read_raw_stream",
     "read_topic",
     "refresh_table",
     "register_table",

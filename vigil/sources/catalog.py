@@ -8,6 +8,7 @@ from vigil.config import DEFAULT_DATABASE, DEFAULT_TABLE
 from vigil.operators.rules import conform
 from vigil.schema import VISIT, ddl
 from vigil.session import path_exists, qualified
+from vigil.loads import current_versions
 from vigil.sources.files import BATCH, STREAM
 
 
@@ -50,24 +51,27 @@ def register_table(
 ) -> str:
     """The curated zone as a table: one external table a writer, and a view of both under the table's name.
 
-    The batch loads are partitioned by load and ``visit_date``, and found
-    with ``recoverPartitions``; the stream's output is served from its sink's
-    commit log. Idempotent: existing tables over the same location are only
+    The batch table is partitioned by load, version and ``visit_date``; its
+    partitions follow the folders, and the view takes the current version of
+    each load. The stream's output is served from its sink's commit log. Idempotent: existing tables over the same location are only
     refreshed. Call it (or ``refresh_table``) after each new load.
     """
     name = f"`{database}`.`{table}`"
     create_schema(spark, database)
     root = location.rstrip("/")
-    batch = _external(spark, database, f"{table}_{BATCH}", ddl(VISIT) + ", `load` STRING", "load, visit_date",
-                      f"{root}/{BATCH}", replace)
+    batch = _external(spark, database, f"{table}_{BATCH}", ddl(VISIT) + ", `load` STRING, `version` STRING",
+                      "load, version, visit_date", f"{root}/{BATCH}", replace)
+    if path_exists(spark, f"{root}/{BATCH}"):
+        spark.sql(f"MSCK REPAIR TABLE {batch} SYNC PARTITIONS")
+    # Stamps are unique over all loads; a filter on a partition column prunes the versions that do not count.
+    versions = ", ".join(f"'{v}'" for v in current_versions(spark, f"{root}/{BATCH}").values()) or "''"
     parts = [batch]
     if spark.catalog.tableExists(f"{database}.{table}_{STREAM}") or path_exists(spark, f"{root}/{STREAM}"):
         parts.append(_external(spark, database, f"{table}_{STREAM}", ddl(VISIT), "visit_date", f"{root}/{STREAM}",
                                replace))
     columns = ", ".join(f"`{f.name}`" for f in VISIT.fields)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS " + " UNION ALL ".join(f"SELECT {columns} FROM {p}" for p in parts))
-    if path_exists(spark, f"{root}/{BATCH}"):
-        spark.catalog.recoverPartitions(batch)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS " + " UNION ALL ".join(
+        f"SELECT {columns} FROM {p}" + (f" WHERE `version` IN ({versions})" if p == batch else "") for p in parts))
     for part in parts:
         spark.catalog.refreshTable(part)
     return name

@@ -12,13 +12,16 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from vigil.functions import suffix_glob
-from vigil.operators.rules import conform
-from vigil.schema import VISIT, VISIT_CLEANSED, VISIT_RAW
+from vigil.operators.rules import BAD_DATE, INVALID_CODE, KEPT, MISSING_REQUIRED, NOT_JSON, absent_mask, conform
+from vigil.schema import ABSENT_KEYS, MESSAGE_TEXT, VISIT, VISIT_CLEANSED, VISIT_RAW
 from vigil.session import holds_file, path_exists
-from vigil.sources.messages import parse_messages
+from vigil.loads import current_versions, version_path
+from vigil.sources.headers import layouts, scan_layout, zone_reader
+from vigil.sources.ledger import file_key
+from vigil.sources.messages import mark_absent_keys, parse_messages
 
 
 class EmptyZoneError(RuntimeError):
@@ -28,24 +31,6 @@ class EmptyZoneError(RuntimeError):
 BATCH, STREAM = "batch", "stream"  # folders of the curated zone, by writer
 
 
-def _zone(spark: SparkSession, path: str | Sequence[str], suffixes: Sequence[str] | None, recursive: bool):
-    """Reader and paths for a zone listing.
-
-    Flat (the top folder only): the suffix becomes a path glob, so sub
-    folders are not even listed. Recursive: every file below the folder,
-    filtered by name with ``pathGlobFilter``.
-    """
-    paths = [path] if isinstance(path, str) else list(path)
-    reader = spark.read
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-        if suffixes:
-            reader = reader.option("pathGlobFilter", suffix_glob(*suffixes))
-    elif suffixes:
-        paths = [f"{p.rstrip('/')}/{suffix_glob(*suffixes)}" for p in paths]
-    return reader, paths
-
-
 def _load(what: str, load):
     try:
         return load()
@@ -61,35 +46,22 @@ def require_files(spark: SparkSession, path: str, suffixes: Sequence[str] | None
         raise EmptyZoneError(f"no matching file in {path}")
 
 
-_PLACES = 64  # places of a headed file that are looked at
-
-
-def _by_header(reader, paths: list[str], options: dict[str, str], schema: StructType, keep_source: bool) -> DataFrame:
-    """Files of any column order: each row is read by place and named by its own file's header.
-
-    A header is the first line of its file and holds two or more of the
-    schema's names, as no row of data does; there is one small row a file of
-    them, joined with the rows by file. Names beyond the schema are ignored,
-    absent ones are null; a file without a header is an error.
-    """
-    places = StructType([StructField(f"_c{i}", StringType()) for i in range(_PLACES)])
-    cells = F.array(*[F.col(f.name) for f in places])
-    # Names are compared without the padding that data cells keep.
-    rows = reader.options(**{**options, "header": "false"}).schema(places).csv(paths).select(
-        cells.alias("_cells"), F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_at"))
+def _by_header(spark: SparkSession, path, suffixes, recursive: bool, options: dict[str, str], schema: StructType,
+               keep_source: bool, mark_absent: bool) -> DataFrame:
+    """Files of any column order and width: one scan a layout, see ``vigil.sources.headers``."""
     names = [f.name for f in schema.fields]
-    filled = F.filter("_cells", lambda c: c.isNotNull())
-    known = F.filter(filled, lambda c: F.trim(c).isin(names))
-    marked = rows.withColumn("_header", (F.size(known) >= 2) & (F.col("_at") == 0))
-    heads = marked.filter("_header").groupBy("_file").agg(
-        F.min(F.transform("_cells", F.trim)).alias("_names")).withColumnRenamed("_file", "_of")
-    joined = marked.filter("NOT _header").join(heads, F.col("_file") == F.col("_of"), "left")
-    place = F.when(F.col("_names").isNull(), F.raise_error(F.concat(F.lit("no header in "), F.col("_file"))).cast("int"))
-    source = [F.col("_file").alias("source")] if keep_source else []
-    return joined.select(*source, *[
-        F.get("_cells", place.otherwise(F.coalesce(F.array_position("_names", n), F.lit(0)).cast("int") - 1))
-        .cast(schema[n].dataType).alias(n) for n in names])
+    out = None
+    for layout in layouts(spark, path, suffixes, recursive, options, names):
+        extra = [F.col("_metadata.file_path").alias("source")] if keep_source else []
+        rows = scan_layout(spark, layout, options, schema, extra)
+        if mark_absent:
+            rows = rows.withColumn(ABSENT_KEYS, F.lit(absent_mask(n for n in names if n not in layout.places)))
+        out = rows if out is None else out.union(rows)
+    if out is not None:
+        return out
+    fields = [StructField("source", StringType())] if keep_source else []
+    fields += [*schema.fields, *([StructField(ABSENT_KEYS, IntegerType())] if mark_absent else [])]
+    return spark.createDataFrame([], StructType(fields))
 
 
 def read_csv(
@@ -101,20 +73,24 @@ def read_csv(
     by_header: bool = False,
     options: dict[str, str] | None = None,
     keep_source: bool = False,
+    mark_absent: bool = False,
 ) -> DataFrame:
     """CSV with a header row.
 
     By default columns are matched by *position* (for files that this
     library wrote: the canonical order puts the one optional column last, so
     6- and 7-column files mix). With ``by_header=True`` every file is read by
-    the names in its own header, whatever their order, as text in the
-    schema's columns (``keep_source`` adds the file's path). ``options`` go to the CSV reader, e.g.
-    ``{"escape": '"'}`` for files that double quotes inside quoted fields
-    (RFC 4180) rather than Spark's backslash.
+    the names in its own header, whatever their order, number and case, as
+    text in the schema's columns; ``keep_source`` adds the file's path, and
+    ``mark_absent`` the keys that the row's file lacks, which switches their
+    rules off. ``options`` go to the CSV reader, e.g. ``{"escape": '"'}`` for
+    files that double quotes inside quoted fields (RFC 4180) rather than
+    Spark's backslash.
     """
-    reader, paths = _zone(spark, path, suffixes, recursive)
     if by_header:
-        return _load(str(path), lambda: _by_header(reader, paths, options or {}, schema, keep_source))
+        return _load(str(path), lambda: _by_header(spark, path, suffixes, recursive, options or {}, schema,
+                                                   keep_source, mark_absent))
+    reader, paths = zone_reader(spark, path, suffixes, recursive)
     reader = reader.option("header", "true").options(**(options or {}))
     return _load(str(path), lambda: reader.schema(schema).csv(paths))
 
@@ -124,6 +100,43 @@ def read_cleansed_csv(spark: SparkSession, path: str, **kw) -> DataFrame:
     return read_csv(spark, path, schema=VISIT_CLEANSED, **kw)
 
 
+_OUTCOME = StructType([StructField("source", StringType()), StructField(MESSAGE_TEXT, StringType())])
+
+
+def read_kept(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The cleansed visits of lanes written by ``write_outcomes``; only their ``kept`` folders are listed and read."""
+    kept = [f"{p}/outcome={KEPT}" for p in paths if path_exists(spark, f"{p}/outcome={KEPT}")]
+    if not kept:
+        return spark.createDataFrame([], VISIT_CLEANSED)
+    schema = StructType([*VISIT_CLEANSED.fields, *_OUTCOME.fields])
+    return spark.read.option("header", "true").schema(schema).csv(kept).select(*VISIT_CLEANSED.fieldNames())
+
+
+def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
+    """A lane written by ``write_outcomes``: all rows as text, with ``source``, the message text and ``outcome``.
+
+    ``outcome`` is a partition column: a filter on it lists and reads the
+    folders it needs only. ``outcome <> 'kept'`` is the quarantine.
+    """
+    schema = StructType([*VISIT_RAW.fields, *_OUTCOME.fields, StructField("outcome", StringType())])
+    if not holds_file(spark, path, suffix_glob("csv"), True):
+        return spark.createDataFrame([], schema)
+    return spark.read.option("header", "true").schema(schema).csv(path)
+
+
+def outcome_quality(rows: DataFrame) -> DataFrame:
+    """Before / after / removed counts per source of rows with an outcome, as ``quality`` gives them from raw rows."""
+    def count(*names: str):
+        return F.count_if(F.col("outcome").isin(*names))
+
+    return rows.groupBy("source").agg(
+        F.count(F.lit(1)).alias("rows_before"), count(KEPT).alias("rows_after"),
+        F.count_if(F.col("outcome") != KEPT).alias("rows_removed"),
+        # A message that is no JSON lacks what is required.
+        count(MISSING_REQUIRED, NOT_JSON).alias(MISSING_REQUIRED), count(BAD_DATE).alias(BAD_DATE),
+        count(INVALID_CODE).alias(INVALID_CODE))
+
+
 def read_jsonl(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -131,29 +144,45 @@ def read_jsonl(
     recursive: bool = True,
     keep_source: bool = False,
     mark_invalid: bool = False,
+    mark_absent: bool = False,
+    keep_message: bool = False,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """JSON-lines visits: one message per line, blank lines skipped; see ``parse_messages``.
 
     Read as text and parsed with ``from_json`` against the raw schema, the
     same parse the stream uses, so batch and stream keep the same rows.
+    ``mark_absent`` adds the keys that no message of the row's file has,
+    which switches their rules off; it costs one more scan of the lines.
+    ``only`` (one column, ``file``) restricts the files.
     """
-    reader, paths = _zone(spark, path, suffixes, recursive)
+    reader, paths = zone_reader(spark, path, suffixes, recursive)
     lines = _load(str(path), lambda: reader.text(paths))
-    if keep_source:
-        lines = lines.select("value", lines["_metadata.file_path"].alias("source"))
-    lines = lines.filter(F.trim("value") != "")
-    return parse_messages(lines, keep=["source"] if keep_source else (), mark_invalid=mark_invalid)
+    lines = lines.select("value", lines["_metadata.file_path"].alias("source")).filter(F.trim("value") != "")
+    if only is not None:
+        lines = lines.join(only, file_key(F.col("source")) == only["file"], "left_semi")
+    kept = ["source"] if keep_source else []
+    if mark_absent:
+        lines, kept = mark_absent_keys(lines, "source"), [*kept, ABSENT_KEYS]
+    return parse_messages(lines, keep=kept, mark_invalid=mark_invalid, keep_message=keep_message)
 
 
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
     """The curated zone (Parquet, partitioned by ``visit_date``) in canonical order: batch loads and stream output.
 
     The stream's folder is read through its sink's commit log, the batch
-    folder as its loads stand. Filters on ``visit_date`` prune partitions;
-    other filters are pushed to the Parquet reader.
+    folder by the current version of each load. Filters on ``visit_date``
+    prune partitions; other filters are pushed to the Parquet reader.
     """
-    found = [f"{path.rstrip('/')}/{w}" for w in (BATCH, STREAM) if path_exists(spark, f"{path.rstrip('/')}/{w}")]
-    if not found:
+    root = path.rstrip("/")
+    parts = []
+    versions = current_versions(spark, f"{root}/{BATCH}")
+    if versions:
+        paths = [version_path(f"{root}/{BATCH}", load, version) for load, version in versions.items()]
+        parts.append(spark.read.schema(VISIT).option("basePath", f"{root}/{BATCH}").parquet(*paths))
+    if path_exists(spark, f"{root}/{STREAM}"):
+        parts.append(spark.read.schema(VISIT).parquet(f"{root}/{STREAM}"))
+    if not parts:
         raise EmptyZoneError(f"nothing curated in {path}")
-    parts = [conform(spark.read.schema(VISIT).parquet(p), VISIT) for p in found]
+    parts = [conform(p, VISIT) for p in parts]
     return parts[0] if len(parts) == 1 else parts[0].union(parts[1])

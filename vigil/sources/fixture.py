@@ -31,8 +31,8 @@ DISEASES = {
 HOSPITAL_SUFFIXES = (" North Ward", " South Ward", " Dispensary", " Day Clinic")
 # Onset: Mombasa malaria before this date stays there only where event_id % 10 == 1, else it is elsewhere.
 ONSET_COUNTY, ONSET_DISEASE, ONSET_DATE, ELSEWHERE = "Mombasa", "Malaria", "2024-01-15", "Kilifi"
-# Extra messages, planted by event_id % 50, next to every visit's own: four broken ones, and the visit again in an array.
-EXTRA_MESSAGES = {11: "truncated", 23: "number", 37: "blank", 41: "array", 47: "null"}
+# Extra messages, planted by event_id % 50, next to every visit's own: six that are no visit, and the visit again in an array.
+EXTRA_MESSAGES = {5: "trailing", 11: "truncated", 23: "number", 29: "double", 37: "blank", 41: "array", 47: "null"}
 # ---------------------------------------------------------------------------
 
 
@@ -89,6 +89,8 @@ def raw_visits(events: DataFrame, keep_event_id: bool = False) -> DataFrame:
 
 
 _EXTRA_SQL = {
+    "trailing": "concat(_valid, ' x')",
+    "double": "concat(_valid, ' ', _valid)",
     "truncated": "substring(_valid, 1, length(_valid) - 1)",
     "number": "CAST(event_id AS STRING)",
     "blank": "''",
@@ -101,8 +103,9 @@ def visit_messages(events: DataFrame) -> DataFrame:
     """Topic stand-in: one JSON message (``value``) per raw visit, plus extra ones.
 
     Every raw visit is encoded; in addition, rows picked by
-    ``event_id % 50`` emit one more message each: a truncated object, a bare
-    number, a blank, ``null``, or an array that holds the visit again. One
+    ``event_id % 50`` emit one more message each: an object with text after
+    it or with another one, a truncated one, a bare number, a blank,
+    ``null``, or an array that holds the visit again. One
     scan, one ``explode``, no shuffle.
     """
     raw = raw_visits(events, keep_event_id=True)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.config import LakeConfig
+from vigil.sources.ledger import batch_files, file_key, start_stream
 
 
 # Stand-in for "never flush by time": only a full batch (or the final drain) triggers.
@@ -65,3 +66,16 @@ def read_message_files(spark: SparkSession, path: str, max_files_per_trigger: in
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path)
+
+
+def read_raw_stream(spark: SparkSession, raw_path: str, checkpoint: str,
+                    max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming frame of the messages that ``stream_raw`` landed, less the files that the batch lane owns."""
+    start_stream(spark, raw_path, checkpoint)
+    folder = f"{raw_path.rstrip('/')}/stream"
+    lines = read_message_files(spark, folder, max_files_per_trigger)
+    owned = batch_files(spark, raw_path)
+    if owned is None:
+        return lines
+    lines = lines.select("value", file_key(F.col("_metadata.file_path")).alias("file"))
+    return lines.join(owned, "file", "left_anti").select("value")

@@ -10,7 +10,10 @@ report rescans the whole table.
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
+from threading import Event
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -112,3 +115,25 @@ def run_to_end(query: StreamingQuery, timeout_s: float | None = None) -> Streami
     if query.exception() is not None:
         raise query.exception()
     return query
+
+
+def run_until_stopped(start: Callable[[bool], StreamingQuery], stop: Event, poll_s: float = 0.5,
+                      border_s: float = 60.0) -> StreamingQuery:
+    """A long-running query with a last flush: runs until ``stop`` is set, then drains what is waiting.
+
+    ``start(drain)`` starts the query on its checkpoint. A micro-batch that
+    is running when ``stop`` is set is given ``border_s`` seconds to end; one
+    that takes longer is cut off and done again by the drain, which its sink
+    allows.
+    """
+    query = start(False)
+    while query.isActive and not stop.wait(poll_s):
+        pass
+    waited = 0.0
+    while query.isActive and query.status["isTriggerActive"] and waited < border_s:
+        time.sleep(0.05)
+        waited += 0.05
+    query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+    return run_to_end(start(True))
