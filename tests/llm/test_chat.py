@@ -67,6 +67,11 @@ def test_spans_and_masks_point_into_the_rendered_dialogue(spark):
                 assert r.name == r.perspective
 
 
+def test_many_turns_with_one_number_or_none(spark):
+    rows = [(1, 7, "ab"[i % 2], f"text {i}") for i in range(3000)] + [(1, None, "a", f"lost {i % 5}") for i in range(500)]
+    assert run(spark, rows) == brute(rows)
+
+
 def test_query_matches_its_sql(spark):
     ok, message = compare(chat.op4_rotate(spark, SF_SMALL), duck(SF_SMALL), chat.ORACLE)
     assert ok, message

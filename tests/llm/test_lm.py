@@ -52,6 +52,54 @@ def test_nothing_to_learn_from_and_empty_table(spark):
     assert lm.score_texts(edge.documents(spark, []), F.lit(True)).count() == 0
 
 
+def test_words_with_equal_counts_are_listed_up_to_the_bound(spark, monkeypatch):
+    monkeypatch.setattr(lm, "FREQUENT", 40)
+    monkeypatch.setattr(lm, "SHORT_LIST", 25)
+    end = int(lm.END.astype(np.int64))
+    equal = spark.createDataFrame([(end, 7), *[(i, 3) for i in range(1, 401)]], "h long, c long")
+    listed = {r.h for r in lm.frequent_words(equal).collect()}
+    assert end in listed and 15 <= len(listed) <= 60
+    some = spark.createDataFrame([(end, 7), *[(i, 3) for i in range(1, 401)], *[(1000 + i, 50) for i in range(30)]], "h long, c long")
+    assert {r.h for r in lm.frequent_words(some).collect()} == {end, *range(1000, 1030)}
+
+
+def test_one_training_step_matches_the_written_out_objective(monkeypatch):
+    """Each example: its word against the batch's noise words, by logistic loss; then one Adagrad step."""
+    rng = np.random.default_rng(3)
+    n, width, noise_words = 6, 4, 5
+    monkeypatch.setattr(lm, "NOISE", noise_words)
+    p = rng.dirichlet(np.ones(n))
+    model = lm.Bilinear(np.log(p), width)
+    model.table += rng.normal(0, 0.2, model.table.shape).astype(np.float32)
+    before = model.table.astype(float).copy()
+    w, one, two = rng.integers(0, n, 8), rng.integers(0, n + 1, 8), rng.integers(0, n + 1, 8)
+    squares = np.full(model.table.shape, 0.01, np.float32)
+    touched = np.zeros(len(model.table))
+    model.train(w, one, two, 0.1, np.random.default_rng(9), squares, touched)
+    draws = np.random.default_rng(9).random(noise_words)
+    sums = np.cumsum(np.exp(np.log(p).astype(np.float32).astype(float)))
+    noise = [min(int(np.searchsorted(sums, d * sums[-1])), n - 1) for d in draws]
+
+    def loss(table):
+        left, mix, right = table[:n + 1], table[n + 1:n + 3], table[n + 3:]
+        total = 0.0
+        for y, a, b in zip(w, one, two, strict=True):
+            for k, (word, real) in enumerate([(y, True), *[(x, False) for x in noise]]):
+                s = sum((left[a][i] * mix[0][i] + left[b][i] * mix[1][i]) * right[word][i] for i in range(width))
+                s += right[word][width] - math.log(noise_words) - math.log(p[word])
+                total += math.log1p(math.exp(-s)) if real else math.log1p(math.exp(s))
+        return total / len(w)
+
+    gradient = np.zeros_like(before)
+    for at in np.ndindex(before.shape):
+        up, down = before.copy(), before.copy()
+        up[at] += 1e-5
+        down[at] -= 1e-5
+        gradient[at] = (loss(up) - loss(down)) / 2e-5
+    want = before - 0.1 * gradient / np.sqrt(0.01 + gradient ** 2)
+    assert np.allclose(model.table, want, atol=2e-4)
+
+
 def test_class_probabilities_add_up_to_one():
     model = lm.Bilinear(np.log(np.random.default_rng(1).dirichlet(np.ones(20))))
     near, far, total = model.scores()

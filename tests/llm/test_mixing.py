@@ -38,7 +38,8 @@ def expected(rows):
     goal = targets(sizes)
     by_source = defaultdict(list)
     for doc, source, text in rows:
-        key = hashlib.md5(f"{mixing.SEED}:{'' if doc is None else doc}".encode()).hexdigest()
+        tie = hashlib.md5((text or "").encode()).hexdigest()
+        key = hashlib.md5(f"{mixing.SEED}:{'' if doc is None else doc}:{tie}".encode()).hexdigest()
         by_source[source].append((key, doc if doc is not None else -1, len(edge.words(text)), doc))
     out = Counter()
     for source, docs in by_source.items():
@@ -53,7 +54,7 @@ def expected(rows):
 
 
 def plan(spark, docs):
-    got = mixing.plan_mix(docs, word_count(F.col("text"))).collect()
+    got = mixing.plan_mix(docs, word_count(F.col("text")), mixing.content_tie(F.col("text"))).collect()
     return Counter((r.doc_id, r.mix_size, r.mix_source_size, round(r.mix_target, 6), r.mix_taken) for r in got)
 
 
@@ -84,6 +85,27 @@ def test_mix_holds_the_planned_words(spark):
     assert all(any(" ".join(edge.words(x)).startswith(t) for x in whole if x) for t in cut)
 
 
+def test_columns_named_like_those_at_work_come_through(spark):
+    names = ("_text", "mix_size", "mix_taken", "_part", "_take", "row", "size", "source_size", "target", "taken", "key", "of",
+             "part", "range", "start", "before", "head", "take", "id", "a.b")
+    rows = [(i, f"w{i} " * 30, "ab"[i % 2], *[f"{n}{i}" for n in names]) for i in range(40)]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    got = mixing.mix_documents(docs)
+    assert got.columns == docs.columns
+    extra = {r[0]: r[3:] for r in rows}
+    assert all(tuple(r)[3:] == extra[r.doc_id] for r in got.collect())
+
+
+def test_null_ids_are_spread_over_many_ranges(spark):
+    docs = spark.createDataFrame([(None, f"text {i}", "s") for i in range(3000)], "doc_id long, text string, source string")
+    key = F.md5(F.concat_ws(":", F.lit(mixing.SEED), F.lit(""), mixing.content_tie(F.col("text"))))
+    largest = docs.groupBy(F.substring(key, 1, mixing.KEY_DIGITS)).count().agg(F.max("count")).first()[0]
+    assert largest < 15
+    assert sum(r.mix_taken for r in mixing.plan_mix(docs, word_count(F.col("text")), mixing.content_tie(
+        F.col("text"))).collect()) == 6000
+
+
 def test_targets_stop_and_reshare(spark):
     rng = random.Random(7)
     for _ in range(8):

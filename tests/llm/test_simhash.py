@@ -49,6 +49,16 @@ def test_one_row_of_each_group_stays(spark):
     assert ids == Counter({i for (i, _), r in zip(rows, roots, strict=True) if i is not None and i == r})
 
 
+def test_columns_named_like_those_at_work_come_through(spark):
+    names = ("_stay_id", "_own_id", "_own_version", "_stay_version", "row", "bits", "version", "component_id", "a.b")
+    rows = [(i, f"some words that repeat {i // 2} and more {i // 2}", *[f"{n}{i}" for n in names]) for i in range(20)]
+    rows.append((None, "no id", *names))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    got = simhash.drop_near_duplicates(docs)
+    assert got.columns == docs.columns
+    assert {tuple(r) for r in got.collect()} <= set(rows) and {r[0] for r in got.collect()} >= {None, 0}
+
+
 def test_empty_table(spark):
     assert simhash.near_duplicates(edge.documents(spark, [])).count() == 0
     assert simhash.drop_near_duplicates(edge.documents(spark, [])).count() == 0

@@ -79,6 +79,48 @@ def test_one_class_or_no_labels(spark):
     assert {r.predicted for r in toxicity.score_toxicity(docs, only).collect()} == {1}
 
 
+def test_model_matches_counts_and_probabilities_by_hand(spark, monkeypatch):
+    """Continuation counts and interpolated probabilities from dictionaries of words, at the least bars."""
+    monkeypatch.setattr(toxicity, "MIN_COUNT", 1)
+    monkeypatch.setattr(toxicity, "MIN_Z", 0.0)
+    monkeypatch.setattr(toxicity, "MIN_RATIO", 1.0)
+    rows, labels = corpus(40)
+    _, model = fit(spark, rows, labels)
+    seen = {}  # (class, v, w) -> words before v; a word before the first is ^
+    for (_, text), (_, toxic) in zip(rows, labels, strict=True):
+        held = ["^", "^", *edge.words(edge.lower(text))]
+        for u, v, w in zip(held, held[1:], held[2:], strict=False):
+            seen.setdefault((v, w), {}).setdefault(u, set()).add(toxic)
+    pairs = {k: [sum(c in t for t in us.values()) for c in (0, 1)] for k, us in seen.items()}
+    words, begun = {}, {}
+    for (v, w), n in pairs.items():
+        for c in (0, 1):
+            words.setdefault(w, [0, 0, 0])[c] += n[c] > 0
+            begun.setdefault(v, [0, 0])[c] += n[c]
+        words[w][2] += 1
+    totals = [sum(n[c] for n in words.values()) for c in (0, 1)]
+    places, types = sum(n[2] for n in words.values()), len(words)
+    d = toxicity.DISCOUNT
+
+    def word_p(w, c):
+        rest = 1 - sum(max(n[c] - d, 0) / totals[c] for n in words.values())
+        return max(words[w][c] - d, 0) / totals[c] + rest * (words[w][2] + 1) / (places + types + 1)
+
+    def share(v, w, c):
+        return max(pairs[v, w][c] - d, 0) / max(begun[v][c], 1)
+
+    def p(v, w, c):
+        left = 1.0
+        if v in words:
+            left = max(1 - sum(share(a, b, c) for a, b in pairs if a == v), 1e-6)
+        return (share(v, w, c) if v in words else 0.0) + left * word_p(w, c)
+
+    for _, text in rows[:6]:
+        held = ["^", *edge.words(edge.lower(text))][:14]
+        want = np.mean([np.log(p(v, w, 1) / p(v, w, 0)) for v, w in zip(held, held[1:], strict=False)])
+        assert np.isclose(model.ratios(pa.array([" ".join(held[1:])]))[0], want, atol=1e-9)
+
+
 def test_ratio_is_that_of_the_probabilities(spark):
     rows, labels = corpus()
     _, model = fit(spark, rows, labels)

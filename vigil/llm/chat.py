@@ -5,8 +5,10 @@ one of them as the assistant and the others as named users. Every turn is a
 row with its place and its character span in the rendered dialogue; the loss
 mask covers the text and the end mark of the assistant's turns.
 
-Places and spans are prefix sums, taken over ranges of turns first and then
-inside each range, so a conversation of any length is split over tasks.
+Places and spans are prefix sums. The turns are range-sorted once, by
+conversation, number, name and text; sums are taken over the ranges first
+and then inside each, so a conversation of any length, with whatever numbers
+its turns have, is split over tasks.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from .common import read_table, stored
 OPEN, CLOSE, END = "<|", "|>", "<|end|>\n"
 # -------------------------------------------------------------------------------
 SYSTEM_ROLES = ("system",)
-TURNS_PER_RANGE = 256
+_PART_BITS = 33  # monotonically_increasing_id: the partition is above these bits, the place in it below
 
 
 def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
@@ -47,8 +49,12 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     base = turns.select(
         F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
         F.coalesce(F.col(role_col).cast("string"), F.lit("unknown")).alias("name"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), conv.alias("conv"),
-        F.coalesce(F.floor(F.col(turn_col) / TURNS_PER_RANGE), F.lit(-(1 << 62))).cast("long").alias("range"))
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), conv.alias("conv"))
+    # Equal turns cannot be told apart: the last key only deals them out.
+    keys = ("conv", "turn", "name", "text", "_row")
+    base = base.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    base = stored(base.drop("_row").withColumn("at", F.monotonically_increasing_id()), "chat-turns").withColumn(
+        "range", F.shiftright("at", _PART_BITS))
     is_system = F.col("name").isin(*system_roles)
     own = F.col("name") == F.col("perspective")
 
@@ -71,8 +77,7 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     seen = base.join(starts, (F.col("conv") == F.col("_conv")) & (F.col("range") == F.col("_range"))).withColumn(
         "chat_role", chat_role).withColumn("head", F.concat(F.lit(OPEN), label, F.lit(CLOSE + "\n")))
     seen = seen.withColumn("size", (F.length("head") + F.length("text") + len(END)).cast("long"))
-    inside = Window.partitionBy("conv", "perspective", "range").orderBy(
-        F.col("turn").asc_nulls_first(), "name", "text").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("conv", "perspective", "range").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     placed = seen.withColumn("position", F.col("n_before") + F.count(F.lit(1)).over(inside)).withColumn(
         "char_start", F.col("chars_before") + F.coalesce(F.sum("size").over(inside), F.lit(0))).withColumn(
         "rendered", F.concat("head", "text", F.lit(END)))

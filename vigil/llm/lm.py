@@ -62,14 +62,22 @@ def token_counts(texts: DataFrame) -> DataFrame:
 
 
 def frequent_words(vocabulary: DataFrame) -> DataFrame:
-    """Of (h, c) the end and the most frequent words: all from a count on that at most ``FREQUENT`` words reach."""
+    """Of (h, c) the end and the most frequent words: all from a count on that at most ``FREQUENT`` words reach.
+
+    Where these are fewer than the classes, because many words share the
+    next count, those of them with the smallest hash are taken too.
+    """
     step = F.floor(F.log2(F.col("c").cast("double")) * 16).cast("int")
     bins = sorted((r[0], r[1]) for r in vocabulary.groupBy(step.alias("step")).count().collect())
     room, low = FREQUENT, 1 << 20
     while bins and bins[-1][1] <= room:
         low, size = bins.pop()
         room -= size
-    return vocabulary.filter((step >= low) | (F.col("h") == int(END.astype(np.int64))))
+    listed = step >= low
+    if FREQUENT - room < SHORT_LIST and bins:
+        ranked = F.pmod(F.xxhash64("h"), F.lit(1 << 20))  # uniform: the share stays below the room left
+        listed = listed | (step == bins[-1][0]) & (ranked < int((1 << 20) * 0.9 * room / bins[-1][1]))
+    return vocabulary.filter(listed | (F.col("h") == int(END.astype(np.int64))))
 
 
 def contexts(classes: np.ndarray, first: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import read_table, stored, without, word_count, words_of
+from .common import read_table, stored, word_count, words_of
 
 WEIGHTS = (1, 2, 3)  # of the sources in code-point order, repeating
 MAX_EPOCHS = 3  # a target stops at this many times its source's size
@@ -53,78 +53,91 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epo
     )
 
 
-def plan_mix(docs: DataFrame, size: Column, id_col: str = "doc_id", source_col: str = "source",
-             weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """``docs`` with ``mix_size``, ``mix_source_size``, ``mix_target`` and ``mix_taken`` (words taken, repeats counted).
+def _planned(docs: DataFrame, size: Column, tie: Column, id_col: str, source_col: str, weights: tuple[int, ...],
+             max_epochs: int, seed: str) -> DataFrame:
+    """(row, size, source_size, target, taken): the input's row as one struct, so that no name of it can clash."""
+    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), tie))
+    base = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(size, F.lit(0)).cast("long").alias("size"),
+        F.col(id_col).alias("id"), F.col(source_col).alias("of"), key.alias("key"))
+    base = base.withColumn("part", F.substring("key", 1, KEY_DIGITS))
 
-    A null size counts 0; a null source is a source of its own, the last one;
-    a null id has the key of the empty string. Ties of the key are broken by
-    id and size; repeated rows are counted one by one. An empty table gives
-    an empty result. Input columns named like the added ones are replaced.
-    """
-    base = without(docs.withColumn("_mix_size", F.coalesce(size, F.lit(0)).cast("long")), *ADDED)
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    base = base.withColumn("_mix_source", F.col(source_col)).withColumn("_mix_key", key)
-    base = base.withColumn("_mix_range", F.substring("_mix_key", 1, KEY_DIGITS))
-
-    ranges = base.groupBy(F.col("_mix_source").alias("source"), F.col("_mix_range").alias("range")).agg(
-        F.sum("_mix_size").alias("range_size"))
-    ranges = stored(ranges, "mix-ranges")
+    ranges = stored(base.groupBy(F.col("of").alias("source"), F.col("part").alias("range")).agg(
+        F.sum("size").alias("range_size")), "mix-ranges")
     targets = source_targets(ranges.groupBy("source").agg(F.sum("range_size").alias("source_size")),
                              weights, max_epochs)
     up_to = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranges.withColumn("_mix_start", F.coalesce(F.sum("range_size").over(up_to), F.lit(0)))
+    starts = ranges.withColumn("start", F.coalesce(F.sum("range_size").over(up_to), F.lit(0)))
     starts = starts.join(targets.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).select(
-        F.col("source").alias("_r_source"), F.col("range").alias("_r_range"), "_mix_start",
-        F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"))
-
-    placed = base.join(starts, F.col("_mix_source").eqNullSafe(F.col("_r_source"))
-                       & (F.col("_mix_range") == F.col("_r_range")))
-    inside = Window.partitionBy("_mix_source", "_mix_range").orderBy("_mix_key", id_col, "_mix_size").rowsBetween(
-        Window.unboundedPreceding, -1)
-    before = F.col("_mix_start") + F.coalesce(F.sum("_mix_size").over(inside), F.lit(0))
-    budget = F.floor("mix_target")
-    epochs = F.when(F.col("mix_source_size") > 0, F.expr("floor(mix_target) div mix_source_size")).otherwise(F.lit(0))
-    rest = budget - epochs * F.col("mix_source_size")
-    cut = F.greatest(F.lit(0), F.least(F.col("_mix_size"), rest - F.col("_mix_before")))
-    keep = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ADDED]
-    return placed.withColumn("_mix_before", before).select(
-        *keep, F.col("_mix_size").alias("mix_size"), "mix_source_size", "mix_target",
-        (epochs * F.col("_mix_size") + cut).cast("long").alias("mix_taken"))
-
-
-def mix_documents(docs: DataFrame, text_col: str = "text", **options) -> DataFrame:
+        "source", "range", "start", "source_size", "target")
+
+    placed = base.join(starts, F.col("of").eqNullSafe(F.col("source")) & (F.col("part") == F.col("range")))
+    inside = Window.partitionBy("of", "part").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumn("before", F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    epochs = F.when(F.col("source_size") > 0, F.expr("floor(target) div source_size")).otherwise(F.lit(0))
+    rest = F.floor("target") - epochs * F.col("source_size")
+    cut = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("before")))
+    return placed.select("row", "size", "source_size", "target", (epochs * F.col("size") + cut).cast("long").alias("taken"))
+
+
+def plan_mix(docs: DataFrame, size: Column, tie: Column | None = None, id_col: str = "doc_id",
+             source_col: str = "source", weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS,
+             seed: str = SEED) -> DataFrame:
+    """``docs`` with ``mix_size``, ``mix_source_size``, ``mix_target`` and ``mix_taken`` (words taken, repeats counted).
+
+    A null size counts 0; a null source is a source of its own, the last
+    one. A document's key hashes its id and ``tie``, a text that tells apart
+    documents with null or repeated ids (such as a digest of their content);
+    what is still equal is ordered by id and size, and repeated rows are
+    counted one by one. An empty table gives an empty result. Input columns
+    named like the added ones are replaced.
+    """
+    plan = _planned(docs, size, F.lit("") if tie is None else tie, id_col, source_col, weights, max_epochs, seed)
+    keep = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c.lower() not in ADDED]
+    return plan.select(*keep, *[F.col(n.removeprefix("mix_")).alias(n) for n in ADDED])
+
+
+def content_tie(text: Column) -> Column:
+    """Digest of a document's text, for ``plan_mix``."""
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
+def mix_documents(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", source_col: str = "source",
+                  weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a document taken ``k`` times is there ``k`` times.
 
     The one document a source that the budget cuts gets one more row that
     holds only its first words, joined by one space. Documents without a
     word are not in the mix (there is nothing to take). ``n_chars``, where
-    there is such a column, follows the text of a cut row.
+    there is such a column, follows the text of a cut row; all other columns
+    come through as they are, whatever their names.
     """
-    plan = plan_mix(docs, word_count(F.col(text_col)), **options)
-    whole = F.when(F.col("mix_size") > 0, F.expr("mix_taken div mix_size")).otherwise(F.lit(0)).cast("int")
-    part = F.when(F.col("mix_size") > 0, F.col("mix_taken") % F.col("mix_size")).otherwise(F.lit(0))
-    parts = F.concat(
-        F.array_repeat(F.lit(0).cast("long"), whole),
-        F.when(F.col("_part") > 0, F.array(F.col("_part"))).otherwise(F.array().cast("array<long>")))
-    rows = plan.withColumn("_part", part.cast("long")).withColumn("_take", F.explode(parts))
-    head = F.array_join(F.slice(words_of(F.col(text_col)), 1, F.greatest(F.col("_take"), F.lit(1)).cast("int")), " ")
-    text = F.when(F.col("_take") > 0, head).otherwise(F.col(text_col))
-    out = rows.withColumn("_text", text)
+    words = F.col(text_col)
+    plan = _planned(docs, word_count(words), content_tie(words), id_col, source_col, weights, max_epochs, seed)
+    whole = F.when(F.col("size") > 0, F.expr("taken div size")).otherwise(F.lit(0)).cast("int")
+    part = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(F.lit(0)).cast("long")
+    parts = F.concat(F.array_repeat(F.lit(0).cast("long"), whole),
+                     F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<long>")))
+    rows = plan.select("row", F.explode(parts).alias("take"))
+    whole_text = F.col(f"row.`{text_col}`")
+    head = F.array_join(F.slice(words_of(whole_text), 1, F.greatest(F.col("take"), F.lit(1)).cast("int")), " ")
+    rows = rows.withColumn("head", F.when(F.col("take") > 0, head))
 
     def column(c: str) -> Column:
+        own = F.col(f"row.`{c}`")
         if c == text_col:
-            return F.col("_text").alias(c)
+            return F.coalesce("head", own).alias(c)
         if c == "n_chars":
-            return F.when(F.col("_take") > 0, F.length("_text").cast("long")).otherwise(F.col(c)).alias(c)
-        return F.col(f"`{c}`")
+            return F.coalesce(F.length("head").cast("long"), own).alias(c)
+        return own.alias(c)
 
-    return out.select(*[column(c) for c in docs.columns if c.lower() not in ADDED])
+    return rows.select(*[column(c) for c in docs.columns])
 
 
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("words"))
-    return plan_mix(stored(docs, "op10-sizes"), F.col("words")).select(
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "source", word_count(F.col("text")).alias("words"), content_tie(F.col("text")).alias("tie"))
+    return plan_mix(stored(docs, "op10-sizes"), F.col("words"), F.col("tie")).select(
         "doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"),
         F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
 
@@ -133,7 +146,7 @@ ORACLE = f"""
 WITH sized AS (
   SELECT doc_id, source,
          len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
-         md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+         md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS key
   FROM documents),
 src AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

@@ -241,13 +241,14 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits
     found = near_duplicates(docs, shingle, max_bits, id_col, text_col)
     stay = found.filter("doc_id = component_id").groupBy(F.col("doc_id").alias("_stay_id")).agg(
         F.min("version").alias("_stay_version"))
-    marked = docs.withColumn("_own_id", F.col(id_col).cast("long")).withColumn(
-        "_own_version", F.hash(F.col(text_col).cast("string")))
+    # The input's row is one struct, so that no name of it can clash.
+    marked = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         F.col(id_col).cast("long").alias("_own_id"), F.hash(F.col(text_col).cast("string")).alias("_own_version"))
     # Sorted and merged at every size: the texts move once, whatever the number of groups.
     kept = marked.join(stay.hint("merge"), (F.col("_own_id") == F.col("_stay_id"))
                        & (F.col("_own_version") == F.col("_stay_version")), "left_semi")
     kept = kept.dropDuplicates(["_own_id", "_own_version"])
-    return kept.unionByName(marked.filter("_own_id IS NULL")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return kept.union(marked.filter("_own_id IS NULL")).select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
