@@ -15,7 +15,6 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from urllib.parse import unquote
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -53,8 +52,10 @@ def zone_reader(spark: SparkSession, path: str | Sequence[str], suffixes: Sequen
     return reader, paths
 
 
-def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _first_lines(batches: Iterator) -> Iterator:
     """The first line that is not blank of the one file of a task; the rest is not read."""
+    import pyarrow as pa
+
     for batch in batches:
         for value, file in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if value.strip():
