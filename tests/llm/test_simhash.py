@@ -88,6 +88,20 @@ def test_trie_join_links_all_within_the_budget(spark, limit):
     assert edge.find_all(len(values), links) == edge.find_all(len(values), every)
 
 
+def test_shuffled_and_broadcast_subtree_pairs_give_the_same_links(spark, monkeypatch):
+    values = clustered(4, 30).view(np.int64).tolist()
+    prints = spark.createDataFrame([(v,) for v in set(values)], "bits long")
+
+    def groups():
+        links = simhash.fingerprint_links(prints, 3, 40).collect()
+        index = {v: k for k, v in enumerate(sorted(set(values)))}
+        return edge.find_all(len(index), [(index[r.u], index[r.v]) for r in links])
+
+    shared = groups()
+    monkeypatch.setattr(simhash, "BROADCAST_PAIRS", 0)
+    assert groups() == shared
+
+
 def test_trie_join_of_many_close_fingerprints_is_whole():
     values = np.unique(np.array([(a << 40) | (1 << b) | (1 << c) for a in range(2) for b in range(30)
                                  for c in range(30)], np.uint64))

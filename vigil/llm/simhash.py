@@ -25,7 +25,7 @@ from .words import slices
 SHINGLE_WORDS = 3
 MAX_BITS = 3
 HASH_SEED = 42
-SUBTREE_ROWS = 500_000  # fingerprints in a subtree of the top cut, at most (down to CUT_BITS)
+SUBTREE_ROWS = 4_000_000  # fingerprints in a subtree of the top cut, at most (down to CUT_BITS): the fewer, the more copies
 LEAST_SUBTREES = 8  # of the top cut, about, however few rows there are
 CUT_BITS = 16  # the cut lies within so many bits
 BROADCAST_PAIRS = 500_000  # rows (of 24 bytes) of subtree pairs up to which they are broadcast
@@ -158,15 +158,31 @@ def cut_trie(counts: dict[int, int], limit: int, bits: int = CUT_BITS) -> list[t
     return sorted(out, key=lambda x: x[0] << (bits - x[1]))
 
 
-def subtree_pairs(nodes: list[tuple[int, int]], budget: int) -> list[tuple[int, int, int]]:
-    """Pairs (index, index, common depth) of cut nodes whose common bits differ in at most ``budget``."""
+def subtree_pairs(spark: SparkSession, nodes: list[tuple[int, int]], budget: int) -> DataFrame:
+    """(node, low, high, depth): the pairs of cut nodes whose common bits differ in at most ``budget``, for each of the two.
+
+    The cut, at most 2**CUT_BITS nodes, is sent to the tasks; each makes the
+    pairs of some of them, so their number, which grows faster than the cut,
+    is nowhere held at once.
+    """
     prefix, depth = (np.array(x, np.int64) for x in zip(*nodes, strict=True))
-    out = []
-    for i in range(len(nodes)):
-        low = np.minimum(depth[i:], depth[i])
-        near = np.bitwise_count((prefix[i] >> (depth[i] - low)) ^ (prefix[i:] >> (depth[i:] - low))) <= budget
-        out += [(i, i + int(j), int(low[j])) for j in np.flatnonzero(near)]
-    return out
+    starts = np.array([p << (64 - d) for p, d in nodes], np.uint64).view(np.int64)
+    sent = spark.sparkContext.broadcast((prefix, depth, starts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        prefix, depth, starts = sent.value
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                low = np.minimum(depth[i:], depth[i])
+                near = np.bitwise_count((prefix[i] >> (depth[i] - low)) ^ (prefix[i:] >> (depth[i:] - low))) <= budget
+                j = np.flatnonzero(near)  # the first is the node itself
+                node = np.concatenate([np.full(len(j), i), i + j[1:]])
+                other = np.concatenate([j, j[1:]])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node.astype(np.int32)), pa.array(np.full(len(node), starts[i])), pa.array(starts[i + other]),
+                     pa.array(low[other].astype(np.int32))], names=["node", "low", "high", "depth"])
+
+    return spark.range(len(nodes)).mapInArrow(run, "node int, low long, high long, depth int")
 
 
 def fingerprint_links(prints: DataFrame, budget: int = MAX_BITS, subtree_rows: int = SUBTREE_ROWS) -> DataFrame:
@@ -182,15 +198,13 @@ def fingerprint_links(prints: DataFrame, budget: int = MAX_BITS, subtree_rows: i
     total = sum(counts.values())
     nodes = cut_trie(counts, min(subtree_rows, -(-total // LEAST_SUBTREES))) if counts else [(0, 0)]
     starts = [p << (64 - d) for p, d in nodes]
-    signed = np.array(starts, np.uint64).view(np.int64).tolist()
     owner = [(p, int(i)) for p, i in zip(counts, np.searchsorted(
         np.array(starts, np.uint64), np.array(list(counts), np.uint64) << np.uint64(64 - CUT_BITS), "right") - 1,
         strict=True)]
-    pairs = [(k, signed[i], signed[j], d) for i, j, d in subtree_pairs(nodes, budget) for k in dict.fromkeys((i, j))]
-    groups = spark.createDataFrame(pairs, "node int, low long, high long, depth int")
+    groups = stored(subtree_pairs(spark, nodes, budget), "simhash-pairs")
     owners = spark.createDataFrame(owner, "p long, node int")  # 2**CUT_BITS rows at most
     # The few subtrees would be few join keys; their pairs are broadcast as long as they are small.
-    near = F.broadcast(groups) if len(pairs) <= BROADCAST_PAIRS else groups
+    near = F.broadcast(groups) if groups.count() <= BROADCAST_PAIRS else groups
     spread = prints.select("bits", top.alias("p")).join(F.broadcast(owners), "p").join(near, "node")
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
