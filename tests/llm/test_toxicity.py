@@ -79,12 +79,15 @@ def test_one_class_or_no_labels(spark):
     assert {r.predicted for r in toxicity.score_toxicity(docs, only).collect()} == {1}
 
 
-def test_model_matches_counts_and_probabilities_by_hand(spark, monkeypatch):
-    """Continuation counts and interpolated probabilities from dictionaries of words, at the least bars."""
-    monkeypatch.setattr(toxicity, "MIN_COUNT", 1)
-    monkeypatch.setattr(toxicity, "MIN_Z", 0.0)
-    monkeypatch.setattr(toxicity, "MIN_RATIO", 1.0)
-    rows, labels = corpus(40)
+def test_model_matches_counts_and_probabilities_by_hand(spark):
+    """Continuation counts, discounts and interpolated probabilities from dictionaries of words."""
+    rows, labels = corpus(160)
+    rng = random.Random(2)
+    for k, (i, text) in enumerate(rows):
+        w = text.split()
+        for _ in range(6 if labels[k][1] else 0):
+            w[rng.randrange(len(w))] = "utter fool"
+        rows[k] = (i, " ".join(w))
     _, model = fit(spark, rows, labels)
     seen = {}  # (class, v, w) -> words before v; a word before the first is ^
     for (_, text), (_, toxic) in zip(rows, labels, strict=True):
@@ -100,14 +103,21 @@ def test_model_matches_counts_and_probabilities_by_hand(spark, monkeypatch):
         words[w][2] += 1
     totals = [sum(n[c] for n in words.values()) for c in (0, 1)]
     places, types = sum(n[2] for n in words.values()), len(words)
-    d = toxicity.DISCOUNT
+    pair_totals = [sum(n[c] for n in pairs.values()) for c in (0, 1)]
+
+    def own(n, c, totals):
+        ratio = totals[c] / totals[1 - c]
+        expected = (n[0] + n[1]) * totals[c] / sum(totals)
+        return max(n[c] - toxicity.FACTOR * ratio * n[1 - c]
+                   - toxicity.DEVIATIONS * (max(expected, 1) * (1 + ratio)) ** 0.5, 0)
+
+    rests = [1 - sum(own(n, c, totals) / totals[c] for n in words.values()) for c in (0, 1)]
 
     def word_p(w, c):
-        rest = 1 - sum(max(n[c] - d, 0) / totals[c] for n in words.values())
-        return max(words[w][c] - d, 0) / totals[c] + rest * (words[w][2] + 1) / (places + types + 1)
+        return own(words[w], c, totals) / totals[c] + rests[c] * (words[w][2] + 1) / (places + types + 1)
 
     def share(v, w, c):
-        return max(pairs[v, w][c] - d, 0) / max(begun[v][c], 1)
+        return own(pairs[v, w], c, pair_totals) / max(begun[v][c], 1)
 
     def p(v, w, c):
         left = 1.0
@@ -115,8 +125,11 @@ def test_model_matches_counts_and_probabilities_by_hand(spark, monkeypatch):
             left = max(1 - sum(share(a, b, c) for a, b in pairs if a == v), 1e-6)
         return (share(v, w, c) if v in words else 0.0) + left * word_p(w, c)
 
-    for _, text in rows[:6]:
-        held = ["^", *edge.words(edge.lower(text))][:14]
+    assert len(model.pairs) and own(words["utter"], 1, totals) > 0
+    assert words["fool"][1] == 1 and own(words["fool"], 1, totals) == 0  # a continuation count: it follows one word
+    assert all(own(n, c, totals) == 0 for n in words.values() for c in (0, 1) if n[c] < toxicity.DEVIATIONS)
+    for _, text in rows[:9]:
+        held = ["^", *edge.words(edge.lower(text))][:40]
         want = np.mean([np.log(p(v, w, 1) / p(v, w, 0)) for v, w in zip(held, held[1:], strict=False)])
         assert np.isclose(model.ratios(pa.array([" ".join(held[1:])]))[0], want, atol=1e-9)
 

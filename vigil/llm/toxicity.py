@@ -3,13 +3,14 @@
 Each class has a pair model that backs off to the class's word model, which
 backs off to one word model shared by both classes. All counts are
 Kneser-Ney continuation counts: after how many different words an expression
-was seen, so copies of a passage count once. A class keeps an expression of
-its own only where the classes' counts differ beyond chance and by a clear
-factor (``MIN_Z`` standard deviations, ``MIN_RATIO``); all others, the rare
-ones above all, are left to the shared backoff, so they say nothing about
-the class. A document's mean log-likelihood ratio over its words is turned
-into a probability by a logistic curve fitted on the training documents,
-with its middle at the cut that errs least there.
+was seen, so copies of a passage count once. Every expression's count in a
+class is discounted and the discounts go to the shared backoff. The discount
+is what the shared counts explain (``discounted``), not one constant: with a
+constant one, every pair seen once in a class speaks for it, and those pairs
+drown the others. So rare expressions are smoothed by the shared counts, and
+no bar selects expressions. A document's mean log-likelihood ratio over its
+words is turned into a probability by a logistic curve fitted on the training
+documents, with its middle at the cut that errs least there.
 
 The classifier is fitted on a bounded sample of the labelled rows
 (``SAMPLE_DOCS`` a class, those of the smallest hash), so its size is
@@ -24,17 +25,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table, stored
 from .words import BASE, hash_words, mix, slices, split_words
 
 SAMPLE_DOCS = 5_000  # training documents of each class, at most
-MIN_Z = 4.0  # expressions whose class counts differ less are left to the shared backoff
-MIN_RATIO = 4.0  # ... and so are those whose shares differ by a smaller factor
-MIN_COUNT = 5  # ... or that were seen in fewer places
-DISCOUNT = 0.75
+FACTOR = 2.0  # a class count's discount: so many times what the other class lets expect ...
+DEVIATIONS = 4.0  # ... and so many standard deviations of the difference
 START = np.uint64(0x5851F42D4C957F2D)  # stands before a text's first word
 HELD_OUT = 5  # documents whose crc32 modulo this is 0 are never learnt from
 
@@ -110,40 +109,44 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * ratios + self.bias, -500, 500)))
 
 
-def apart(counts: np.ndarray, totals: np.ndarray) -> np.ndarray:
-    """Whether the counts (ordinary, toxic) of each expression differ beyond chance, given the classes' totals."""
-    both = counts.sum(axis=1)
-    share = totals[1] / max(totals.sum(), 1)
-    expected = both * share
-    z = np.abs(counts[:, 1] - expected) / np.sqrt(np.maximum(expected * (1 - share), 1e-9))
-    rate = (counts + 0.5) / np.maximum(totals, 1)
-    factor = np.exp(np.abs(np.log(rate[:, 1] / rate[:, 0])))
-    return (z >= MIN_Z) & (factor >= MIN_RATIO) & (both >= MIN_COUNT)
-
-
-def build(words: pd.DataFrame, pairs: pd.DataFrame, word_totals: np.ndarray, pair_totals: np.ndarray,
-          types: int, distinct: int) -> Model:
-    """Model from candidate words (w, other, toxic, places, and those of the pairs that they begin: other_in, toxic_in)
-    and pairs (v, w, other, toxic), and the totals over all."""
-    n = words[["other", "toxic"]].to_numpy(float)
-    own_word = apart(n, word_totals)
-    pairs = pairs[apart(pairs[["other", "toxic"]].to_numpy(float), pair_totals)]
-    used = own_word | words["w"].isin(pairs["v"]).to_numpy() | words["w"].isin(pairs["w"]).to_numpy()
-    words, n, own_word = words[used], n[used], own_word[used]
-    order = np.argsort(words["w"].to_numpy(np.int64).view(np.uint64))
-    words, n, own_word = words.iloc[order], n[order], own_word[order]
+def discounted(total_other: int, total_toxic: int) -> list[Column]:
+    """Columns (own_other, own_toxic): the counts ``other`` and ``toxic`` of an expression less their discounts.
+
+    A discount is ``FACTOR`` times what the other class's count lets expect, at the classes' totals, and
+    ``DEVIATIONS`` standard deviations of the difference between the two, were the classes alike. Without counts of
+    the other class nothing can be told apart, so nothing is kept.
+    """
+    total = max(total_other + total_toxic, 1)
+    both = F.col("other") + F.col("toxic")
+    out = []
+    for name, own, rival, rivals in (("other", total_other, "toxic", total_toxic),
+                                     ("toxic", total_toxic, "other", total_other)):
+        ratio = own / max(rivals, 1)
+        spread = F.sqrt(F.greatest(both * F.lit(own / total), F.lit(1.0)) * F.lit(1 + ratio))
+        kept = F.col(name) - F.col(rival) * F.lit(FACTOR * ratio) - spread * F.lit(DEVIATIONS)
+        out.append((F.greatest(kept, F.lit(0.0)) if own and rivals else F.lit(0.0)).alias(f"own_{name}"))
+    return out
+
+
+def build(words: pd.DataFrame, pairs: pd.DataFrame, word_totals: np.ndarray, types: int, distinct: int) -> Model:
+    """Model from the expressions that keep a count of their own; all others are their shared backoff as a whole.
+
+    words (w, own_other, own_toxic, places, and the counts of the pairs they begin: other_in, toxic_in) hold the words
+    of the pairs (v, w, own_other, own_toxic) too; the totals are over all words.
+    """
+    words = words.iloc[np.argsort(words["w"].to_numpy(np.int64).view(np.uint64))]
     h = words["w"].to_numpy(np.int64).view(np.uint64)
-    own = np.where(own_word[:, None], np.maximum(n - DISCOUNT, 0), 0) / np.maximum(word_totals, 1)
+    own = words[["own_other", "own_toxic"]].to_numpy(float) / np.maximum(word_totals, 1)
     rest = 1 - own.sum(axis=0)
     shared = (words["places"].to_numpy(float) + 1) / (types + distinct + 1)
     word_p = np.vstack([own + rest * shared[:, None], rest])  # last: a word of neither, whose shared part cancels
     pv, pw = (pairs[c].to_numpy(np.int64).view(np.uint64) for c in ("v", "w"))
     at = np.searchsorted(h, pv)
     at[at == len(h)] = 0
-    real = h[at] == pv if len(h) else np.zeros(len(pv), bool)
-    pv, pw, at, pn = pv[real], pw[real], at[real], pairs[["other", "toxic"]].to_numpy(float)[real]
+    real = h[at] == pv if len(h) else np.zeros(len(pv), bool)  # the start of a text is no word
+    pv, pw, at = pv[real], pw[real], at[real]
     begun = words[["other_in", "toxic_in"]].to_numpy(float)
-    share = np.maximum(pn - DISCOUNT, 0) / np.maximum(begun[at], 1)
+    share = pairs[["own_other", "own_toxic"]].to_numpy(float)[real] / np.maximum(begun[at], 1)
     left = np.ones((len(h) + 1, 2))
     np.subtract.at(left, at, share)
     key = pair_key(pv, pw)
@@ -214,10 +217,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     words = stored(words.join(begun, F.col("w") == F.col("_v"), "left").drop("_v").fillna(0), "toxicity-words")
     word_sums = words.agg(F.sum("other"), F.sum("toxic"), F.sum("places"), F.count(F.lit(1))).first()
     pair_sums = pairs.agg(F.sum("other"), F.sum("toxic")).first()
-    a, b, c, d, e, f = (x or 0 for x in (*word_sums, *pair_sums))
-    seen = F.col("other") + F.col("toxic") >= MIN_COUNT
-    model = build(words.filter(seen).toPandas(), pairs.filter(seen).toPandas(), np.array([a, b], float),
-                  np.array([e, f], float), c, d)
+    other, toxic, places, distinct, other_pairs, toxic_pairs = (x or 0 for x in (*word_sums, *pair_sums))
+    own = "own_other > 0 OR own_toxic > 0"
+    own_pairs = pairs.select("v", "w", *discounted(other_pairs, toxic_pairs)).filter(own)
+    ends = own_pairs.select(F.explode(F.array("v", "w")).alias("_end")).distinct()
+    own_words = words.select("*", *discounted(other, toxic)).join(ends, F.col("w") == F.col("_end"), "left").filter(
+        f"{own} OR _end IS NOT NULL")
+    model = build(own_words.toPandas(), own_pairs.toPandas(), np.array([other, toxic], float), places, distinct)
     fitted = _ratios(sample.select("toxic", "text"), model, "toxic boolean").toPandas()
     model.slope, model.bias = logistic_fit(fitted["ratio"].to_numpy(float), fitted["toxic"].to_numpy(float))
     return model
