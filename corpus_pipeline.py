@@ -2,7 +2,8 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
 written as Parquet and read again as the next stage's ``docs``. All but the
-last return the columns of ``documents``.
+last return the columns of ``documents``. An empty ``documents`` gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +20,11 @@ from vigil.session import drop_work_dirs, work_dirs
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the toxicity model rejects, fitted on the labelled ones that are not held out."""
+    """Drops the documents that the toxicity model rejects, fitted on the labelled ones that are not held out.
+
+    Null and blank texts are judged as the middle ordinary training document is; repeated rows share one verdict, and
+    without labels every document stays.
+    """
     return drop_toxic(docs, train_on_tables(docs, read_table(spark, sf_dir, "labels")))
 
 

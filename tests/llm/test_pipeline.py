@@ -71,6 +71,12 @@ def test_run_applies_all_stages(spark):
     assert got.count() > 0
 
 
+def test_an_empty_table_gives_no_rows(spark, tmp_path):
+    for name in ("documents", "labels"):
+        read_table(spark, edge.SF_SMALL, name).limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_entry_registers_the_queries():
     names = __spark_entry__.queries()
     assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13

@@ -67,7 +67,11 @@ def test_edge_rows_have_scores(spark):
     assert len(got) == len(edge.texts())
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
     blank = {r.score for r in got if r.doc_id in (4, 5, 6)}
-    assert len(blank) == 1
+    assert len(blank) == 1 and blank.pop() < 0.5
+    model.bias = 50.0  # even where a ratio of 0 lies beyond the cut
+    model.blank = -100.0 / model.slope
+    kept = toxicity.drop_toxic(edge.documents(spark), model).collect()
+    assert {4, 5, 6} <= {r.doc_id for r in kept} and None in {r.doc_id for r in kept if r.text is None}
     assert toxicity.score_toxicity(edge.documents(spark, []), model).count() == 0
 
 

@@ -82,12 +82,13 @@ class Model:
     pair_p: np.ndarray  # their discounted share
     slope: float = 1.0
     bias: float = 0.0
+    blank: float = 0.0  # ratio of a text without words
 
     def ratios(self, texts: pa.Array) -> np.ndarray:
-        """Mean log-likelihood ratio of each text (0 without words)."""
+        """Mean log-likelihood ratio of each text (``blank`` without words)."""
         w, v, doc = words_and_contexts(texts)
         if not len(w):
-            return np.zeros(len(texts))
+            return np.full(len(texts), self.blank)
         place = np.searchsorted(self.words, w)
         place[place == len(self.words)] = 0
         known = self.words[place] == w if len(self.words) else np.zeros(len(w), bool)
@@ -103,7 +104,8 @@ class Model:
             hit = self.pairs[at] == key
             p[both[hit]] += self.pair_p[at[hit]]
         n = np.bincount(doc, minlength=len(texts))
-        return np.bincount(doc, np.log(p[:, 1] / p[:, 0]), len(texts)) / np.maximum(n, 1)
+        mean = np.bincount(doc, np.log(p[:, 1] / p[:, 0]), len(texts)) / np.maximum(n, 1)
+        return np.where(n > 0, mean, self.blank)
 
     def score(self, ratios: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * ratios + self.bias, -500, 500)))
@@ -226,6 +228,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     model = build(own_words.toPandas(), own_pairs.toPandas(), np.array([other, toxic], float), places, distinct)
     fitted = _ratios(sample.select("toxic", "text"), model, "toxic boolean").toPandas()
     model.slope, model.bias = logistic_fit(fitted["ratio"].to_numpy(float), fitted["toxic"].to_numpy(float))
+    ordinary = fitted.loc[~fitted["toxic"].astype(bool), "ratio"]
+    model.blank = float(ordinary.median()) if len(ordinary) else 0.0
     return model
 
 
@@ -247,9 +251,9 @@ def _ratios(rows: DataFrame, model: Model, first: str) -> DataFrame:
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, predicted), a row a row.
 
-    Null, empty and blank texts have a ratio of 0 and the score that goes
-    with it. An empty table gives an empty result; other input columns are
-    ignored.
+    Null, empty and blank texts say nothing and are scored as the middle
+    ordinary training document is. An empty table gives an empty result;
+    other input columns are ignored.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -270,7 +274,10 @@ def train_on_tables(docs: DataFrame, labels: DataFrame) -> Model:
 
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` without the rows that the model rejects; columns and repeated rows stay as they are."""
+    """``docs`` without the rows that the model rejects (score 0.5 or more); columns and repeated rows stay as they are.
+
+    Null, empty and blank texts are judged as the middle ordinary training document is.
+    """
     names = docs.columns
     sent = docs.sparkSession.sparkContext.broadcast(model.__dict__)
     at = names.index("text")
