@@ -49,6 +49,9 @@ def passages(seed: int, n: int = 60):
         for _ in range(rng.randrange(4)):
             parts += [rng.choice(shared), edge.prose(rng, rng.randrange(60), 30)]
         rows.append((i, rng.choice([" ", "\n", " \t "]).join(parts)))
+    # A passage whose last word is longer by a byte below the space in another document.
+    low = edge.prose(rng, 60, 30)
+    rows += [(4000, low + " x"), (4001, low + "\x01"), (4002, low), (4003, low + "\x01 y"), (4004, "z " + low)]
     return rows + [(2000 + k, rows[k][1]) for k in range(5)] + [(3000, "a " * 200), (3001, "a " * 150)]
 
 
@@ -100,10 +103,35 @@ def test_sliding_min():
         assert (substrings.sliding_min(x, width) == [x[i:i + width].min() for i in range(501 - width)]).all()
 
 
-def test_subtree_nodes_are_the_repeated_paths():
-    nodes = list(substrings.Subtree([b"a b c d", b"x b c d", b"b c"], [3, 3, 1], 2).deep_nodes())
-    assert [(n[0][0], sorted((t, k) for _, t, k in n)) for n in nodes] == [
-        (b"b c", [(0, 1), (1, 1), (2, 0)]), (b"c d", [(0, 2), (1, 2)])]
+def test_maximal_repeats_of_a_subtree():
+    tree = substrings.Subtree([b"a b c d", b"x b c d", b"b c"], [3, 3, 1], 2)
+    assert sorted((depth, sorted(leaves)) for depth, leaves in ((d, tree.leaves[a:b]) for d, a, b in tree.deep_nodes())) == [
+        (2, [(0, 1), (1, 1), (2, 0)]), (2, [(0, 2), (1, 2)]), (3, [(0, 1), (1, 1)])]
+    # "c d" is part of "b c d" wherever it is.
+    assert sorted((depth, sorted(leaves)) for depth, leaves in tree.maximal_repeats()) == [
+        (2, [(0, 1), (1, 1), (2, 0)]), (3, [(0, 1), (1, 1)])]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_maximal_repeats_match_brute_force(seed):
+    """Every repeated run of words that cannot be extended on either side, and no other; words with bytes below a space too."""
+    rng = random.Random(seed)
+    alphabet = [b"a", b"a\x01", b"b", b"\x00", b"ab"][: rng.randrange(1, 6)]
+    window = rng.randrange(1, 4)
+    texts = [[rng.choice(alphabet) for _ in range(rng.randrange(window, 12))] for _ in range(rng.randrange(1, 6))]
+    places: dict[tuple, set] = {}
+    for t, words in enumerate(texts):
+        for k in range(len(words)):
+            for m in range(window, len(words) - k + 1):
+                places.setdefault(tuple(words[k:k + m]), set()).add((t, k))
+    want = []
+    for run, at in places.items():
+        after = {texts[t][k + len(run)] if k + len(run) < len(texts[t]) else None for t, k in at}
+        before = {texts[t][k - 1] if k else None for t, k in at}
+        if len(at) > 1 and (len(after) > 1 or None in after) and (len(before) > 1 or None in before):
+            want.append((len(run), sorted(at)))
+    tree = substrings.Subtree([b" ".join(t) for t in texts], [len(t) - window + 1 for t in texts], window)
+    assert sorted((depth, sorted(leaves)) for depth, leaves in tree.maximal_repeats()) == sorted(want)
 
 
 def test_query_matches_its_sql(spark):

@@ -1,22 +1,24 @@
 """Substring dedup by prefix-partitioned suffix trees.
 
-A window is a run of ``WINDOW`` words. Windows are the suffixes of a text,
-read ``WINDOW`` words deep; two suffixes that meet in a node at least that
-deep are a repeat. The suffixes are split by a prefix into groups that fit a
-task, and each group's tree is built there.
-
-1. Every suffix is led by its anchor, the gram of ``GRAM`` words with the
-   smallest hash in its window; equal windows have equal anchors. Neighbouring
-   suffixes with the same anchor travel as one segment, a text once instead
-   of once a suffix. Segments of equal content are one content, kept with the
-   smallest document it is in: all later ones are repeats as a whole.
-2. Contents that share an anchor gram with a different content form the
-   group of that prefix. Only for these are the words fetched.
-3. A group of at most ``GROUP_CONTENTS`` becomes a subtree: its suffixes are
-   sorted, and the runs of neighbours that agree for ``WINDOW`` words or more
-   are its deep internal nodes. The suffixes of a larger group are split by a
-   longer prefix, the whole window, where a node is a group of its own and
-   its smallest document is a partial aggregate.
+A window is a run of ``WINDOW`` words, the head of a suffix of its text. Two
+suffixes that meet in a node at least that deep are a repeat.
+
+1. Suffixes are led to their tree by the gram of ``GRAM`` words with the
+   smallest hash in their window, the prefix of the suffix that starts there;
+   equal windows have equal grams at the same place. Neighbouring suffixes
+   with the same gram travel as one segment, a text once instead of once a
+   suffix. (A prefix at each suffix's own first word would send every repeated
+   word ``WINDOW`` times.) Segments of equal content are one content, kept with
+   the smallest document it is in: all later ones are repeats as a whole.
+2. Contents that share a gram with a different content form the group of that
+   prefix. Only for these are the words fetched.
+3. A group of at most ``GROUP_CONTENTS`` becomes a subtree over all suffixes of
+   its segments, kept as the sorted suffixes and the words that neighbours have
+   in common. Its internal nodes at least a window deep are the repeats; those
+   that no word to the left extends are the maximal ones, and give the ranges.
+   The suffixes of a larger group are split by a longer prefix, the whole
+   window, where a node is a group of its own and its smallest document is a
+   partial aggregate.
 4. The ranges found are joined with the texts, and their words removed.
 
 Texts cross the network compressed, keyed by document; no step holds more
@@ -187,43 +189,81 @@ def _fetch(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
 
 
 class Subtree:
-    """Suffix tree of one prefix's segments, as its sorted suffixes: the deep internal nodes are runs of neighbours."""
+    """Suffix tree of one prefix's segments, kept as its sorted suffixes and the words that neighbours have in common.
+
+    ``texts`` are words joined by one space; the first ``counts[t]`` suffixes
+    of text ``t`` are leaves, each to its text's end.
+    """
 
     def __init__(self, texts: list[bytes], counts: list[int], window: int = WINDOW):
-        self.leaves = []
-        for t, (text, n) in enumerate(zip(texts, counts, strict=True)):
-            ends = [-1, *(i for i, c in enumerate(text) if c == 32), len(text)]
-            self.leaves += [(text[ends[k] + 1:ends[k + window]], t, k) for k in range(n)]
-        self.leaves.sort()
-
-    def deep_nodes(self) -> Iterator[list[tuple[bytes, int, int]]]:
-        """Leaves (path, segment, offset) below each node at least a window deep."""
-        at = 0
-        while at < len(self.leaves):
-            to = at + 1
-            while to < len(self.leaves) and self.leaves[to][0] == self.leaves[at][0]:
-                to += 1
-            if to - at > 1:
-                yield self.leaves[at:to]
-            at = to
+        self.window = window
+        # A space after the last word: suffixes that begin with the same words are neighbours, whatever bytes words have.
+        self.texts = [text + b" " for text in texts]
+        self.ends = [[-1, *(i for i, c in enumerate(text) if c == 32)] for text in self.texts]
+        self.leaves = sorted(((t, k) for t, n in enumerate(counts) for k in range(n)), key=self._path)
+        self.common = [self._common(a, b) for a, b in zip(self.leaves, self.leaves[1:], strict=False)]
+
+    def _path(self, leaf: tuple[int, int], words: int | None = None) -> bytes:
+        t, k = leaf
+        ends = self.ends[t]
+        return self.texts[t][ends[k] + 1:None if words is None else ends[k + words]]
+
+    def _common(self, a: tuple[int, int], b: tuple[int, int]) -> int:
+        """Words at the head of both suffixes, 0 where they are fewer than a window."""
+        low = self.window
+        if self._path(a, low) != self._path(b, low):
+            return 0
+        high = min(len(self.ends[t]) - 1 - k for t, k in (a, b))
+        while low < high:
+            half = (low + high + 1) // 2
+            if self._path(a, half) == self._path(b, half):
+                low = half
+            else:
+                high = half - 1
+        return low
+
+    def deep_nodes(self) -> Iterator[tuple[int, int, int]]:
+        """Internal nodes at least a window deep: (depth in words, first leaf, leaf after the last), inner ones first."""
+        path: list[tuple[int, int]] = []  # (depth, first leaf) from the highest node to the lowest
+        for at, depth in enumerate([*self.common, 0]):
+            first = at
+            while path and path[-1][0] > depth:
+                deep, first = path.pop()
+                yield deep, first, at + 1
+            if depth and (not path or path[-1][0] < depth):
+                path.append((depth, first))
+
+    def maximal_repeats(self) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+        """(words, leaves) of every deep node whose occurrences cannot all be extended by one word to the left.
+
+        One that can be is part of the repeat that starts a word before it.
+        """
+        for depth, a, b in self.deep_nodes():
+            leaves = self.leaves[a:b]
+            before = {self._path((t, k - 1), 1) if k else None for t, k in leaves}
+            if len(before) > 1 or None in before:
+                yield depth, leaves
 
 
 def _subtree_ranges(contents: DataFrame, window: int) -> DataFrame:
     """Contents under their prefixes -> ranges (doc_id, version, start, n) of windows that an earlier document has."""
     def solve(group: list[tuple]) -> Iterator[tuple]:
         docs = [g[0] for g in group]
-        late: dict[int, list[int]] = {}
-        for node in Subtree([g[4] for g in group], [g[3] for g in group], window).deep_nodes():
-            low = min(docs[t] for _, t, _ in node)
-            for _, t, k in node:
+        late: dict[int, dict[int, int]] = {}  # by text: first window of a repeat -> windows
+        for depth, leaves in Subtree([g[4] for g in group], [g[3] for g in group], window).maximal_repeats():
+            low = min(docs[t] for t, _ in leaves)
+            for t, k in leaves:
                 if docs[t] > low:
-                    late.setdefault(t, []).append(k)
-        for t, ks in late.items():
-            ks = sorted(set(ks))
-            cuts = [0, *(i for i in range(1, len(ks)) if ks[i] != ks[i - 1] + 1), len(ks)]
-            for a, b in zip(cuts, cuts[1:], strict=False):
-                for start in group[t][2]:
-                    yield docs[t], group[t][1], start + ks[a], b - a
+                    runs = late.setdefault(t, {})
+                    runs[k] = max(runs.get(k, 0), depth - window + 1)
+        for t, runs in late.items():
+            end = 0
+            for k in sorted(runs):
+                # What an earlier run of this text covers is not given twice.
+                first, end = max(k, end), max(end, k + runs[k])
+                if first < end:
+                    for start in group[t][2]:
+                        yield docs[t], group[t][1], start + first, end - first
 
     schema = pa.schema([("doc_id", pa.int64()), ("version", pa.int32()), ("start", pa.int32()), ("n", pa.int32())])
 
@@ -240,9 +280,8 @@ def _subtree_ranges(contents: DataFrame, window: int) -> DataFrame:
         if len(group) > 1:
             yield _batch(list(solve(group)), schema)
 
-    n = int(contents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (contents.select("gram", "doc_id", "version", "starts", "n", "words")
-            .repartition(n, "gram").sortWithinPartitions("gram", "doc_id")
+            .repartition("gram").sortWithinPartitions("gram", "doc_id")
             .mapInArrow(run, "doc_id long, version int, start int, n int"))
 
 
