@@ -25,6 +25,13 @@ RUNTIME_CONF = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Settings that only a new session takes (on a cluster: ``spark-submit --conf``).
+STATIC_CONF = {
+    # PySpark looks up the caller's source line for every column expression, for
+    # error messages; building the report takes 0.05 s without it, 0.25 s with it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 
 def local_session(
     cores: int | str = "*", shuffle_partitions: int = 8, app: str = "vigil", extra: dict[str, str] | None = None
@@ -38,7 +45,7 @@ def local_session(
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
     )
-    for k, v in {**RUNTIME_CONF, **(extra or {})}.items():
+    for k, v in {**RUNTIME_CONF, **STATIC_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
