@@ -310,8 +310,9 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, gram: int = GRAM,
     wanted = stored(_fetch(docs, found.filter("NOT late"), window), "substrings-words")
     trees = _subtree_ranges(wanted.filter("words IS NOT NULL"), window)
     single = wanted.filter("words IS NULL")
-    low = single.groupBy(F.col("gram").alias("_gram"), F.col("more").alias("_more")).agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
+    # Written, so that the join below has two plain shuffles, which Spark splits where one passage is in very many contents.
+    low = stored(single.groupBy(F.col("gram").alias("_gram"), F.col("more").alias("_more")).agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high"), "substrings-nodes")
     nodes = single.join(low, (F.col("gram") == F.col("_gram")) & (F.col("more") == F.col("_more"))).filter(
         "doc_id > low").select("doc_id", "version", F.explode(F.transform("starts", lambda s: s + F.col("n"))).alias("start"),
                                F.lit(1).alias("n"))
